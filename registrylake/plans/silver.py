@@ -71,12 +71,13 @@ def ingest_silver(
             log.warning("%s: %d malformed records", table, seen.get["malformed"])
             silver.replace(f"{table}_rejected", rejected(scanned))
 
-    # Small and independent of each other.
+    def write_single(name: str) -> None:
+        write(name.lower(), scan(name.lower(), f"{name}.zip"))
+
+    # Independent of each other.
     with ThreadPoolExecutor(4) as pool:
         started = [pool.submit(write, "cnae_alimenticio", _food_activities(spark, source))]
-        for name in SINGLE_FILE_DATASETS:
-            table = name.lower()
-            started.append(pool.submit(write, table, scan(table, f"{name}.zip")))
+        started += [pool.submit(write_single, name) for name in SINGLE_FILE_DATASETS]
         for written in started:
             written.result()
 
