@@ -34,13 +34,15 @@ def full_outer_using(unique: DataFrame, facts: DataFrame, key: str) -> DataFrame
     """
     left_only = [name for name in unique.columns if name != key]
     right_only = [name for name in facts.columns if name != key]
-    matched = join_on_key(facts, unique, key, "left").select(key, *left_only, *right_only)
-    unmatched = unique.join(facts.select(key).distinct(), key, "left_anti").select(
-        key,
-        *left_only,
-        *[F.lit(None).cast(facts.schema[name].dataType).alias(name) for name in right_only],
+    # Both parts read the keyed rows alike, so a shuffle below ``unique`` runs once.
+    keyed = unique.where(F.col(key).isNotNull())
+    matched = join_on_key(facts, keyed, key, "left").select(key, *left_only, *right_only)
+    unmatched = keyed.join(facts.select(key).distinct(), key, "left_anti").select(
+        key, *left_only
     )
-    return matched.union(unmatched)
+    without_key = unique.where(F.col(key).isNull()).select(key, *left_only)
+    no_fact = [F.lit(None).cast(facts.schema[name].dataType).alias(name) for name in right_only]
+    return matched.union(unmatched.union(without_key).select("*", *no_fact))
 
 
 def keep_known_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
