@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from registrylake.operators.joins import keep_known_keys
 from registrylake.operators.keys import distinct_keys
+from registrylake.operators.rows import exclude_codes
 from registrylake.schemas import DATASETS, SINGLE_FILE_DATASETS, UNUSED_COLUMNS
 from registrylake.sources.delimited import (
     REASON,
@@ -21,7 +22,7 @@ from registrylake.sources.delimited import (
     strict,
 )
 from registrylake.sources.files import exists, list_files
-from registrylake.sources.routing import excluded_legal_forms, keep_companies
+from registrylake.sources.routing import excluded_legal_forms
 from registrylake.tables.layer import Layer
 
 log = logging.getLogger(__name__)
@@ -47,7 +48,7 @@ def ingest_silver(
     A missing archive leaves an empty table. A malformed record fails the job, or with
     ``quarantine`` goes to ``<table>_rejected`` instead.
     """
-    excluded_legal_forms(spark, source)  # required, so fail before any work is done
+    excluded = excluded_legal_forms(spark, source)  # fails here when the file is missing
     scan_options |= {"header": header, "members": members}
 
     def scan(table: str, pattern: str) -> DataFrame:
@@ -85,7 +86,7 @@ def ingest_silver(
     write(
         "empresas",
         scan("empresas", "Empresas*.zip"),
-        lambda rows: keep_companies(spark, source, rows),
+        lambda rows: exclude_codes(rows, excluded, "natureza_code"),
     )
     known = distinct_keys([silver.read("estabelecimentos"), silver.read("empresas")], _KEY)
     write(

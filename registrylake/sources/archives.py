@@ -138,8 +138,8 @@ class ArchiveReader(DataSourceReader):
         self.header = str(options.get("header", "true")).lower() == "true"
         self.fields = int(options.get("fields", 0))
         self.sep = options.get("sep", ";")
-        self.slice_bytes = int(options.get("slicebytes", 1 << 30))
-        self.max_slices = int(options.get("maxslices", 16))
+        self.slice_bytes = int(options.get("slicebytes", 64 << 20))
+        self.max_slices = int(options.get("maxslices", 32))
 
     def partitions(self) -> list[MemberSlice]:
         with ThreadPoolExecutor(16) as pool:

@@ -42,7 +42,9 @@ def _is_broken(record: Column, fields: int, sep: str) -> Column:
     """Judge a record whose field count is off: a short one is fine, its tail is NULL."""
     unquoted = F.regexp_replace(record, r'"[^"]*"', "")
     found = F.size(F.split(unquoted, rf"\Q{sep}\E"))
-    return (found > fields) | unquoted.contains('"')
+    # WHEN rather than AND: the repeated part of an AND would be computed for every row.
+    is_off = F.col(RECORD).isNotNull()
+    return F.when(is_off, (found > fields) | unquoted.contains('"')).otherwise(False)
 
 
 def _has_loose_break(record: Column, sep: str) -> Column:
@@ -67,13 +69,11 @@ def _typed(text: DataFrame, dataset: Dataset, broken: Column) -> DataFrame:
     parsed = text.withColumns(
         {f"__{name}": parse_text(F.col(name), kind) for name, kind in numbers.items()}
     )
-    complaints = [
-        F.when(F.col(f"__{name}").isNull() & (F.col(name) != ""), F.lit(name)) for name in numbers
-    ]
-    reason = F.when(broken, F.lit("malformed record"))
-    if complaints:
-        bad = F.nullif(F.concat_ws(", ", *complaints), F.lit(""))
-        reason = F.coalesce(reason, F.concat(F.lit("bad value: "), bad))
+    complaints = [F.when(broken, F.lit("malformed record"))]
+    for name in numbers:
+        unread = F.col(f"__{name}").isNull() & (F.col(name) != "")
+        complaints.append(F.when(unread, F.lit(f"bad value: {name}")))
+    reason = F.coalesce(*complaints)
     values = [F.col(f"__{name}" if name in numbers else name).alias(name) for name in dataset.names]
     judged = parsed.select(*values, "record", reason.alias(REASON))
     return judged.select(
@@ -106,9 +106,8 @@ def scan_archives(
     text = records.select(F.col("value").alias("record"), parsed.alias("parsed")).select(
         "record", "parsed.*"
     )
-    count_is_off = F.col(RECORD).isNotNull()
-    broken = (count_is_off & _is_broken(F.col("record"), len(dataset.names), sep)) | (
-        _has_loose_break(F.col("record"), sep)
+    broken = _is_broken(F.col("record"), len(dataset.names), sep) | _has_loose_break(
+        F.col("record"), sep
     )
     return _typed(text, dataset, broken)
 
@@ -141,8 +140,7 @@ def scan_delimited(
     for name in dataset.names:
         if name not in names:
             text = text.withColumn(name, F.lit(None).cast("string"))
-    count_is_off = F.col(RECORD).isNotNull()
-    broken = count_is_off & _is_broken(F.col(RECORD), len(names), sep)
+    broken = _is_broken(F.col(RECORD), len(names), sep)
     whole = F.concat_ws(sep, *[F.coalesce(F.col(name), F.lit("")) for name in names])
     text = text.withColumn("record", F.coalesce(F.col(RECORD), whole))
     return _typed(text, dataset, broken)

@@ -12,8 +12,6 @@ from registrylake.schemas import DATASETS, Dataset
 from registrylake.sources.delimited import scan_archives, scan_delimited, strict
 from registrylake.sources.files import exists, list_files
 
-_EXCLUDED_FORMS = Dataset.of("naturezas_nao_empresas", "natureza_code u64")
-
 
 def route(spark: SparkSession, directory: str, pattern: str = "*.zip") -> DataFrame:
     """The files of a directory with their dataset and number, both from the file name."""
@@ -31,16 +29,11 @@ def excluded_legal_forms(spark: SparkSession, directory: str) -> DataFrame:
         raise FileNotFoundError(path)
     # Only the code column matters; the file may carry others.
     names = spark.read.options(sep=";", header=True).csv(path).columns
-    text = {name: "u64" if name == "natureza_code" else "text" for name in names}
-    codes = strict(scan_delimited(spark, path, Dataset(_EXCLUDED_FORMS.name, text)))
+    columns = {name: "u64" if name == "natureza_code" else "text" for name in names}
+    codes = strict(scan_delimited(spark, path, Dataset("naturezas_nao_empresas", columns)))
     return codes.select("natureza_code")
 
 
-def keep_companies(spark: SparkSession, directory: str, rows: DataFrame) -> DataFrame:
-    """Company rows without the excluded legal forms; a NULL legal form is dropped too."""
-    return exclude_codes(rows, excluded_legal_forms(spark, directory), "natureza_code")
-
-
 def load(spark: SparkSession, directory: str, stem: str, **options) -> DataFrame:
     """Rows of one archive by its name without extension, such as ``Empresas0``.
 
@@ -49,4 +42,6 @@ def load(spark: SparkSession, directory: str, stem: str, **options) -> DataFrame
     """
     name = stem.lower().rstrip("0123456789")
     rows = strict(scan_archives(spark, directory, f"{stem}.zip", DATASETS[name], **options))
-    return keep_companies(spark, directory, rows) if name == "empresas" else rows
+    if name != "empresas":
+        return rows
+    return exclude_codes(rows, excluded_legal_forms(spark, directory), "natureza_code")

@@ -109,6 +109,7 @@ class Layer:
             # frequent value does not end up in one task.
             df = df.hint("rebalance", *clustering).sortWithinPartitions(*clustering)
         writer = df.write.format("parquet").mode("overwrite").option("path", self._path(table))
+        writer = writer.option("compression", "zstd")
         if blooms:
             writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         for column in blooms:
