@@ -205,12 +205,9 @@ def typed_csv_scan(spark, sf_dir):
 
 def archive_ingest(spark, sf_dir):
     folder = work_folder(spark)
-    # One archive per task: more orders, more archives.
-    write_archives(
-        _table(spark, sf_dir, "orders").select(ORDERS.names).repartition("o_orderpriority"),
-        folder,
-        "Orders",
-    )
+    orders = _table(spark, sf_dir, "orders").select(ORDERS.names)
+    # One archive per task: more orders, more archives, but several even for a small table.
+    write_archives(orders.repartition(max(4, orders.rdd.getNumPartitions())), folder, "Orders")
     return strict(scan_archives(spark, folder, "Orders*.zip", ORDERS))
 
 
@@ -401,12 +398,7 @@ def _ingested(spark, sf_dir, folder: str) -> Layer:
     """Silver tables loaded from archives made of the given tables."""
     bronze = f"{folder}/bronze"
     for name, df in _registry_tables(spark, sf_dir).items():
-        if name in ("empresas", "estabelecimentos", "socios"):
-            write_archives(df, bronze, name.capitalize())
-        else:
-            # A single-file dataset is one archive without a number.
-            write_archives(df, f"{folder}/{name}", name)
-            _rename_archive(f"{folder}/{name}/{name}0.zip", f"{bronze}/{name.capitalize()}.zip")
+        write_archives(df, bronze, name.capitalize())
     excluded = spark.createDataFrame([(0,), (1,), (2,)], "natureza_code long")
     write_text(excluded, f"{bronze}/naturezas_nao_empresas.csv")
     silver = _new_layer(spark, folder, "silver")
@@ -414,13 +406,6 @@ def _ingested(spark, sf_dir, folder: str) -> Layer:
     return silver
 
 
-def _rename_archive(old: str, new: str) -> None:
-    from registrylake.sources.files import resolve
-
-    system, path = resolve(old)
-    system.move(path, resolve(new)[1])
-
-
 def ingest_silver_counts(spark, sf_dir):
     silver = _ingested(spark, sf_dir, work_folder(spark))
     return _counts(silver, ["empresas", "estabelecimentos", "socios"])

@@ -73,7 +73,10 @@ def ingest_silver(
             silver.replace(f"{table}_rejected", rejected(scanned))
 
     def write_single(name: str) -> None:
-        write(name.lower(), scan(name.lower(), f"{name}.zip"))
+        # One archive without a number; numbered parts count only when it is missing.
+        single = f"{name}.zip"
+        pattern = single if list_files(source, single) else f"{name}[0-9]*.zip"
+        write(name.lower(), scan(name.lower(), pattern))
 
     # Independent of each other.
     with ThreadPoolExecutor(4) as pool:

@@ -34,7 +34,7 @@ class Layer:
         if not name.isidentifier():
             raise ValueError(f"Invalid layer name: {name}")
         self.spark, self.name, self.location = spark, name, location.rstrip("/")
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{self.location}'")
         # Tables written by an earlier session whose catalog is gone.
         for table in list_directories(self.location):
             if table.isidentifier() and not self.exists(table):
