@@ -43,8 +43,8 @@ def ingest_silver(
 ) -> None:
     """Replace all silver tables from a bronze folder.
 
-    Order: food activities and the single-file datasets, establishments, companies, then
-    partners, which are kept only when their key is among the two written before them.
+    Partners come last: they are kept only when their key is among the establishments or
+    companies written before them. All other tables are independent of each other.
     A missing archive leaves an empty table. A malformed record fails the job, or with
     ``quarantine`` goes to ``<table>_rejected`` instead.
     """
@@ -78,19 +78,26 @@ def ingest_silver(
         pattern = single if list_files(source, single) else f"{name}[0-9]*.zip"
         write(name.lower(), scan(name.lower(), pattern))
 
-    # Independent of each other.
+    def write_companies() -> None:
+        write(
+            "empresas",
+            scan("empresas", "Empresas*.zip"),
+            lambda rows: exclude_codes(rows, excluded, "natureza_code"),
+        )
+
+    # Independent of each other; the longest first.
     with ThreadPoolExecutor(4) as pool:
-        started = [pool.submit(write, "cnae_alimenticio", _food_activities(spark, source))]
-        started += [pool.submit(write_single, name) for name in SINGLE_FILE_DATASETS]
+        started = [
+            pool.submit(
+                lambda: write("estabelecimentos", scan("estabelecimentos", "Estabelecimentos*.zip"))
+            ),
+            pool.submit(write_companies),
+            *[pool.submit(write_single, name) for name in SINGLE_FILE_DATASETS],
+            pool.submit(lambda: write("cnae_alimenticio", _food_activities(spark, source))),
+        ]
         for written in started:
             written.result()
 
-    write("estabelecimentos", scan("estabelecimentos", "Estabelecimentos*.zip"))
-    write(
-        "empresas",
-        scan("empresas", "Empresas*.zip"),
-        lambda rows: exclude_codes(rows, excluded, "natureza_code"),
-    )
     known = distinct_keys([silver.read("estabelecimentos"), silver.read("empresas")], _KEY)
     write(
         "socios",
