@@ -53,10 +53,17 @@ def keep_known_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 def enrich_with_max(dim: DataFrame, facts: DataFrame, key: str, value: str) -> DataFrame:
     """``dim`` with the largest non-NULL ``value`` of its key; no match gives NULL.
 
-    The facts are reduced to one row per key first, with map-side partial maxima.
-    Whether that is small enough to broadcast is measured at run time.
+    A maximum of strings is planned as a sort of all facts. The pairs are counted first,
+    by hashing within each task, which leaves few rows when a key has few values. A hot
+    key with many values is spread by the value, and each task sends its maximum only.
+    The filter on the count keeps the optimizer from dropping that step as redundant.
+    Whether the result is small enough to broadcast is measured at run time.
     """
-    largest = (
-        facts.where(F.col(value).isNotNull()).groupBy(key).agg(F.max(value).alias(value))
+    pairs = (
+        facts.where(F.col(value).isNotNull())
+        .groupBy(key, value)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .where("__rows > 0")
     )
+    largest = pairs.groupBy(key).agg(F.max(value).alias(value))
     return dim.join(largest, key, "left").select(*dim.columns, value)

@@ -133,6 +133,15 @@ def test_enrich_with_max(spark):
     assert rows(got) == [(1, "x", "SP"), (2, "y", None), (None, "z", None)]
 
 
+def test_enrich_with_max_hashes_before_it_sorts(spark):
+    facts = spark.range(100).selectExpr("id % 5 AS k", "concat('v', id % 3) AS uf")
+    plan = plan_of(enrich_with_max(spark.range(5).toDF("k"), facts, "k", "uf"))
+    lowest_shuffle = plan.rindex("Exchange hashpartitioning")
+    below, above = plan[lowest_shuffle:], plan[:lowest_shuffle]
+    assert "partial_count(1)" in below and "Sort" not in below
+    assert "partial_max" in above  # each task sends one row per key
+
+
 @pytest.fixture
 def small_partitions(spark):
     """Settings under which a few thousand rows already count as a skewed partition."""
