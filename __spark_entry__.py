@@ -372,8 +372,8 @@ WITH empresas AS (
 estabelecimentos AS (
   SELECT CAST(o_custkey * 3 AS VARCHAR) AS cnpj_base, CAST(o_orderkey AS VARCHAR) AS cnpj_ordem,
          CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 8 END AS situacao_cadastral,
-         CASE WHEN o_orderpriority = '1-URGENT' THEN 249
-              WHEN o_orderpriority <> '2-HIGH' THEN 105 END AS pais_code,
+         CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 249
+                   WHEN o_orderpriority <> '2-HIGH' THEN 105 END AS BIGINT) AS pais_code,
          CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE substr(o_orderpriority, 1, 1) END AS uf,
          o_custkey % 25 AS municipio_code
   FROM orders),
