@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -450,7 +451,26 @@ def entry(spark: SparkSession) -> DataFrame:
     return full_outer_using_filter(spark, SMOKE_DIR)
 
 
+def _llm():
+    """The queries of the subpackage for training data, if it is there."""
+    if find_spec("registrylake.llm") is None:
+        return None
+    from registrylake.llm import queries as llm
+
+    return llm
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    llm = _llm()
+    return lake_queries() | (llm.queries() if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    llm = _llm()
+    return lake_sql() | (llm.oracle_sql() if llm else {})
+
+
+def lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "dedup_first_per_key": dedup_first_per_key,
         "full_outer_using_filter": full_outer_using_filter,
@@ -485,7 +505,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def lake_sql() -> dict[str, str]:
     return {
         "dedup_first_per_key": _ROLES + "SELECT * FROM emp",
         "full_outer_using_filter": _ROLES + "SELECT * FROM gold",
