@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from importlib.util import find_spec
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -453,10 +452,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _llm():
     """The queries of the subpackage for training data, if it is there."""
-    if find_spec("registrylake.llm") is None:
+    try:
+        from registrylake.llm import queries as llm
+    except ModuleNotFoundError as error:
+        if error.name not in ("registrylake.llm", "registrylake.llm.queries", "corpus_pipeline"):
+            raise
         return None
-    from registrylake.llm import queries as llm
-
     return llm
 
 
