@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from registrylake.llm import quality_rules
+from registrylake.llm import decontamination, minhash, pii, quality_rules
 from registrylake.tables.work import staged
 
 
@@ -14,6 +14,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find_personal_data(docs).drop("text")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = _table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return decontamination.mark_contaminated(docs, items).drop("text")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = quality_rules.with_text_stats(docs).drop("text")
@@ -23,8 +38,75 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_quality_rules": op10_quality_rules}
+    return {
+        "op1_minhash": op1_minhash,
+        "op5_pii": op5_pii,
+        "op8_decontamination": op8_decontamination,
+        "op10_quality_rules": op10_quality_rules,
+    }
+
+
+#: DuckDB: lower-cases A-Z only.
+_LOWER = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_minhash": rf"""
+            WITH RECURSIVE words AS (
+              SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w
+              FROM documents),
+            shingles AS (
+              SELECT DISTINCT doc_id,
+                     array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS s,
+                     least(5, len(w)) AS n
+              FROM words, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS t(i)
+              WHERE len(w) > 0),
+            sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+            common AS (
+              SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+              FROM shingles x JOIN shingles y ON x.s = y.s AND x.n = y.n AND x.doc_id <> y.doc_id
+              GROUP BY ALL),
+            links AS (
+              SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+              WHERE 100 * c >= 85 * (p.n + q.n - c)),
+            reach AS (
+              SELECT doc_id, doc_id AS other FROM documents
+              UNION
+              SELECT doc_id, b FROM reach JOIN links ON other = a)
+            SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id,
+                   doc_id = min(other) AS kept
+            FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""",
+        "op8_decontamination": rf"""
+            WITH docs AS (
+              SELECT doc_id,
+                     regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+              FROM documents),
+            items AS (
+              SELECT item_id,
+                     regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+              FROM benchmark),
+            windows AS (
+              SELECT DISTINCT item_id, least(10, len(w)) AS n,
+                     array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s
+              FROM items, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS t(i)
+              WHERE len(w) > 0),
+            found AS (
+              SELECT doc_id, i, d.n, item_id
+              FROM (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+                    FROM docs, (SELECT DISTINCT n FROM windows),
+                         unnest(range(1, len(w) - n + 2)) AS t(i)) d
+              JOIN windows USING (s, n)),
+            hits AS (
+              SELECT doc_id, count(DISTINCT p) AS n_hit
+              FROM found, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
+            named AS (
+              SELECT doc_id, count(*) AS n_items,
+                     string_agg(id, ',' ORDER BY id) AS ids
+              FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found)
+              GROUP BY doc_id)
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+                   coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+                   n_hit IS NOT NULL AS contaminated
+            FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    }
