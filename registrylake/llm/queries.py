@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from registrylake.llm import decontamination, minhash, pii, quality_rules
+from registrylake.llm import decontamination, minhash, mixing, pii, quality_rules, url_rules
 from registrylake.tables.work import staged
 
 
@@ -23,12 +23,23 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(docs).drop("text")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "source", "n_tokens", "weight", "copies")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     items = _table(spark, sf_dir, "benchmark").select("item_id", "text")
     return decontamination.mark_contaminated(docs, items).drop("text")
 
 
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_rules.judge_urls(pages, url_rules.rule_table(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = quality_rules.with_text_stats(docs).drop("text")
@@ -41,11 +52,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash": op1_minhash,
         "op5_pii": op5_pii,
+        "op7_mixing": op7_mixing,
         "op8_decontamination": op8_decontamination,
+        "op9_url_rules": op9_url_rules,
         "op10_quality_rules": op10_quality_rules,
     }
 
 
+def _url_rule_sql() -> str:
+    rows = [(r, v, url_rules.site_regex(r), len(r)) for v, r in url_rules.SITE_RULES]
+    rows += [
+        (r, v, url_rules.pattern_regex(r), -1 if v == url_rules.BLOCK else -2)
+        for v, r in url_rules.PATTERNS
+    ]
+    return ", ".join(f"('{r}', '{v}', '{x}', {n})" for r, v, x, n in rows)
+
+
 #: DuckDB: lower-cases A-Z only.
 _LOWER = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
 
@@ -109,4 +131,75 @@ def oracle_sql() -> dict[str, str]:
                    coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                    n_hit IS NOT NULL AS contaminated
             FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)""",
+        "op7_mixing": r"""
+            WITH RECURSIVE docs AS (
+              SELECT doc_id, source, coalesce('=' || source, '') AS src,
+                     CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT)
+                       AS n_tokens,
+                     md5('mix-1|' || doc_id) AS h
+              FROM documents),
+            sources AS (
+              SELECT src, sum(n_tokens) AS tokens, sum(n_tokens) / sum(sum(n_tokens)) OVER () AS p
+              FROM docs GROUP BY src HAVING sum(n_tokens) > 0),
+            step AS (
+              SELECT 0 AS i, CAST(0 AS DOUBLE) AS lo, CAST(1 AS DOUBLE) AS hi,
+                     CAST(0 AS DOUBLE) AS lo2, CAST(1 AS DOUBLE) AS hi2
+              UNION ALL
+              SELECT i + 1,
+                     CASE WHEN entropy < 0.95 * ln(n) THEN lo ELSE (lo + hi) / 2 END,
+                     CASE WHEN entropy < 0.95 * ln(n) THEN (lo + hi) / 2 ELSE hi END,
+                     CASE WHEN most <= 4 THEN lo2 ELSE (lo2 + hi2) / 2 END,
+                     CASE WHEN most <= 4 THEN (lo2 + hi2) / 2 ELSE hi2 END
+              FROM (
+                SELECT i, lo, hi, lo2, hi2, count(*) AS n,
+                       ln(sum(pow(p, (lo + hi) / 2)))
+                         - sum(pow(p, (lo + hi) / 2) * (lo + hi) / 2 * ln(p))
+                           / sum(pow(p, (lo + hi) / 2)) AS entropy,
+                       max(pow(p, (lo2 + hi2) / 2) / p) / sum(pow(p, (lo2 + hi2) / 2)) AS most
+                FROM step, sources WHERE i < 45 GROUP BY ALL)),
+            found AS (SELECT round(greatest(hi, CASE WHEN hi2 < 1e-9 THEN 0 ELSE hi2 END), 9) AS x
+                      FROM step WHERE i = 45),
+            quotas AS (
+              SELECT src, tokens, weight, weight * total AS quota,
+                     floor(weight * total / tokens) AS passes,
+                     weight * total - floor(weight * total / tokens) * tokens AS rest
+              FROM (SELECT src, tokens, pow(p, x) / sum(pow(p, x)) OVER () AS weight,
+                           sum(tokens) OVER () AS total FROM sources, found)),
+            ranked AS (
+              SELECT d.*, weight, passes, rest, substr(h, 1, 3) AS block,
+                     md5('mix-1|' || CAST(CAST(passes + 1 AS BIGINT) AS VARCHAR) || '|' || d.src
+                         || '|' || substr(h, 1, 3)) AS rank
+              FROM docs d LEFT JOIN quotas q ON d.src = q.src),
+            running AS (
+              SELECT *, sum(n_tokens) OVER (PARTITION BY src ORDER BY rank, block, h) AS upto,
+                     sum(n_tokens) OVER (PARTITION BY src ORDER BY rank, block) AS block_upto
+              FROM ranked),
+            cuts AS (
+              SELECT src, min((rank, block)) AS cut FROM running WHERE block_upto > rest GROUP BY src)
+            SELECT doc_id, source, n_tokens, coalesce(weight, 0) AS weight,
+                   CAST(CASE WHEN n_tokens = 0 THEN 1
+                        ELSE passes + CASE WHEN (rank, block) < cut THEN 1
+                                           WHEN (rank, block) = cut AND upto <= rest THEN 1
+                                           ELSE 0 END END AS BIGINT) AS copies
+            FROM running LEFT JOIN cuts USING (src)""",
+        "op9_url_rules": rf"""
+            WITH cut AS (
+              SELECT page_id, CASE WHEN instr(url, '://') > 0
+                              THEN substr(url, instr(url, '://') + 3) ELSE '' END AS tail
+              FROM pages),
+            located AS (
+              SELECT page_id,
+                     translate(regexp_extract(tail, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                               'abcdefghijklmnopqrstuvwxyz') AS host,
+                     regexp_extract(tail, '^[^/?#]*([^?#]*)', 1) AS path
+              FROM cut),
+            rules(rule, verdict, regex, size) AS (VALUES {_url_rule_sql()}),
+            best AS (
+              SELECT page_id, arg_max(rule, size) AS rule, max(size) AS size,
+                     arg_max(r.verdict, size) AS verdict
+              FROM located JOIN rules r ON regexp_matches(host || path, regex)
+              WHERE host || path <> '' GROUP BY page_id)
+            SELECT page_id, host, path, CASE WHEN size > 0 THEN rule END AS rule,
+                   coalesce(verdict, 'allow') AS verdict
+            FROM located LEFT JOIN best USING (page_id)""",
     }
