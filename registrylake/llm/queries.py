@@ -4,9 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from registrylake.llm import decontamination, minhash, mixing, pii, quality_rules, url_rules
+import corpus_pipeline
+from registrylake.llm import (
+    decontamination,
+    fixity,
+    minhash,
+    mixing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    url_rules,
+)
 from registrylake.tables.work import staged
 
 
@@ -18,11 +30,41 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(docs, path).drop("text")
+
+
+def op4_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a second replica in which some pages were changed and some lost.
+
+    The hash of a page's url tells which; every record of the first replica gets its place
+    and what the audit says of it.
+    """
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    first = staged(fixity.laid_out(fixity.hashed(pages)))
+    fate = F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 2)
+    spoiled = pages.withColumn("html", F.when(fate == "00", F.translate("html", "e", "c")).otherwise(F.col("html")))
+    places = first.select("page_id", "url", "file", "offset")
+    second = staged(fixity.hashed(spoiled.where(fate != "01")).join(places, ["page_id", "url"]))
+    found = fixity.audit(first, second)
+    return (
+        first.join(found, ["file", "offset"], "left")
+        .select("page_id", "file", "offset", "length", "digest", F.coalesce("status", F.lit("intact")).alias("status"))
+    )
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.find_personal_data(docs).drop("text")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_classifier.classify(docs, _table(spark, sf_dir, "labels"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "source", "n_tokens", "weight", "copies")
@@ -51,11 +93,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash": op1_minhash,
+        "op3_token_counts": op3_token_counts,
+        "op4_fixity": op4_fixity,
         "op5_pii": op5_pii,
+        "op6_quality_classifier": op6_quality_classifier,
         "op7_mixing": op7_mixing,
         "op8_decontamination": op8_decontamination,
         "op9_url_rules": op9_url_rules,
         "op10_quality_rules": op10_quality_rules,
+        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -202,4 +248,27 @@ def oracle_sql() -> dict[str, str]:
             SELECT page_id, host, path, CASE WHEN size > 0 THEN rule END AS rule,
                    coalesce(verdict, 'allow') AS verdict
             FROM located LEFT JOIN best USING (page_id)""",
+        "op4_fixity": r"""
+            WITH sized AS (
+              SELECT page_id, url, html,
+                     'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+                       || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+                       || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
+                       || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: '
+                       || octet_length(encode(html)) || chr(13) || chr(10) || chr(13) || chr(10)
+                       || html || chr(13) || chr(10) || chr(13) || chr(10) AS record,
+                     CASE WHEN (SELECT count(*) FROM pages) <= 16 * 2048 THEN 1 ELSE 2 END AS digits
+              FROM pages),
+            named AS (
+              SELECT *, CAST('0x' || substr(md5(page_id || '|' || url), 1, digits) AS BIGINT) AS file,
+                     CAST(octet_length(encode(record)) AS BIGINT) AS length,
+                     sha256(record) AS digest, substr(md5(url), 1, 2) AS fate
+              FROM sized)
+            SELECT page_id, file, length, digest,
+                   CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id, url
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
+                   CASE WHEN fate = '01' THEN 'lost'
+                        WHEN fate = '00' AND html LIKE '%e%' THEN 'damaged'
+                        ELSE 'intact' END AS status
+            FROM named""",
     }
