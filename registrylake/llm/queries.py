@@ -13,6 +13,7 @@ from registrylake.llm import (
     fixity,
     minhash,
     mixing,
+    passages,
     pii,
     quality_classifier,
     quality_rules,
@@ -30,6 +31,11 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return passages.remove_passages(docs).drop("removed")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -93,6 +99,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash": op1_minhash,
+        "op2_passages": op2_passages,
         "op3_token_counts": op3_token_counts,
         "op4_fixity": op4_fixity,
         "op5_pii": op5_pii,
@@ -271,4 +278,39 @@ def oracle_sql() -> dict[str, str]:
                         WHEN fate = '00' AND html LIKE '%e%' THEN 'damaged'
                         ELSE 'intact' END AS status
             FROM named""",
+        "op2_passages": r"""
+            WITH hexed AS (
+              SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+            pieces AS (
+              SELECT doc_id, c, substr(h, 2 * c + 1, 2 * (128 + 49)) AS p
+              FROM hexed, unnest(range(0, len(h) // 2 - 49, 128)) AS t(c)),
+            windows AS (
+              SELECT doc_id, c + i AS i, substr(p, 2 * i + 1, 100) AS s
+              FROM pieces, unnest(range(0, len(p) // 2 - 49)) AS t(i)),
+            covered AS (
+              SELECT doc_id, i
+              FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM windows)
+              WHERE first < doc_id),
+            grouped AS (
+              SELECT doc_id, i, sum(CASE WHEN i > prev + 50 THEN 1 ELSE 0 END)
+                       OVER (PARTITION BY doc_id ORDER BY i) AS g
+              FROM (SELECT doc_id, i,
+                           coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), i) AS prev
+                    FROM covered)),
+            spans AS (
+              SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM grouped GROUP BY doc_id, g),
+            gaps AS (
+              SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z,
+                     b
+              FROM spans),
+            cut AS (
+              SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+                     string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS head,
+                     max(b) AS tail
+              FROM gaps JOIN hexed USING (doc_id) GROUP BY doc_id)
+            SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+                   coalesce(n_spans, 0) AS n_spans,
+                   sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(tail, 0) + 1)))
+                     AS kept_sha256
+            FROM hexed LEFT JOIN cut USING (doc_id)""",
     }
