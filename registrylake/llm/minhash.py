@@ -5,16 +5,19 @@
    into 8 longs. Texts are not shuffled for it.
 2. Documents with equal sets are one class; the smallest id stands for it.
 3. Classes that share a band key are candidates. Every bucket has a hub, the member with
-   most company over all its buckets. Members whose signature agrees with the hub's, by the
-   number of equal bits corrected for chance, are checked against it on the full sets.
-4. Links so far give components. What is left in a bucket are pairs across components: its
-   members outside the largest component against all members, by signature, in blocks of
-   bounded size. Those that agree are checked on the full sets too.
-
-So a group of near copies costs its size, plus its odd members against the rest in packed
-signatures; no stage makes all pairs of a group, and no candidate is dropped by a cap. The
-chance to miss a link is that of no equal band, ``(1 - 0.85**7)**36``, under one in a
-million at the threshold, and that of a signature 4.5 deviations off.
+   most company over all its buckets. Signatures tell how similar members are to the hub, by
+   the number of equal bits corrected for chance. Only members that are not close to their
+   hub are compared with the rest of the bucket, in blocks of bounded size.
+4. Close candidates make clusters. The full sets of a cluster meet in one task, or for a
+   large one in blocks that each get the hub: first all are compared with the hub, then what
+   is not linked with it with all that is close. Of large clusters the members outside the
+   largest component then meet all blocks.
+
+So a group of near copies costs its size, plus its odd members against the rest. Every step
+passes on a spanning star of what it finds, at most a row per member; no stage makes all
+pairs of a group, and no candidate is dropped by a cap. The chance to miss a link is that of
+no equal band, ``(1 - 0.85**7)**36``, under one in a million at the threshold, and that of a
+signature 4.5 deviations off.
 
 Defined results
 - No words (NULL, empty or blank text): no shingles, linked with nothing, kept.
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from registrylake.llm.components import components
 from registrylake.llm.shingles import (
@@ -133,29 +136,6 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _linked(percent: int):
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = np.concatenate((x, y))
-                common.sort()
-                shared = int(np.count_nonzero(common[1:] == common[:-1]))
-                found.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
-
-    return check
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are similar enough."""
-    x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-    y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    full = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return full.mapInArrow(_linked(percent), "a long, b long")
-
-
 def _unequal(x, y):
     """Unequal lanes of two signature columns."""
     odd = F.lit(0)
@@ -179,87 +159,225 @@ def _close_pairs(minor: np.ndarray, sigs: np.ndarray, most: int) -> Iterator[tup
         yield some[row], column
 
 
-def _across(most: int):
-    """Close pairs across components, from rows sorted by ``key, block, part``."""
-
-    def pairs_of(group: pa.Table) -> pa.RecordBatch | None:
-        doc = group.column("doc").to_numpy()
-        component = group.column("component").to_numpy()
-        minor = np.flatnonzero(group.column("minor").to_numpy(zero_copy_only=False))
-        sigs = group.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64)
-        found = [np.empty((0, 2), np.int64)]
-        for i, j in _close_pairs(minor, sigs.reshape(-1, _LONGS), most):
-            keep = component[i] != component[j]
-            found.append(np.stack((doc[i[keep]], doc[j[keep]]), axis=1))
-        pairs = np.sort(np.concatenate(found), axis=1)
-        pairs = np.unique(pairs, axis=0)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"]
-        )
+def _stars(doc: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Links from the smallest document of each component of the index pairs to the others."""
+    n = len(doc)
+    if not pairs:
+        return np.empty((0, 2), np.int64)
+    i = np.concatenate([a for a, _ in pairs])
+    j = np.concatenate([b for _, b in pairs])
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, label[i], low)
+        np.minimum.at(new, label[j], low)
+        new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    least = np.full(n, np.iinfo(np.int64).max)
+    np.minimum.at(least, label, doc)
+    head = least[label]
+    return np.stack((head, doc), axis=1)[head != doc]
+
+
+def _links_batch(links: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["a", "b"])
+
+
+def _cells(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """The rows of each cell, from rows sorted by the columns that name it."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        new = np.zeros(max(0, table.num_rows - 1), bool)
+        for name in names:
+            mark = table.column(name).to_numpy()
+            new |= mark[1:] != mark[:-1]
+        start = 0
+        for end in (np.flatnonzero(new) + 1).tolist():
+            yield table.slice(start, end - start)
+            start = end
+        rest = table.slice(start)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _signatures(cell: pa.Table) -> np.ndarray:
+    packed = cell.column("sig").combine_chunks().flatten().to_numpy()
+    return packed.view(np.uint64).reshape(-1, _LONGS)
+
+
+def _close(most: int):
+    """Stars of the close members of each cell that has members far from its hub."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _cells(batches, ["key", "block", "part"]):
+            doc = cell.column("doc").to_numpy()
+            minor = np.flatnonzero(cell.column("minor").to_numpy())
+            pairs = list(_close_pairs(minor, _signatures(cell), most))
+            yield _links_batch(_stars(doc, pairs))
+
+    return run
+
+
+class _Sets:
+    """The sets of a cell, one after another."""
+
+    def __init__(self, cell: pa.Table):
+        column = cell.column("shingles").to_pylist()
+        self.size = np.array([len(x) // 8 for x in column], np.int64)
+        self.end = np.cumsum(self.size)
+        self.all = np.frombuffer(b"".join(column), np.uint64)
+
+    def of(self, i: int) -> np.ndarray:
+        return self.all[self.end[i] - self.size[i] : self.end[i]]
+
+    def linked(self, i: int, others: np.ndarray, percent: int) -> np.ndarray:
+        """Those of the others that are similar enough to the set i."""
+        x, n = self.of(i), self.size[others]
+        fit = 100 * np.minimum(n, len(x)) >= percent * np.maximum(n, len(x))
+        others, n = others[fit], n[fit]
+        if not len(others):
+            return others
+        them = np.concatenate([self.of(j) for j in others.tolist()])
+        at = np.minimum(np.searchsorted(x, them), len(x) - 1)
+        shared = np.add.reduceat((x[at] == them).astype(np.int64), np.cumsum(n) - n)
+        return others[100 * shared >= percent * (len(x) + n - shared)]
+
+
+def _verified(most: int, percent: int):
+    """Stars of the links of each cell, by the full sets.
+
+    Rows with ``part`` -1 are a cluster or a block of one, its hub marked as minor: all is
+    compared with the hub, and what is not linked with it with all that is close. In other
+    cells the minor rows are compared with what is close and in another component.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([rest, table]) if rest is not None else table
-            marks = [table.column(name).to_numpy() for name in ("key", "block", "part")]
-            new = np.zeros(max(0, table.num_rows - 1), bool)
-            for mark in marks:
-                new |= mark[1:] != mark[:-1]
-            ends = np.flatnonzero(new) + 1
-            start = 0
-            for end in ends:
-                yield pairs_of(table.slice(start, end - start))
-                start = end
-            rest = table.slice(start)
-        if rest is not None and rest.num_rows:
-            yield pairs_of(rest)
+        for cell in _cells(batches, ["key", "block", "part"]):
+            doc, sets, sigs = cell.column("doc").to_numpy(), _Sets(cell), _signatures(cell)
+            component = cell.column("component").to_numpy()
+            minor = np.flatnonzero(cell.column("minor").to_numpy())
+            pairs, every = [], np.arange(len(doc))
+            if cell.column("part")[0].as_py() < 0:
+                hub = int(minor[0])
+                found = sets.linked(hub, every, percent)
+                pairs.append((np.full(len(found), hub), found))
+                minor = np.setdiff1d(every, found)
+            for i, j in _close_pairs(minor, sigs, most):
+                other = doc[i] != doc[j]
+                other &= (component[i] != component[j]) | (component[i] < 0)
+                i, j = i[other], j[other]
+                for k in np.unique(i).tolist():
+                    found = sets.linked(k, j[i == k], percent)
+                    pairs.append((np.full(len(found), k), found))
+            yield _links_batch(_stars(doc, pairs))
 
     return run
 
 
-def _rest_pairs(members: DataFrame, found: DataFrame, most: int) -> DataFrame:
-    """Close pairs of bucket members that no link connects yet.
+def _in_cells(rows: DataFrame) -> DataFrame:
+    cell = ["key", "block", "part"]
+    return rows.repartition(*cell).sortWithinPartitions(*cell)
+
+
+def _blocks(n: Column) -> Column:
+    return F.ceil(n / BLOCK).cast("long")
+
 
-    Members outside the largest component of their bucket meet all members, block by block.
+def _crossed(odd: DataFrame, rest: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of cells in which every odd row meets every row of its ``key``.
+
+    Both have ``blocks`` and ``parts`` of the key and ``h``, a hash of the document. All
+    rows are dealt into blocks, odd ones into parts; a cell is a block and a part.
     """
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    minors = odd.withColumns({"minor": F.lit(1), "part": F.pmod("h", "parts")}).withColumn(
+        "block", upto("blocks")
+    )
+    others = rest.withColumns({"minor": F.lit(0), "block": F.pmod("h", "blocks")}).withColumn(
+        "part", upto("parts")
+    )
+    columns = ["key", "block", "part", "minor", *columns]
+    return _in_cells(minors.select(columns).union(others.select(columns)))
+
+
+def _clusters(heads: DataFrame, most: int) -> DataFrame:
+    """``doc, cluster, company``: classes that close signatures within buckets connect."""
+    banded = heads.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key"))
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = staged(banded.join(shared, "key"))
+    company = members.groupBy("doc").agg(F.sum("n").alias("company"))
+    signed = staged(
+        heads.select(F.col("doc_id").alias("doc"), "sig").join(company, "doc")
+    )
+    members = members.join(signed, "doc")
+    hubs = members.groupBy("key").agg(
+        F.max(F.struct("company", -F.col("doc"), "sig")).alias("hub")
+    )
+    marked = staged(
+        members.join(hubs, "key").select(
+            "key", "doc", "sig", "n", (-F.col("hub.col2")).alias("hub"),
+            (_unequal(F.col("sig"), F.col("hub.sig")) <= most).alias("close"),
+        )
+    )
+    stars = marked.where("close AND doc != hub").select(F.col("hub").alias("a"), F.col("doc").alias("b"))
+    far = marked.where("NOT close").groupBy("key").agg(F.count(F.lit(1)).alias("far"))
+    opened = marked.join(far, "key").withColumns(
+        {"h": F.xxhash64("doc"), "blocks": _blocks(F.col("n")), "parts": _blocks(F.col("far"))}
+    )
+    cells = _crossed(opened.where("NOT close"), opened, ["doc", "sig"])
+    more = cells.mapInArrow(_close(most), "a long, b long")
+    found = components(stars.union(more))
+    return found.select(F.col("node").alias("doc"), F.col("component").alias("cluster")).join(
+        signed, "doc"
+    )
+
+
+def _links(clusters: DataFrame, sets: DataFrame, most: int, percent: int) -> DataFrame:
+    """Links ``a, b`` that connect what the full sets connect within clusters."""
+    sizes = clusters.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.struct("company", -F.col("doc"))).alias("hub")
+    )
+    rows = clusters.join(sizes, "cluster").select(
+        F.col("cluster").alias("key"), "doc", "sig", "n", F.xxhash64("doc").alias("h"),
+        _blocks(F.col("n")).alias("blocks"), (-F.col("hub.col2") == F.col("doc")).alias("is_hub"),
+    )
+    full = staged(rows.join(sets.withColumnRenamed("doc_id", "doc"), "doc"))
+    own = F.array(F.pmod("h", "blocks"))
+    each = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    cells = full.select(
+        "key",
+        F.explode(F.when(F.col("is_hub"), each).otherwise(own)).alias("block"),
+        F.lit(-1).cast("long").alias("part"),
+        F.col("is_hub").cast("int").alias("minor"),
+        "doc", F.lit(-1).cast("long").alias("component"), "sig", "shingles",
+    )
+    check = _verified(most, percent)
+    links = staged(_in_cells(cells).mapInArrow(check, "a long, b long"))
+    large = full.where("blocks > 1")
+    if large.isEmpty():
+        return links
     labelled = (
-        members.join(found.withColumnRenamed("node", "doc"), "doc", "left")
+        large.join(components(links).withColumnRenamed("node", "doc"), "doc", "left")
         .withColumn("component", F.coalesce("component", "doc"))
-        .select("key", "doc", "component", "sig")
     )
     parts = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = (
+    main = (
         parts.groupBy("key")
-        .agg(
-            F.max_by("component", F.struct("size", "component")).alias("main"),
-            F.sum("size").alias("all"),
-            F.max("size").alias("most"),
-        )
-        .where("all > most")
-        .select(
-            "key",
-            "main",
-            F.ceil(F.col("all") / BLOCK).alias("blocks"),
-            F.ceil((F.col("all") - F.col("most")) / BLOCK).alias("parts"),
-        )
-    )
-    open_members = labelled.join(largest, "key").withColumn("h", F.xxhash64("doc"))
-    odd = F.col("component") != F.col("main")
-    minors = open_members.where(odd).select(
-        "key", "doc", "component", "sig", F.pmod("h", "parts").alias("part"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-        F.lit(True).alias("minor"),
+        .agg(F.max(F.struct("size", "component")).alias("main"), F.sum("size").alias("all"))
+        .where("all > main.size")
+        .select("key", F.col("main.component").alias("main"),
+                _blocks(F.col("all") - F.col("main.size")).alias("parts"))
     )
-    others = open_members.select(
-        "key", "doc", "component", "sig", F.pmod("h", "blocks").alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-        F.lit(False).alias("minor"),
+    opened = labelled.join(main, "key")
+    cells = _crossed(
+        opened.where("component != main"), opened, ["doc", "component", "sig", "shingles"]
     )
-    columns = ["key", "block", "part", "minor", "doc", "component", "sig"]
-    rows = minors.select(columns).union(others.select(columns))
-    spread = rows.repartition("key", "block", "part").sortWithinPartitions("key", "block", "part")
-    return spread.mapInArrow(_across(most), "a long, b long").distinct()
+    return links.union(cells.mapInArrow(check, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
@@ -278,33 +396,12 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
     classes = staged(linkable.groupBy(*same).agg(F.min("doc_id").alias("doc_id")))
     heads = linkable.join(classes, [*same, "doc_id"], "left_semi").dropDuplicates(["doc_id"])
 
-    banded = heads.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = staged(banded.join(shared, "key"))
-    company = members.groupBy("doc").agg(F.sum("n").alias("company"))
-    signed = staged(
-        heads.select(F.col("doc_id").alias("doc"), "sig").join(company, "doc")
-    )
-    members = staged(members.select("key", "doc").join(signed, "doc"))
-
-    hubs = members.groupBy("key").agg(
-        F.max_by("doc", F.struct("company", -F.col("doc"))).alias("a")
-    )
-    stars = (
-        members.join(hubs, "key")
-        .where("doc != a")
-        .select("a", F.col("doc").alias("b"), F.col("sig").alias("sig_b"))
-        .dropDuplicates(["a", "b"])
-        .join(signed.select(F.col("doc").alias("a"), F.col("sig").alias("sig_a")), "a")
-        .where(_unequal(F.col("sig_a"), F.col("sig_b")) <= most)
-        .select("a", "b")
-    )
-    wanted = docs.join(signed.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
-    sets = staged(wanted.mapInArrow(_sets, "doc_id long, shingles binary"))
-    links = staged(_confirmed(stars, sets, percent))
-    rest = _rest_pairs(members, components(links), most)
-    more = staged(_confirmed(rest, sets, percent))
-    found = components(links.union(more))
+    clusters = staged(_clusters(heads, most))
+    # Named a merge, so that texts are sent to the few wanted ids alike at every size.
+    wanted = clusters.select(F.col("doc").alias("doc_id")).hint("merge")
+    texts = docs.join(wanted, "doc_id", "left_semi")
+    sets = texts.mapInArrow(_sets, "doc_id long, shingles binary")
+    found = components(_links(clusters, sets, most, percent))
 
     named = (
         classes.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
