@@ -119,32 +119,38 @@ def _vote(bad: str, good: str) -> Column:
     return F.when(F.expr(bad), -1).when(F.expr(good), 1).otherwise(0)
 
 
-#: Each rule: when it votes against a document, and when for it; else it abstains.
+#: Each rule: when it votes against a document, when for it (else it abstains), and the
+#: largest share of good documents that it is believed to accuse. Strict rules come first;
+#: the last one often accuses good documents, so others can outvote it.
 RULES = {
     "word_length": (
         "word_chars < 2 * n_words or word_chars > 14 * n_words",
         "word_chars >= 3 * n_words and word_chars <= 10 * n_words",
+        0.001,
+    ),
+    "symbols": ("10 * n_symbols > n_words", "100 * n_symbols <= n_words", 0.001),
+    "duplicate_lines": ("2 * n_dup_lines > n_lines", "n_dup_lines = 0", 0.001),
+    "repetition": (
+        "10 * n_repeat_words > 3 * n_words", "20 * n_repeat_words <= n_words", 0.001
+    ),
+    "capitals": ("10 * n_capitals > 3 * word_chars", "20 * n_capitals <= word_chars", 0.001),
+    "some_repetition": (
+        "10 * n_repeat_words > n_words", "50 * n_repeat_words <= n_words", 0.1
     ),
-    "symbols": ("10 * n_symbols > n_words", "100 * n_symbols <= n_words"),
-    "duplicate_lines": ("2 * n_dup_lines > n_lines", "n_dup_lines = 0"),
-    "repetition": ("10 * n_repeat_words > 3 * n_words", "20 * n_repeat_words <= n_words"),
-    "capitals": ("10 * n_capitals > 3 * word_chars", "20 * n_capitals <= word_chars"),
 }
 
-#: What is believed of every rule before the corpus is seen: the probability of each vote, if
-#: it votes, on a good and on a bad document, and the weight of that belief against the
-#: documents of the class. Whatever the corpus says, a rule accuses at most this share of good documents:
-#: without that bound the likeliest model calls a frequent fault good if it never comes
-#: together with another one.
-BELIEF_GOOD = ({-1: 0.005, 1: 0.995}, 0.1)
-BELIEF_BAD = ({-1: 0.5, 1: 0.5}, 0.1)
-MOST_FALSE_ALARMS = 0.01
+#: What is believed of bad documents: a rule accuses between these shares of them. Faults
+#: are of many kinds, so most rules have nothing against a given bad document. Without the
+#: bounds the likeliest model has one kind of fault, and calls good what shows another.
+ACCUSED_BAD = (0.1, 0.3)
+#: Bounds of the share of good documents.
+SHARE_GOOD = (0.03, 0.97)
 
 
 def with_votes(stats: DataFrame) -> DataFrame:
     """Adds ``votes``, one of -1, 0, 1 per rule, in the order of ``RULES``."""
     return stats.withColumn(
-        "votes", F.array(*[_vote(*conditions).cast("int") for conditions in RULES.values()])
+        "votes", F.array(*[_vote(bad, good).cast("int") for bad, good, _ in RULES.values()])
     )
 
 
@@ -180,39 +186,44 @@ class LabelModel:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 
-def _vote_table(
-    counts: list[tuple[tuple[int, ...], int]], share: list[float], belief: tuple
-) -> list[dict[int, float]]:
-    """Per rule the probability of each vote, if it votes, in a class."""
-    mean, strength = belief
-    weight = sum(n * s for (_, n), s in zip(counts, share, strict=True))
-    seen = [{v: (strength * weight + 1) * mean[v] for v in (-1, 1)} for _ in RULES]
-    for (votes, n), s in zip(counts, share, strict=True):
-        for rule, vote in enumerate(votes):
-            if vote:
-                seen[rule][vote] += n * s
-    return [{v: x / (one[-1] + one[1]) for v, x in one.items()} for one in seen]
+def _accusing(
+    counts: list[tuple[tuple[int, ...], int]], share: list[float], rule: int
+) -> tuple[float, float]:
+    """Documents of a class that a rule accuses, and that it votes on; one of each added."""
+    voted = [(votes[rule], n * s) for (votes, n), s in zip(counts, share, strict=True)]
+    return (
+        1 + sum(n for vote, n in voted if vote < 0),
+        2 + sum(n for vote, n in voted if vote),
+    )
+
+
+def _within(x: float, bounds: tuple[float, float]) -> float:
+    return min(bounds[1], max(bounds[0], x))
 
 
 def fit_counts(counts: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> LabelModel:
-    """EM over the number of documents per vote pattern.
+    """EM over the number of documents per vote pattern, within what is believed.
 
-    Starts from "bad if any rule says so" and ends when the share of good documents stands
-    still. An empty list gives the beliefs alone.
+    Starts from "bad if a strict rule says so" and ends when the share of good documents
+    stands still. An empty list gives the beliefs alone.
     """
     total = sum(n for _, n in counts)
-    share = [0.0 if min(votes) < 0 else 1.0 for votes, _ in counts]
+    strict = [rule for rule, (_, _, most) in enumerate(RULES.values()) if most < 0.01]
+    share = [0.0 if any(votes[r] < 0 for r in strict) else 1.0 for votes, _ in counts]
     model = LabelModel(0.0, [], [])
     for _ in range(rounds):
-        good = [
-            one | {-1: min(one[-1], MOST_FALSE_ALARMS)}
-            for one in _vote_table(counts, share, BELIEF_GOOD)
-        ]
-        bad = _vote_table(counts, [1 - s for s in share], BELIEF_BAD)
+        good, bad = [], []
+        for rule, (_, _, most) in enumerate(RULES.values()):
+            accused, voted = _accusing(counts, share, rule)
+            wrong = _within(accused / voted, (most / 2, most))
+            accused, voted = _accusing(counts, [1 - s for s in share], rule)
+            right = _within(accused / voted, ACCUSED_BAD)
+            good.append({-1: wrong, 1: 1 - wrong})
+            bad.append({-1: right, 1: 1 - right})
         kept = sum(n * s for (_, n), s in zip(counts, share, strict=True))
-        before = model.prior
-        model = LabelModel(min(0.99, max(0.01, (kept + 1) / (total + 2))), good, bad)
-        if abs(model.prior - before) < 1e-9:
+        before, prior = model.prior, _within((kept + 1) / (total + 2), SHARE_GOOD)
+        model = LabelModel(prior, good, bad)
+        if abs(prior - before) < 1e-9:
             break
         share = [1 / (1 + math.exp(-model.odds(votes))) for votes, _ in counts]
     return model
