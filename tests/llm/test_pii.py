@@ -1,0 +1,65 @@
+import random
+
+import pytest
+from brute import base_spans
+
+from registrylake.llm import pii
+
+CARD = "4539148803436467"
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("write john (dot) doe [at] mail (dot) example.com now", "john (dot) doe [at] mail (dot) example.com"),
+        ("ann at example dot com", "ann at example dot com"),
+        ("jоhn@exаmple.com", "jоhn@exаmple.com"),
+        ("ann＠example。com", "ann＠example。com"),
+        ("４５３９１４８８０３４３６４６７", "４５３９１４８８０３４３６４６７"),
+        ("call plus one five five five one two three four five six seven ok", "plus one five five five one two three four five six seven"),
+        ("ip one nine two dot one six eight dot one dot one!", "one nine two dot one six eight dot one dot one"),
+        ("eins neun zwei punkt eins sechs acht punkt eins punkt eins", "eins neun zwei punkt eins sechs acht punkt eins punkt eins"),
+        ("4539​1488​0343​6467", "4539​1488​0343​6467"),
+    ],
+)
+def test_disguises_map_back_to_the_source(text, found):
+    base, spans = pii.all_spans(text)
+    assert [text[a:b] for a, b, _ in spans if (a, b, _) not in base] == [found]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", "meet at home", "one two three four", "see the dot on the map", "at 5 at noon dot", "Привет, мир",
+     "un deux trois", "version 1.2.3", "a@b", "+49", "x" * 50_000, "1" * 50_000, "<at>"],
+)
+def test_clean_texts_have_no_spans(text):
+    assert pii.all_spans(text) == ([], [])
+    assert pii.redacted(text, []) == text
+
+
+def test_base_equals_plain_patterns():
+    rng = random.Random(2)
+    pieces = ["a.b@c.de", "@", "x@y", "1.2.3.4", "256.1.1.1", "1.2.3.4.5.6.7.8", CARD, "4539 1488-0343 6467",
+              "+1 (017) 555-7713", "+", "  ", "\n", "é", "00012", ".", "-", "word", "%+", "9" * 25, "a@b@c.de", "0.0.0.0300"]
+    for _ in range(1500):
+        text = "".join(rng.choice(pieces) + rng.choice(["", " "]) for _ in range(rng.randrange(12)))
+        assert pii.base_spans(text) == base_spans(text), text
+
+
+def test_redacted_joins_overlaps():
+    assert pii.redacted("ab cd ef", [(0, 5, "email"), (3, 8, "ip")]) == "[EMAIL]"
+    text = f"a@b.cd, {CARD}."
+    assert pii.redacted(text, pii.all_spans(text)[1]) == "[EMAIL], [CARD]."
+
+
+def test_tables(spark):
+    rows = [(1, "a@b.cd", 9, "k"), (1, "a@b.cd", 9, "k"), (None, None, None, None), (3, "", 0, "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans string")
+    got = sorted(map(tuple, pii.find_personal_data(docs).select("doc_id", "n_email", "n_ip", "spans").collect()), key=repr)
+    assert got == [(1, 1, 0, "email:0:6"), (1, 1, 0, "email:0:6"), (3, 0, 0, ""), (None, 0, 0, "")]
+    clean = pii.redact(docs)
+    assert clean.columns == docs.columns
+    assert sorted(map(tuple, clean.collect()), key=repr) == [
+        (1, "[EMAIL]", 7, "k"), (1, "[EMAIL]", 7, "k"), (3, "", 0, "k"), (None, None, None, None)
+    ]
+    assert pii.redact(docs.limit(0)).collect() == []

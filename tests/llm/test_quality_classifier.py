@@ -1,0 +1,73 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from registrylake.llm import quality_classifier as C
+
+
+def labelled(n=400, seed=1):
+    rng = random.Random(seed)
+    docs, labels = [], []
+    for doc_id in range(n):
+        words = [rng.choice("the quiet river runs along old walls and fields".split()) + rng.choice("abcdef") for _ in range(rng.randrange(5, 150))]
+        good = doc_id % 4 != 0
+        if not good:
+            words = [w + "%%" for w in words] if doc_id % 8 else [words[0]] * 60
+        docs.append((doc_id, " ".join(words) + "."))
+        labels.append((doc_id, int(good)))
+    return docs, labels
+
+
+def test_held_out_accuracy(spark, documents):
+    docs, labels = labelled()
+    frame = spark.createDataFrame(labels, "doc_id long, quality int")
+    truth = dict(labels)
+    rows = C.classify(documents(docs), frame).collect()
+    assert len(rows) == len(docs)
+    held = [r for r in rows if r["held_out"]]
+    assert {r["doc_id"] for r in held} == {i for i, _ in docs if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in held]) >= 0.95
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+
+
+def test_held_out_labels_do_not_count(spark, documents):
+    docs, labels = labelled(120)
+    flipped = [(i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q) for i, q in labels]
+    scores = [
+        sorted(
+            (r["doc_id"], round(r["score"], 9))
+            for r in C.classify(documents(docs), spark.createDataFrame(x, "doc_id long, quality int")).collect()
+        )
+        for x in (labels, flipped)
+    ]
+    assert scores[0] == scores[1]
+
+
+def test_odd_rows_and_missing_classes(spark):
+    docs = spark.createDataFrame(
+        [(1, None, 3), (1, None, 3), (2, "", 3), (None, "x", 3), (3, "word " * 50_000, 3)],
+        "doc_id long, text string, score int",
+    )
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r["score"] for r in C.classify(docs, none).collect()} == {0.5}
+    one = spark.createDataFrame([(2, 1), (2, None), (None, 1), (3, 7)], "doc_id long, quality int")
+    assert {r["score"] for r in C.classify(docs, one).collect()} == {1.0}
+    assert C.classify(docs.limit(0), one).collect() == []
+
+
+def test_score_is_the_difference_of_the_densities():
+    rng = np.random.default_rng(3)
+    k = len(C.FEATURES)
+    a, b = rng.normal(0, 1, (300, k)), rng.normal(1, 2, (200, k))
+    model = C.fit_moments({1: (300, a.sum(0), a.T @ a), 0: (200, b.sum(0), b.T @ b)})
+    x = rng.normal(0.5, 1, (5, k))
+
+    def plain(gaussian, row):
+        cov = gaussian.factor @ gaussian.factor.T
+        d = row - gaussian.mean
+        return np.log(gaussian.prior) - 0.5 * (d @ np.linalg.inv(cov) @ d + np.log(np.linalg.det(cov)))
+
+    odds = [plain(model.good, row) - plain(model.bad, row) for row in x]
+    assert model.score(x) == pytest.approx(1 / (1 + np.exp(-np.array(odds))))
