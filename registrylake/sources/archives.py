@@ -1,15 +1,20 @@
 """Zip archives of delimited Latin-1 text as a Spark data source of logical records.
 
 A compressed member can only be read from its start, so one task per archive would make
-the largest archive the length of the whole job. Each member is therefore planned as
-several slices of its uncompressed bytes. A task inflates up to its slice, counting only
-quotes on the way, and turns just the records that start in its slice into rows. Inflating
-is several times cheaper than decoding, transferring, parsing and writing, which the slices
-share without a shuffle, and a lost slice is read again on its own.
+the largest archive the length of the whole job. Where there are fewer archives than tasks
+wanted, a member is planned as several slices of its uncompressed bytes. A task inflates up
+to its slice, only finding the ends of records on the way, and turns just the records that
+start in its slice into rows. A lost slice is read again on its own.
+
+A quote opens a field only at its start. The next single quote ends the quoted part: before a
+separator or the end of the record it closes the field, elsewhere the rest of the field is
+plain text. So a stray inch mark never joins records.
 """
 
 from __future__ import annotations
 
+import logging
+import re
 import sys
 import zipfile
 from collections.abc import Iterator
@@ -27,6 +32,8 @@ from registrylake.sources.files import list_files, resolve
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+log = logging.getLogger(__name__)
+
 RECORD_SCHEMA = "archive string, member string, record_offset bigint, value string"
 
 _ARROW_SCHEMA = pa.schema(
@@ -52,68 +59,91 @@ class MemberSlice(InputPartition):
     stop: int
 
 
+def _inside_quotes(buffer: np.ndarray, breaks: np.ndarray, sep: bytes, at_end: bool) -> np.ndarray:
+    """Which of the breaks are inside a quoted field; the buffer starts with a record.
+
+    Each run of quotes either opens a field, closes one, does what the state before it
+    says, or nothing. The state at a break follows from the last run that sets it and the
+    number of runs since that turn it over.
+    """
+    quotes = np.flatnonzero(buffer == _QUOTE)
+    if not len(quotes):
+        return np.zeros(len(breaks), bool)
+    new = np.concatenate(([True], np.diff(quotes) > 1))
+    first = quotes[new]
+    size = np.diff(np.append(np.flatnonzero(new), len(quotes)))
+    after = first + size
+    known = after < len(buffer)
+    if not (known[-1] or at_end):  # what follows the last run is in the next chunk
+        first, size, after, known = first[:-1], size[:-1], after[:-1], known[:-1]
+    edge = np.zeros(256, bool)
+    edge[[_LF, _CR]] = True
+    starts = np.where(first > 0, edge[buffer[first - 1]] | (buffer[first - 1] == sep[-1]), True)
+    following = buffer[np.minimum(after, len(buffer) - 1)]
+    ends = ~known | edge[following] | (following == sep[0])
+    odd = size % 2 == 1  # pairs are escaped quotes, or an empty field
+    opens, closes, turns = starts & ~ends & odd, ~starts & odd, starts & ends & odd
+    turned = np.cumsum(turns)
+    number = np.arange(1, len(first) + 1)
+    last = np.maximum.accumulate(np.where(opens | closes, number, 0))
+    base = np.where(last > 0, opens[last - 1], False)
+    since = turned - np.where(last > 0, turned[last - 1], 0)
+    state = np.concatenate(([False], base ^ (since % 2 == 1)))
+    return state[np.searchsorted(first, breaks)]
+
+
+def _record_ends(pending: bytes, sep: bytes, at_end: bool, give_up: bool) -> np.ndarray:
+    """Ends of the records that ``pending``, which starts with one, holds whole.
+
+    If there is none and the wait is given up, every line ends a record.
+    """
+    buffer = np.frombuffer(pending, np.uint8)
+    breaks = np.flatnonzero(buffer == _LF)
+    if b"\r" in pending:
+        returns = np.flatnonzero(buffer == _CR)
+        if not at_end:
+            returns = returns[returns < len(buffer) - 1]  # its LF may be in the next chunk
+        followed = buffer[np.minimum(returns + 1, len(buffer) - 1)] == _LF
+        breaks = np.union1d(breaks, returns[~followed])
+    ends = breaks[~_inside_quotes(buffer, breaks, sep, at_end)] + 1
+    rest = int(ends[-1]) if len(ends) else 0
+    if at_end or give_up and not len(ends):
+        ends = np.union1d(ends, breaks[breaks >= rest] + 1)
+    if at_end and len(pending) and (not len(ends) or ends[-1] < len(pending)):
+        ends = np.append(ends, len(pending))
+    return ends
+
+
 def record_batches(
-    stream, start: int, stop: int, chunk: int = _CHUNK, max_record: int = _MAX_RECORD
+    stream,
+    start: int,
+    stop: int,
+    chunk: int = _CHUNK,
+    max_record: int = _MAX_RECORD,
+    sep: bytes = b";",
 ) -> Iterator[tuple[np.ndarray, pa.Array]]:
     """Offsets and UTF-8 text of the logical records that start in [start, stop).
 
-    A line break ends a record unless the quotes before it are unpaired; CR LF and a lone
-    CR count as LF. ``stream`` is read from its first byte.
+    A line break ends a record unless it is inside a quoted field; CR LF and a lone CR count
+    as LF. A field that is still open after ``max_record`` bytes, or at the end, is given up:
+    the lines from its record on are records of their own, for the parser to judge.
+    ``stream`` is read from its first byte, in equal chunks, so all slices agree.
     """
-    position = 0  # offset of the next byte to read
-    open_quote = 0  # 1 when the bytes before ``base`` leave a quote open
-    # Stop one byte early: the break that ends the record before ``start`` decides
-    # whether a record starts there.
-    while position < start - 1:
-        skipped = stream.read(min(chunk, start - 1 - position))
-        if not skipped:
-            return
-        open_quote ^= skipped.count(b'"') & 1
-        position += len(skipped)
-    base = position  # offset of pending[0]
-    pending = b""
-    aligned = start == 0
+    base, pending = 0, b""  # pending starts at byte ``base``, with a record
     while base < stop:
         data = stream.read(chunk)
-        position += len(data)
         pending += data
-        at_end = not data
-        buffer = np.frombuffer(pending, np.uint8)
-        breaks = np.flatnonzero(buffer == _LF)
-        if b"\r" in pending:
-            returns = np.flatnonzero(buffer == _CR)
-            if not at_end:
-                returns = returns[returns < len(buffer) - 1]  # its LF may be in the next chunk
-            followed = buffer[np.minimum(returns + 1, len(buffer) - 1)] == _LF
-            breaks = np.union1d(breaks, returns[~followed])
-        quotes = np.flatnonzero(buffer == _QUOTE)
-        outside = (np.searchsorted(quotes, breaks) + open_quote) % 2 == 0
-        ends = breaks[outside] + 1
-        if at_end and len(pending) and (not len(ends) or ends[-1] < len(pending)):
-            ends = np.append(ends, len(pending))
-        if not len(ends):
-            if at_end:
-                return
-            if len(pending) > max_record:
-                raise ValueError(
-                    f"record at byte {base} exceeds {max_record} bytes: unpaired quote?"
-                )
-            continue
-        starts = np.append(0, ends[:-1])
-        keep = np.ones(len(ends), bool)
-        if not aligned:
-            keep[0] = False  # the tail of a record that starts before this slice
-            aligned = True
-        keep &= starts + base < stop
-        if keep.any():
-            starts, ends_kept = starts[keep], ends[keep]  # adjacent records
-            raw = pending[starts[0] : ends_kept[-1]]
-            yield starts + base, _texts(raw, ends_kept - starts[0])
-        consumed = int(ends[-1])
-        open_quote = 0  # a record always ends outside quotes
-        base += consumed
-        pending = pending[consumed:]
-        if at_end:
+        ends = _record_ends(pending, sep, not data, len(pending) > max_record)
+        if len(ends):
+            starts = np.append(0, ends[:-1])
+            keep = (starts + base >= start) & (starts + base < stop)
+            if keep.any():
+                starts, ends_kept = starts[keep], ends[keep]  # adjacent records
+                raw = pending[starts[0] : ends_kept[-1]]
+                yield starts + base, _texts(raw, ends_kept - starts[0])
+            base += int(ends[-1])
+            pending = pending[int(ends[-1]) :]
+        if not data:
             return
 
 
@@ -130,6 +160,26 @@ def _texts(raw: bytes, ends: np.ndarray) -> pa.Array:
     return pc.utf8_rtrim(texts, "\n")
 
 
+def slices_of(
+    members: list[tuple[str, str, int]], tasks: int, slice_bytes: int, max_slices: int
+) -> list[MemberSlice]:
+    """Slices of about the inflated bytes of the whole scan over ``tasks``.
+
+    Each slice inflates its member from the start, so members are not cut where there are
+    enough of them; none is cut below ``slice_bytes`` or into more than ``max_slices``.
+    """
+    share = max(slice_bytes, -(-sum(size for _, _, size in members) // max(1, tasks)))
+    slices = []
+    for archive, name, size in members:
+        count = min(max_slices, max(1, round(size / share)))
+        width = max(1, -(-size // count))
+        slices += [
+            MemberSlice(archive, name, start, start + width)
+            for start in range(0, max(1, size), width)
+        ]
+    return slices
+
+
 class ArchiveReader(DataSourceReader):
     def __init__(self, options):
         self.directory = options["path"]
@@ -140,25 +190,23 @@ class ArchiveReader(DataSourceReader):
         self.sep = options.get("sep", ";")
         self.slice_bytes = int(options.get("slicebytes", 64 << 20))
         self.max_slices = int(options.get("maxslices", 32))
+        self.tasks = int(options.get("tasks", 32))
 
     def partitions(self) -> list[MemberSlice]:
         with ThreadPoolExecutor(16) as pool:
-            plans = pool.map(self._slices, list_files(self.directory, self.pattern))
-            return [piece for plan in plans for piece in plan]
+            listed = pool.map(self._members, list_files(self.directory, self.pattern))
+            members = [member for archive in listed for member in archive]
+        return slices_of(members, self.tasks, self.slice_bytes, self.max_slices)
 
-    def _slices(self, archive: str) -> list[MemberSlice]:
+    def _members(self, archive: str) -> list[tuple[str, str, int]]:
+        """Archive, name and inflated size of the members to read."""
         system, path = resolve(archive)
         with system.open_input_file(path) as file, zipfile.ZipFile(file) as packed:
             members = [info for info in packed.infolist() if not info.is_dir()]
-        slices = []
-        for info in members if self.all_members else members[:1]:
-            count = min(self.max_slices, max(1, -(-info.file_size // self.slice_bytes)))
-            width = max(1, -(-info.file_size // count))
-            slices += [
-                MemberSlice(archive, info.filename, start, start + width)
-                for start in range(0, max(1, info.file_size), width)
-            ]
-        return slices
+        if len(members) > 1 and not self.all_members:
+            log.warning("%s: only the first of %d members is read", archive, len(members))
+            members = members[:1]
+        return [(archive, info.filename, info.file_size) for info in members]
 
     def read(self, piece: MemberSlice) -> Iterator[pa.RecordBatch]:
         system, path = resolve(piece.archive)
@@ -168,7 +216,8 @@ class ArchiveReader(DataSourceReader):
             packed.open(piece.member) as stream,
         ):
             drop_header = self.header and piece.start == 0
-            for offsets, texts in record_batches(stream, piece.start, piece.stop):
+            sep = self.sep.encode("latin-1")
+            for offsets, texts in record_batches(stream, piece.start, piece.stop, sep=sep):
                 if drop_header:
                     drop_header = False
                     self._check_header(texts[0].as_py(), piece)
@@ -185,7 +234,8 @@ class ArchiveReader(DataSourceReader):
                 )
 
     def _check_header(self, header: str, piece: MemberSlice) -> None:
-        found = header.count(self.sep) + 1
+        unquoted = re.sub('"[^"]*"', "", header)
+        found = unquoted.count(self.sep) + 1
         if self.fields and found != self.fields:
             raise ValueError(
                 f"{piece.archive}: header has {found} fields, {self.fields} are declared"
@@ -211,5 +261,6 @@ def scan_records(spark: SparkSession, directory: str, pattern: str, **options) -
     if not list_files(directory, pattern):
         return spark.createDataFrame([], RECORD_SCHEMA)
     spark.dataSource.register(ArchiveRecords)
-    reader = spark.read.format("zip_records").option("pattern", pattern)
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    reader = spark.read.format("zip_records").options(pattern=pattern, tasks=tasks)
     return reader.options(**options).load(directory)
