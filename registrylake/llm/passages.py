@@ -41,16 +41,17 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from registrylake.llm.phrases import WINDOW, Places, doubled, phrases, window_hashes
-from registrylake.llm.shingles import byte_texts, small_batches
+from registrylake.llm.shingles import byte_texts, mixed
 from registrylake.tables.work import staged
 
-#: Text that one part of a shuffle stands for.
-PART_BYTES = 32 << 20
+#: Text that one part of a shuffle stands for, and that is parsed before phrases are sent.
+PART_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 #: Different phrases of a trigger in one batch from which on single windows are followed.
 HOT_PHRASES = 256
 
 _COVERED, _OPEN, _HOT, _ASKED = 0, 1, 2, 3
-_BOTH, _GROUP, _NONE = ("group", "same"), ("group",), ()
+_SHORT, _GROUP, _NONE = ("short", "same"), ("group",), ()
 _PACKED = "part int, places binary"
 
 
@@ -89,15 +90,15 @@ def _settled(places: Places, part_of, keep) -> Iterator[tuple[int, bytes]]:
     places, new, first = _first_docs(places)
     covered = places.take(~first)
     covered.kind = np.full(len(covered), _COVERED, np.uint8)
-    yield from covered.by(part_of(covered.doc.view(np.uint64)), keep)
+    yield from covered.by(part_of(mixed(covered.doc.view(np.uint64))), keep)
     yield from places.take(first).by(part_of(places.group[first]), keep)
 
 
-def _parse(parts: int):
+def _parse(parts: int, batch_bytes: int, hot_phrases: int):
     """Packed phrases of all documents, by trigger."""
 
     def spread(values: np.ndarray) -> np.ndarray:
-        return ((values >> np.uint64(8)) % np.uint64(parts)).astype(np.int32)
+        return ((values >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
 
     def flush(found: list) -> Iterator[pa.RecordBatch]:
         places = Places.joined(found)
@@ -107,7 +108,7 @@ def _parse(parts: int):
             distinct = _runs(group, places.same[order])
             new = _runs(group)
             many = np.add.reduceat(distinct.astype(np.int64), np.flatnonzero(new))
-            hot = group[np.flatnonzero(new)][many >= HOT_PHRASES]
+            hot = group[np.flatnonzero(new)][many >= hot_phrases]
             is_hot = np.isin(places.group, hot)
             hots = places.take(is_hot)
             hots.kind = np.full(len(hots), _HOT, np.uint8)
@@ -118,9 +119,9 @@ def _parse(parts: int):
                     *(np.zeros(n, kind) for _, kind in Places.FIELDS[:4]),
                     np.full(n, _ASKED, np.uint8), hot, np.zeros(n, np.uint64),
                 )
-            yield _rows(hots.by(spread(hots.same), _BOTH))
-            yield _rows(told.by(spread(told.group), _BOTH))
-            yield _rows(_settled(places.take(~is_hot), spread, _BOTH))
+            yield _rows(hots.by(spread(hots.same), _SHORT))
+            yield _rows(told.by(spread(told.group), _SHORT))
+            yield _rows(_settled(places.take(~is_hot), spread, _SHORT))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, size = [], 0
@@ -140,7 +141,7 @@ def _parse(parts: int):
                     )
                 )
                 size += len(text)
-                if size >= PART_BYTES:
+                if size >= batch_bytes:
                     yield from flush(found)
                     found, size = [], 0
         yield from flush(found)
@@ -170,8 +171,9 @@ def _combine(parts: int):
     """What dictionary and parse settle: covered, open and hot places, by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _parts(batches):
-            places = Places.joined([Places.unpacked(row, _BOTH) for row in rows])
+        for part, rows in _parts(batches):
+            places = Places.joined([Places.unpacked(row, _SHORT) for row in rows])
+            places.group = places.group | np.uint64(part << 32)
             asked = places.group[places.kind == _ASKED]
             known = places.take((places.kind == _COVERED) | (places.kind == _HOT))
             rest, new, first = _first_docs(places.take(places.kind == _OPEN))
@@ -359,11 +361,14 @@ def merged_ranges(ranges: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(ranges[new, 0].tolist(), reach[last].tolist()))
 
 
-def remove_passages(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+def remove_passages(
+    docs: DataFrame, part_bytes: int = PART_BYTES, hot_phrases: int = HOT_PHRASES
+) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed`` of every document.
 
     ``docs`` has an integer ``doc_id`` and ``text``. ``removed`` lists the starts and ends
-    of the removed runs in bytes. ``part_bytes`` bounds what a task holds at a time.
+    of the removed runs in bytes. ``part_bytes`` is the text that a part of a shuffle stands for, and
+    ``hot_phrases`` the number of phrases of a trigger from which on windows are followed.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -373,7 +378,7 @@ def remove_passages(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
         return frame.repartition("part").sortWithinPartitions("part")
 
     named = docs.where("doc_id IS NOT NULL")
-    parsed = sorted_parts(named.mapInArrow(_parse(parts), _PACKED))
+    parsed = sorted_parts(named.mapInArrow(_parse(parts, min(part_bytes, BATCH_BYTES), hot_phrases), _PACKED))
     lists = staged(parsed.mapInArrow(_combine(parts), _PACKED))
 
     lone = F.pmod(F.xxhash64("text"), F.lit(parts))

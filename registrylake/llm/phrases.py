@@ -119,7 +119,11 @@ class Places:
         return cls(*(np.empty(0, kind) for _, kind in cls.FIELDS))
 
     def packed(self, keep: tuple[str, ...]) -> bytes:
-        """The places as bytes, documents as runs; hashes only of the named fields."""
+        """The places as bytes, documents as runs; hashes only of the named fields.
+
+        ``short`` stands for the lower half of the group: a part of a shuffle that is dealt
+        by the upper half tells the rest.
+        """
         ids = np.flatnonzero(
             np.concatenate(
                 ([True], (self.doc[1:] != self.doc[:-1]) | (self.text[1:] != self.text[:-1]))
@@ -128,7 +132,8 @@ class Places:
         runs = np.diff(np.append(ids, len(self))).astype(np.uint32)
         head = np.array([len(ids), len(self)], np.uint32)
         parts = [head, self.doc[ids], runs, self.text[ids], self.start, self.count, self.kind]
-        parts += [getattr(self, name) for name in keep]
+        hashes = {"group": self.group, "same": self.same, "short": self.group.astype(np.uint32)}
+        parts += [hashes[name] for name in keep]
         return b"".join(np.ascontiguousarray(part).tobytes() for part in parts)
 
     @classmethod
@@ -150,9 +155,13 @@ class Places:
             "count": read(np.uint8, n),
             "kind": read(np.uint8, n),
         }
-        for name, kind in cls.FIELDS[5:]:
-            values[name] = read(kind, n) if name in keep else np.zeros(n, kind)
-        return cls(**values)
+        hashes = {
+            name: read(np.uint32 if name == "short" else np.uint64, n).astype(np.uint64)
+            for name in keep
+        }
+        none = np.zeros(n, np.uint64)
+        group = hashes.get("group", hashes.get("short", none))
+        return cls(**values, group=group, same=hashes.get("same", none))
 
     def by(self, part: np.ndarray, keep: tuple[str, ...]):
         """``part, bytes`` of the places of each part."""
