@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame
 
@@ -18,8 +18,9 @@ from registrylake.schemas import (
     GOLD_CLUSTERING,
     GOLD_LOOKUPS,
 )
+from registrylake.plans.parallel import run_all
 from registrylake.tables.layer import Layer
-from registrylake.tables.work import staged
+from registrylake.tables.work import staged, work_folder
 
 log = logging.getLogger(__name__)
 
@@ -61,7 +62,7 @@ def build_gold(
     country_codes: Iterable[int] = DOMESTIC_COUNTRY_CODES,
     status_codes: Iterable[int] = ACTIVE_STATUS_CODES,
 ) -> None:
-    """Replace all gold tables. Safe to run again; the first failure stops the build."""
+    """Replace all gold tables. Safe to run again; a failure starts no further table."""
 
     def write(table: str, df: DataFrame) -> None:
         gold.replace(table, df, GOLD_LOOKUPS[table], GOLD_CLUSTERING.get(table, ()))
@@ -74,18 +75,20 @@ def build_gold(
 
     # From here on the written table is read, not computed again.
     companies = gold.read("empresas")
-    known = staged(distinct_values(companies, _KEY))
-    plans = {
-        "socios": gold_of_known_companies(silver.read("socios"), known),
-        "municipios": gold_municipios(silver.read("municipios"), companies),
-        "simples": gold_of_known_companies(silver.read("simples"), known),
-    }
-    for table in _COPIED:
-        plans[table] = blank_to_null(_silver_or_empty(silver, table))
-    # The remaining tables do not depend on each other.
-    with ThreadPoolExecutor(4) as pool:
-        for written in [pool.submit(write, table, df) for table, df in plans.items()]:
-            written.result()
+    folder = work_folder(silver.spark)
+    try:
+        known = staged(distinct_values(companies, _KEY), folder)
+        plans = {
+            "socios": gold_of_known_companies(silver.read("socios"), known),
+            "municipios": gold_municipios(silver.read("municipios"), companies),
+            "simples": gold_of_known_companies(silver.read("simples"), known),
+        }
+        for table in _COPIED:
+            plans[table] = blank_to_null(_silver_or_empty(silver, table))
+        # The remaining tables do not depend on each other.
+        run_all(partial(write, table, df) for table, df in plans.items())
+    finally:
+        gold.files.delete(folder)
 
 
 def _silver_or_empty(silver: Layer, table: str) -> DataFrame:

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from registrylake.operators.joins import keep_known_keys
 from registrylake.operators.keys import distinct_keys
 from registrylake.operators.rows import exclude_codes
+from registrylake.plans.parallel import run_all
 from registrylake.schemas import DATASETS, SINGLE_FILE_DATASETS, UNUSED_COLUMNS
 from registrylake.sources.delimited import (
-    REASON,
     accepted,
     empty_scan,
     rejected,
@@ -21,13 +21,15 @@ from registrylake.sources.delimited import (
     scan_delimited,
     strict,
 )
-from registrylake.sources.files import exists, list_files
+from registrylake.sources.files import Files
 from registrylake.sources.routing import excluded_legal_forms
 from registrylake.tables.layer import Layer
+from registrylake.tables.work import staged, work_folder
 
 log = logging.getLogger(__name__)
 
 _KEY = "cnpj_base"
+_FACTS = ("empresas", "estabelecimentos", "socios")
 
 
 def ingest_silver(
@@ -39,43 +41,64 @@ def ingest_silver(
     members: str = "first",
     quarantine: bool = False,
     drop_unused: bool = False,
+    allow_missing: bool = False,
     **scan_options,
 ) -> None:
     """Replace all silver tables from a bronze folder.
 
     Partners come last: they are kept only when their key is among the establishments or
     companies written before them. All other tables are independent of each other.
-    A missing archive leaves an empty table. A malformed record fails the job, or with
-    ``quarantine`` goes to ``<table>_rejected`` instead.
+    Without an archive a code table stays as it is, or is empty if it is not there yet; for
+    companies, establishments and partners that is an error unless ``allow_missing``.
+    A malformed record fails the job, or with ``quarantine`` goes to ``<table>_rejected``.
     """
+    files = Files(spark)
+    source = files.qualified(source)
+    if not files.exists(source):
+        raise FileNotFoundError(source)
     excluded = excluded_legal_forms(spark, source)  # fails here when the file is missing
     scan_options |= {"header": header, "members": members}
 
-    def scan(table: str, pattern: str) -> DataFrame:
-        if not list_files(source, pattern):
+    def scan(table: str, pattern: str) -> DataFrame | None:
+        if not files.names(source, pattern):
+            if table in _FACTS and not allow_missing:
+                raise FileNotFoundError(f"{source}/{pattern}")
+            if silver.exists(table):
+                log.warning("no archive %s, table %s stays as it is", pattern, table)
+                return None
             log.warning("no archive %s, table %s will be empty", pattern, table)
         return scan_archives(spark, source, pattern, DATASETS[table], **scan_options)
 
-    def write(table: str, scanned: DataFrame, keep: Callable = lambda rows: rows) -> None:
+    def write(table: str, scanned: DataFrame | None, keep: Callable = lambda rows: rows) -> None:
+        if scanned is None:
+            return
         dataset = DATASETS[table]
         unused = UNUSED_COLUMNS.get(table, []) if drop_unused else []
         lookups = [entry for entry in dataset.lookups if entry not in unused]
         if not quarantine:
             silver.replace(table, keep(strict(scanned)).drop(*unused), lookups)
+            silver.drop(f"{table}_rejected")
             return
-        # The archives are read a second time only when there is something to set aside.
-        seen = Observation()
-        watched = scanned.observe(seen, F.count(REASON).alias("malformed"))
-        silver.replace(table, keep(accepted(watched)).drop(*unused), lookups)
-        silver.drop(f"{table}_rejected")
-        if seen.get["malformed"]:
-            log.warning("%s: %d malformed records", table, seen.get["malformed"])
-            silver.replace(f"{table}_rejected", rejected(scanned))
+        # Archives are dear to read: what they hold is written once, then split.
+        folder = work_folder(spark)
+        try:
+            scanned = staged(scanned, folder)
+            silver.replace(table, keep(accepted(scanned)).drop(*unused), lookups)
+            bad = rejected(scanned)
+            if bad.isEmpty():
+                silver.drop(f"{table}_rejected")
+            else:
+                log.warning("%s: malformed records are in %s_rejected", table, table)
+                silver.replace(f"{table}_rejected", bad)
+        finally:
+            files.delete(folder)
 
     def write_single(name: str) -> None:
         # One archive without a number; numbered parts count only when it is missing.
-        single = f"{name}.zip"
-        pattern = single if list_files(source, single) else f"{name}[0-9]*.zip"
+        single, parts = f"{name}.zip", f"{name}[0-9]*.zip"
+        pattern = single if files.names(source, single) else parts
+        if pattern == single and files.names(source, parts):
+            log.warning("%s is read, its numbered parts are not", single)
         write(name.lower(), scan(name.lower(), pattern))
 
     def write_companies() -> None:
@@ -86,17 +109,14 @@ def ingest_silver(
         )
 
     # Independent of each other; the longest first.
-    with ThreadPoolExecutor(4) as pool:
-        started = [
-            pool.submit(
-                lambda: write("estabelecimentos", scan("estabelecimentos", "Estabelecimentos*.zip"))
-            ),
-            pool.submit(write_companies),
-            *[pool.submit(write_single, name) for name in SINGLE_FILE_DATASETS],
-            pool.submit(lambda: write("cnae_alimenticio", _food_activities(spark, source))),
+    run_all(
+        [
+            lambda: write("estabelecimentos", scan("estabelecimentos", "Estabelecimentos*.zip")),
+            write_companies,
+            *[partial(write_single, name) for name in SINGLE_FILE_DATASETS],
+            lambda: write("cnae_alimenticio", _food_activities(spark, source)),
         ]
-        for written in started:
-            written.result()
+    )
 
     known = distinct_keys([silver.read("estabelecimentos"), silver.read("empresas")], _KEY)
     write(
@@ -109,7 +129,7 @@ def ingest_silver(
 def _food_activities(spark: SparkSession, source: str) -> DataFrame:
     path = f"{source}/cnae_alimenticio.csv"
     dataset = DATASETS["cnae_alimenticio"]
-    if exists(path):
+    if Files(spark).exists(path):
         return scan_delimited(spark, path, dataset, by_name=True, multiline=True)
     log.warning("no file %s, table %s will be empty", path, dataset.name)
     return empty_scan(spark, dataset)

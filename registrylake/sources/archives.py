@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from registrylake.sources.files import list_files, resolve
+from registrylake.sources.files import Files, list_files, resolve
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -258,9 +258,10 @@ class ArchiveRecords(DataSource):
 
 def scan_records(spark: SparkSession, directory: str, pattern: str, **options) -> DataFrame:
     """Logical records of all archives matching a glob; no match is an empty frame."""
-    if not list_files(directory, pattern):
+    files = Files(spark)
+    if not files.names(directory, pattern):
         return spark.createDataFrame([], RECORD_SCHEMA)
     spark.dataSource.register(ArchiveRecords)
     tasks = 4 * spark.sparkContext.defaultParallelism
     reader = spark.read.format("zip_records").options(pattern=pattern, tasks=tasks)
-    return reader.options(**options).load(directory)
+    return reader.options(**options).load(files.qualified(directory))

@@ -1,4 +1,9 @@
-"""File access shared by the driver and the tasks: local paths and any URI pyarrow knows."""
+"""File access shared by the driver and the tasks.
+
+The driver sees files as Spark does, through Hadoop: ``qualified`` turns a path into a URI
+with a scheme, whatever the default file system is. Tasks have no Hadoop, so the archive
+source opens such URIs with pyarrow.
+"""
 
 from __future__ import annotations
 
@@ -8,16 +13,34 @@ import sys
 
 from pyarrow import fs
 from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 
 # Ship this module's code with the tasks, so executors need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Hadoop schemes that pyarrow knows by another name.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def pyarrow_uri(uri: str) -> str:
+    """A URI as pyarrow spells it; a path without a scheme stays as it is.
+
+    ``hdfs:/path`` and ``file:/path`` have no authority; Hadoop writes them with one slash.
+    """
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme or not scheme:
+        return uri
+    if not rest.startswith("//"):
+        rest = "//" + rest
+    return f"{_SCHEMES.get(scheme, scheme)}:{rest}"
+
 
 def resolve(path: str) -> tuple[fs.FileSystem, str]:
     """File system and path within it."""
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path.removeprefix("file:")
+    uri = pyarrow_uri(path)
+    if "://" in uri and not uri.startswith("file://"):
+        return fs.FileSystem.from_uri(uri)
+    return fs.LocalFileSystem(), uri.removeprefix("file://")
 
 
 def list_files(directory: str, pattern: str = "*") -> list[str]:
@@ -28,20 +51,62 @@ def list_files(directory: str, pattern: str = "*") -> list[str]:
     return [posixpath.join(directory, name) for name in sorted(fnmatch.filter(names, pattern))]
 
 
-def list_directories(directory: str) -> list[str]:
-    """Base names of the sub-directories of a directory, in name order."""
-    system, path = resolve(directory)
-    entries = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
-    return sorted(entry.base_name for entry in entries if not entry.is_file)
+class Files:
+    """Files as Spark sees them; for the driver."""
+
+    def __init__(self, spark: SparkSession):
+        self._jvm = spark._jvm
+        self._conf = spark._jsc.hadoopConfiguration()
+
+    def _at(self, path: str):
+        path = self._jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(self._conf), path
+
+    def qualified(self, path: str) -> str:
+        system, path = self._at(path)
+        return system.makeQualified(path).toString().rstrip("/")
+
+    def exists(self, path: str) -> bool:
+        system, path = self._at(path)
+        return system.exists(path)
+
+    def _entries(self, directory: str):
+        system, path = self._at(directory)
+        return list(system.listStatus(path)) if system.exists(path) else []
+
+    def names(self, directory: str, pattern: str = "*") -> list[str]:
+        """Base names of the files that match a glob, in order."""
+        found = [e.getPath().getName() for e in self._entries(directory) if e.isFile()]
+        return sorted(fnmatch.filter(found, pattern))
 
+    def directories(self, directory: str) -> list[str]:
+        """Base names of the sub-directories, in order."""
+        return sorted(e.getPath().getName() for e in self._entries(directory) if e.isDirectory())
 
-def exists(path: str) -> bool:
-    system, inner = resolve(path)
-    return system.get_file_info(inner).type != fs.FileType.NotFound
+    def delete(self, path: str) -> None:
+        """Remove a file or a directory; no error when it is not there."""
+        system, path = self._at(path)
+        system.delete(path, True)
 
+    def read_text(self, path: str) -> str | None:
+        """A small text file, or None."""
+        system, path = self._at(path)
+        if not system.exists(path):
+            return None
+        stream = system.open(path)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
-def delete_directory(path: str) -> None:
-    """Remove a directory and its files; no error when it is not there."""
-    system, inner = resolve(path)
-    if system.get_file_info(inner).type == fs.FileType.Directory:
-        system.delete_dir(inner)
+    def write_text(self, path: str, text: str) -> None:
+        """Replace a small text file: written aside, then renamed over the old one."""
+        system, target = self._at(path)
+        aside = self._jvm.org.apache.hadoop.fs.Path(f"{path}.new")
+        stream = system.create(aside, True)
+        try:
+            stream.write(text.encode())
+        finally:
+            stream.close()
+        system.delete(target, False)
+        system.rename(aside, target)

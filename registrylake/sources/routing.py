@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import posixpath
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from registrylake.functions.text import name_number, name_prefix
 from registrylake.operators.rows import exclude_codes
 from registrylake.schemas import DATASETS, Dataset
 from registrylake.sources.delimited import scan_archives, scan_delimited, strict
-from registrylake.sources.files import exists, list_files
+from registrylake.sources.files import Files
 
 
 def route(spark: SparkSession, directory: str, pattern: str = "*.zip") -> DataFrame:
     """The files of a directory with their dataset and number, both from the file name."""
-    files = [(posixpath.basename(name),) for name in list_files(directory, pattern)]
+    files = [(name,) for name in Files(spark).names(directory, pattern)]
     stem = F.regexp_replace("file", r"\.[^.]*$", "")
     return spark.createDataFrame(files, "file string").select(
         "file", name_prefix(stem).alias("dataset"), name_number(stem).alias("number")
@@ -25,7 +23,7 @@ def route(spark: SparkSession, directory: str, pattern: str = "*.zip") -> DataFr
 def excluded_legal_forms(spark: SparkSession, directory: str) -> DataFrame:
     """Codes of the legal forms that are not companies. The file is required."""
     path = f"{directory}/naturezas_nao_empresas.csv"
-    if not exists(path):
+    if not Files(spark).exists(path):
         raise FileNotFoundError(path)
     # Only the code column matters; the file may carry others.
     names = spark.read.options(sep=";", header=True).csv(path).columns

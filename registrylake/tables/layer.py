@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import threading
+import uuid
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from registrylake.operators.keys import distinct_values, row_count
 from registrylake.schemas import Dataset
-from registrylake.sources.files import delete_directory, list_directories
+from registrylake.sources.files import Files
+
+_MARKER = "_table.json"
+_database = threading.Lock()
 
 
 def leading_columns(table: str, lookups: Iterable[str | list[str]]) -> list[str]:
@@ -25,29 +32,81 @@ def leading_columns(table: str, lookups: Iterable[str | list[str]]) -> list[str]
 class Layer:
     """Tables of one layer, by name.
 
+    Every write of a whole table goes to a new version folder. A marker file in the table's
+    folder names the committed version and its schema; it is renamed into place after the
+    rows are written, and only then are older versions removed. So a write that fails leaves
+    the table as it was, and a new session finds exactly what was committed.
+
     Lookups by a column are served without indexes: each column that starts a declared
-    path gets a Bloom filter per row group, and a table written with ``clustering`` is
-    laid out and sorted by those columns, so row groups cover narrow ranges.
+    path gets a Bloom filter per row group where Parquet writes one (not for columns of few
+    values), and a table written with ``clustering`` is laid out by ranges of those columns,
+    so a lookup along them reads few files.
     """
 
     def __init__(self, spark: SparkSession, name: str, location: str):
         if not name.isidentifier():
-            raise ValueError(f"Invalid layer name: {name}")
-        self.spark, self.name, self.location = spark, name, location.rstrip("/")
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{self.location}'")
-        # Tables written by an earlier session whose catalog is gone.
-        for table in list_directories(self.location):
-            if table.isidentifier() and not self.exists(table):
-                spark.catalog.createTable(self._qualified(table), path=self._path(table))
+            raise ValueError(f"Not a name for a layer: {name}")
+        self.files = Files(spark)
+        self.spark, self.name = spark, name
+        self.location = self.files.qualified(location)
+        quoted = self.location.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{quoted}'")
+        there = self.files.qualified(unquote(spark.catalog.getDatabase(name).locationUri))
+        if there != self.location:
+            raise ValueError(f"Layer {name} is at {there}, not at {self.location}")
+        for table in self.files.directories(self.location):
+            if table.isidentifier() and self._marker(table):
+                self._point(table)
 
     def _qualified(self, table: str) -> str:
         if not table.isidentifier():
-            raise ValueError(f"Invalid table name: {table}")
+            raise ValueError(f"Not a name for a table: {table}")
         return f"`{self.name}`.`{table}`"
 
     def _path(self, table: str) -> str:
         return f"{self.location}/{table}"
 
+    # Versions
+
+    def _marker(self, table: str) -> dict | None:
+        text = self.files.read_text(f"{self._path(table)}/{_MARKER}")
+        return json.loads(text) if text else None
+
+    def _commit(self, table: str, version: str, schema: T.StructType, lookups: list) -> None:
+        """Make a written version the table, then remove the others."""
+        marker = {"version": version, "schema": schema.jsonValue(), "lookups": lookups}
+        self.files.write_text(f"{self._path(table)}/{_MARKER}", json.dumps(marker))
+        self._point(table)
+        for other in self.files.directories(self._path(table)):
+            if other != version:
+                self.files.delete(f"{self._path(table)}/{other}")
+
+    def _point(self, table: str) -> None:
+        """Let the catalog know the committed version of a table."""
+        marker, name = self._marker(table), self._qualified(table)
+        path = f"{self._path(table)}/{marker['version']}"
+        if self.exists(table):
+            details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+            if self.files.qualified(unquote(details.first()["data_type"])) == path:
+                return
+            self.spark.sql(f"DROP TABLE {name}")
+        self.spark.catalog.createTable(
+            name,
+            path=path,
+            source="parquet",
+            schema=T.StructType.fromJson(marker["schema"]),
+            **self._writing(table, marker["lookups"]),
+        )
+
+    @staticmethod
+    def _writing(table: str, lookups: list) -> dict[str, str]:
+        """Options with which files of the table are written."""
+        options = {"compression": "zstd"}
+        for column in leading_columns(table, lookups):
+            options["parquet.bloom.filter.adaptive.enabled"] = "true"
+            options[f"parquet.bloom.filter.enabled#{column}"] = "true"
+        return options
+
     # Catalog
 
     def exists(self, table: str) -> bool:
@@ -68,30 +127,32 @@ class Layer:
     def query(self, sql: str) -> DataFrame:
         """A query over the tables of this layer. Only queries parse as a subquery, so
         statements that change data are refused."""
-        before = self.spark.catalog.currentDatabase()
-        self.spark.catalog.setCurrentDatabase(self.name)
-        try:
-            return self.spark.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n)")
-        finally:
-            self.spark.catalog.setCurrentDatabase(before)
+        with _database:  # one at a time: the current database belongs to the session
+            before = self.spark.catalog.currentDatabase()
+            self.spark.catalog.setCurrentDatabase(self.name)
+            try:
+                return self.spark.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n)")
+            finally:
+                self.spark.catalog.setCurrentDatabase(before)
 
     def row_count(self, table: str) -> DataFrame:
         return row_count(self.read(table))
 
     def distinct(self, table: str, column: str) -> DataFrame:
         if not (table.isidentifier() and column.isidentifier()):
-            raise ValueError("Invalid table or column name")
+            raise ValueError(f"Not names of a table and a column: {table}, {column}")
         return distinct_values(self.read(table), column)
 
     # Writes
 
     def create(self, table: str, columns: Dataset | T.StructType) -> None:
         """An empty typed table, unless the table is there already."""
-        name = self._qualified(table)
+        self._qualified(table)
         if not self.exists(table):
-            struct = columns.struct if isinstance(columns, Dataset) else columns
-            self.spark.catalog.createTable(
-                name, path=self._path(table), source="parquet", schema=struct
+            declared = isinstance(columns, Dataset)
+            struct = columns.struct if declared else columns
+            self.replace(
+                table, self.spark.createDataFrame([], struct), columns.lookups if declared else ()
             )
 
     def replace(
@@ -101,20 +162,23 @@ class Layer:
         lookups: Iterable[str | list[str]] = (),
         clustering: Iterable[str] = (),
     ) -> None:
-        """Write the table in one pass, replacing what was there."""
-        name, clustering = self._qualified(table), list(clustering)
-        blooms = leading_columns(table, lookups)
+        """Write the table in one pass, replacing what was there once all is written."""
+        self._qualified(table)
+        lookups, clustering = list(lookups), list(clustering)
+        options = self._writing(table, lookups)
         if clustering:
-            # Adaptive execution cuts an oversized group into several files here, so a
-            # frequent value does not end up in one task.
-            df = df.hint("rebalance", *clustering).sortWithinPartitions(*clustering)
-        writer = df.write.format("parquet").mode("overwrite").option("path", self._path(table))
-        writer = writer.option("compression", "zstd")
-        if blooms:
-            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
-        for column in blooms:
-            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
-        writer.saveAsTable(name)
+            # Ranges are cut by a sample, so a frequent value spreads over several files
+            # by the columns after it.
+            df = df.repartitionByRange(*clustering).sortWithinPartitions(*clustering)
+        version = f"v{uuid.uuid4().hex}"
+        path = f"{self._path(table)}/{version}"
+        try:
+            df.write.options(**options).parquet(path)
+        except BaseException:
+            self.files.delete(path)
+            raise
+        fields = [T.StructField(f.name, f.dataType) for f in df.schema.fields]
+        self._commit(table, version, T.StructType(fields), lookups)
 
     def append(self, table: str, df: DataFrame) -> None:
         """Add rows by column name; absent columns are NULL, unknown ones an error.
@@ -149,4 +213,4 @@ class Layer:
     def drop(self, table: str) -> None:
         """Remove the table and its files; no error when it is not there."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self._qualified(table)}")
-        delete_directory(self._path(table))
+        self.files.delete(self._path(table))

@@ -21,13 +21,13 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """The same rows read back from a written table.
+def staged(df: DataFrame, path: str | None = None) -> DataFrame:
+    """The same rows read back from a written table, in a new folder unless one is named.
 
     Cuts the lineage with files that outlive an executor, and gives the planner the
     measured size of the result.
     """
     spark = df.sparkSession
-    path = work_folder(spark)
+    path = path or work_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,13 +4,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from registrylake.schemas import DATASETS
+from registrylake.sources.files import Files, pyarrow_uri, resolve
 from registrylake.tables.layer import Layer
 from registrylake.tables.work import staged, work_folder
 
-COUNTRIES = [
-    {"pais_code": 105, "pais_name": "Brasil"},
-    {"pais_code": 230, "pais_name": "Estados Unidos"},
-]
+LANDS = [{"pais_code": 13, "pais_name": "Afeganistao"}, {"pais_code": 531}, {"pais_code": 639, "pais_name": ""}]
+
+
+def lands(spark, *codes):
+    """Rows of the country table."""
+    return spark.createDataFrame([(c, f"pais {c}") for c in codes], DATASETS["paises"].struct)
 
 
 @pytest.fixture
@@ -26,17 +29,17 @@ def test_create_insert_count_distinct(layer):
     assert not layer.exists("paises")
     layer.create("paises", DATASETS["paises"])
     assert layer.exists("paises") and layer.row_count("paises").first().n == 0
-    assert layer.append_records("paises", COUNTRIES) == 2
-    assert layer.row_count("paises").first().n == 2
-    assert rows(layer.distinct("paises", "pais_code")) == [(105,), (230,)]
+    assert layer.append_records("paises", LANDS) == 3
+    assert layer.row_count("paises").first().n == 3
+    assert rows(layer.distinct("paises", "pais_name")) == [("",), ("Afeganistao",)]
     assert layer.columns("paises") == {"pais_code": "bigint", "pais_name": "string"}
 
 
 def test_create_again_keeps_the_rows(layer):
     layer.create("paises", DATASETS["paises"])
-    layer.append_records("paises", COUNTRIES)
+    layer.append_records("paises", LANDS)
     layer.create("paises", DATASETS["paises"].struct)
-    assert layer.read("paises").count() == 2
+    assert layer.read("paises").count() == 3
 
 
 def test_no_records_is_zero(layer):
@@ -44,34 +47,32 @@ def test_no_records_is_zero(layer):
 
 
 def test_partial_records_are_null(layer):
-    layer.create("empresas", DATASETS["empresas"])
-    record = {"cnpj_base": "12345678", "razao_social": None, "natureza_code": 2062}
-    assert layer.append_records("empresas", [record]) == 1
-    assert layer.read("empresas").first() == ("12345678", None, 2062, None, None, None, None)
-
-
-@pytest.mark.parametrize(
-    "call",
-    [
-        lambda layer: layer.create("pais-code", DATASETS["paises"]),
-        lambda layer: layer.append_records("pais-code", COUNTRIES),
-        lambda layer: layer.row_count("pais-code"),
-        lambda layer: layer.read("pais-code"),
-        lambda layer: layer.drop("a b"),
-    ],
-)
-def test_bad_table_names(layer, call):
-    with pytest.raises(ValueError, match="Invalid table name"):
-        call(layer)
+    layer.create("simples", DATASETS["simples"])
+    assert layer.append_records("simples", [{"opcao_pelo_mei": "S"}, {}]) == 2
+    width = len(DATASETS["simples"].names)
+    filled = [[x for x in row if x is not None] for row in layer.read("simples").collect()]
+    assert sorted(filled) == [[], ["S"]] and len(layer.read("simples").columns) == width
+
+
+@pytest.mark.parametrize("name", ["two words", "a;b", "", "x`y", "../up"])
+def test_bad_table_names(layer, name):
+    for call in [
+        lambda: layer.create(name, DATASETS["paises"]),
+        lambda: layer.append_records(name, LANDS),
+        lambda: layer.row_count(name),
+        lambda: layer.drop(name),
+    ]:
+        with pytest.raises(ValueError, match="Not a name for a table"):
+            call()
 
 
 def test_bad_column_names(layer):
-    layer.create("paises", DATASETS["paises"])
-    for table, column in [("paises", "pais-code"), ("pais-code", "pais_code")]:
-        with pytest.raises(ValueError, match="Invalid table or column name"):
+    layer.create("motivos", DATASETS["motivos"])
+    for table, column in [("motivos", "1 + 1"), ("no table", "motivo_code")]:
+        with pytest.raises(ValueError, match="Not names of a table and a column"):
             layer.distinct(table, column)
     with pytest.raises(ValueError, match="not in table"):
-        layer.append_records("paises", [{"other": 1}])
+        layer.append_records("motivos", [{"other": 1}])
 
 
 def test_stored_types_are_enforced(spark, layer):
@@ -89,20 +90,74 @@ def test_append_by_name(spark, layer):
 
 
 def test_replace_twice_and_empty(spark, layer):
-    df = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], DATASETS["paises"].struct)
-    layer.replace("paises", df, ["pais_code"])
-    layer.replace("paises", df, ["pais_code"])
-    assert layer.read("paises").count() == 3
-    layer.replace("paises", df.where("false"), ["pais_code"])
-    assert layer.read("paises").count() == 0
+    for codes in [(1, 2, 3, 4), (7,), ()]:
+        layer.replace("paises", lands(spark, *codes), ["pais_code"])
+        assert rows(layer.read("paises")) == [(c, f"pais {c}") for c in codes]
+        assert len(layer.files.directories(f"{layer.location}/paises")) == 1
 
 
-def test_clustered_files_are_sorted_and_whole(spark, layer):
-    df = spark.range(0, 5000, 1, 6).selectExpr("id AS k", "id % 7 AS city", "'x' AS v")
-    layer.replace("t", df, ["k", ["city", "k"]], ["city", "k"])
+def test_a_failed_replace_keeps_the_table(spark, layer):
+    layer.replace("paises", lands(spark, *range(10)))
+    bad = lands(spark, 1, 2).withColumn(
+        "pais_name", F.when(F.col("pais_code") == 2, F.raise_error(F.lit("broken"))).otherwise("x")
+    )
+    with pytest.raises(Exception, match="broken"):
+        layer.replace("paises", bad)
+    assert layer.read("paises").count() == 10
+    reopened = Layer(spark, f"again_{uuid.uuid4().hex}", layer.location)
+    assert reopened.read("paises").count() == 10
+    assert len(layer.files.directories(f"{layer.location}/paises")) == 1
+
+
+def test_a_table_can_be_replaced_by_a_query_on_itself(spark, layer):
+    layer.replace("paises", lands(spark, 1, 2, 3))
+    layer.replace("paises", layer.read("paises").where("pais_code > 1"))
+    assert layer.read("paises").count() == 2
+
+
+def test_only_committed_tables_are_found(spark, layer):
+    layer.create("paises", DATASETS["paises"])
+    spark.range(3).write.parquet(f"{layer.location}/halfway/part")
+    again = Layer(spark, f"again_{uuid.uuid4().hex}", layer.location)
+    assert again.tables() == ["paises"]
+    assert again.read("paises").schema == DATASETS["paises"].struct
+    again.append_records("paises", LANDS)
+    assert layer.location == again.location and again.read("paises").count() == 3
+
+
+def test_a_name_belongs_to_one_folder(spark, layer, tmp_path):
+    with pytest.raises(ValueError, match="not at"):
+        Layer(spark, layer.name, str(tmp_path / "other"))
+    assert Layer(spark, layer.name, layer.location).location == layer.location
+
+
+def test_an_older_catalog_follows_the_committed_version(spark, layer):
+    layer.replace("paises", lands(spark, 1))
+    other = Layer(spark, f"other_{uuid.uuid4().hex}", layer.location)
+    other.replace("paises", lands(spark, 5, 6))
+    again = Layer(spark, layer.name, layer.location)
+    assert rows(again.read("paises").select("pais_code")) == [(5,), (6,)]
+
+
+def test_quoted_location(spark, tmp_path):
+    layer = Layer(spark, f"q_{uuid.uuid4().hex}", str(tmp_path / "it's here"))
+    layer.replace("paises", lands(spark, 4))
+    assert layer.read("paises").count() == 1
+
+
+def test_clustered_table_is_pruned_by_its_leading_columns(spark, layer):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 20_000, 1, 6).selectExpr("id AS k", "concat('u', id % 5) AS uf", "id % 40 AS city")
+        layer.replace("t", df, ["k", "uf"], ["uf", "city", "k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     stored = layer.read("t").withColumn("file", F.input_file_name())
-    assert stored.count() == 5000
-    per_file = stored.groupBy("file").agg(F.collect_list(F.struct("city", "k")).alias("order"))
+    assert stored.count() == 20_000
+    files = stored.select("file").distinct().count()
+    per_state = stored.groupBy("uf").agg(F.count_distinct("file").alias("n")).collect()
+    assert files >= 4 and all(r.n <= files // 2 for r in per_state)
+    per_file = stored.groupBy("file").agg(F.collect_list(F.struct("uf", "city", "k")).alias("order"))
     assert all(row.order == sorted(row.order) for row in per_file.collect())
 
 
@@ -110,7 +165,7 @@ def test_lookups_become_bloom_filters(spark, layer, tmp_path):
     df = spark.range(0, 300_000, 1, 1).selectExpr("sha2(cast(id AS string), 256) AS k", "id AS n")
     layer.replace("t", df, [["k", "n"]])
     jvm = spark._jvm
-    [file] = [f for f in (tmp_path / "silver" / "t").glob("*.parquet")]
+    [file] = (tmp_path / "silver" / "t").glob("*/*.parquet")
     path = jvm.org.apache.hadoop.fs.Path(str(file))
     source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(
         path, spark._jsc.hadoopConfiguration()
@@ -126,19 +181,14 @@ def test_lookups_become_bloom_filters(spark, layer, tmp_path):
         layer.replace("t", df, ["k", []])
 
 
-def test_tables_survive_the_catalog(spark, layer):
-    layer.replace("paises", spark.createDataFrame([(1, "A")], DATASETS["paises"].struct))
-    again = Layer(spark, f"again_{uuid.uuid4().hex}", layer.location)
-    assert again.tables() == ["paises"]
-    assert rows(again.read("paises")) == [(1, "A")]
-    again.replace("paises", spark.createDataFrame([(2, "B")], DATASETS["paises"].struct))
-    assert rows(Layer(spark, f"third_{uuid.uuid4().hex}", layer.location).read("paises")) == [
-        (2, "B")
-    ]
+def test_created_tables_are_written_for_their_lookups(spark, layer):
+    layer.create("socios", DATASETS["socios"])
+    options = spark.sql(f"SHOW CREATE TABLE {layer.name}.socios").first()[0]
+    assert "zstd" in options and "bloom.filter.enabled#cnpj_base" in options
 
 
 def test_drop_is_idempotent(spark, layer):
-    layer.replace("paises", spark.createDataFrame([(1, "A")], DATASETS["paises"].struct))
+    layer.replace("paises", lands(spark, 8))
     layer.drop("paises")
     layer.drop("paises")
     assert layer.tables() == [] and not layer.exists("paises")
@@ -146,14 +196,16 @@ def test_drop_is_idempotent(spark, layer):
 
 
 def test_query_sees_the_layer_and_only_reads(spark, layer):
-    layer.replace("paises", spark.createDataFrame([(1, "A"), (2, "B")], DATASETS["paises"].struct))
+    layer.replace("paises", lands(spark, 3, 4, 5))
     before = spark.catalog.currentDatabase()
-    assert rows(layer.query("SELECT pais_name FROM paises WHERE pais_code = 2;")) == [("B",)]
-    assert rows(layer.query("WITH p AS (SELECT * FROM paises) SELECT count(*) FROM p")) == [(2,)]
+    assert rows(layer.query("SELECT pais_name FROM paises WHERE pais_code > 3;")) == [
+        ("pais 4",), ("pais 5",)
+    ]
+    assert rows(layer.query("WITH p AS (SELECT * FROM paises) SELECT count(*) FROM p")) == [(3,)]
     for statement in ["DROP TABLE paises", "INSERT INTO paises VALUES (3, 'C')"]:
         with pytest.raises(Exception, match="SYNTAX"):
             layer.query(statement)
-    assert layer.read("paises").count() == 2
+    assert layer.read("paises").count() == 3
     assert spark.catalog.currentDatabase() == before
 
 
@@ -166,3 +218,15 @@ def test_staged_reads_back_the_rows(spark):
 def test_work_folder_follows_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert work_folder(spark).startswith(shared) and work_folder(spark) != work_folder(spark)
+
+
+def test_one_resolver_for_paths(spark, tmp_path):
+    files = Files(spark)
+    assert files.qualified(str(tmp_path)) == files.qualified(f"file:{tmp_path}") == f"file:{tmp_path}"
+    assert pyarrow_uri("s3a://b/k") == "s3://b/k" and pyarrow_uri("hdfs:/x") == "hdfs:///x"
+    assert pyarrow_uri("/plain") == "/plain" and pyarrow_uri("hdfs://n:1/x") == "hdfs://n:1/x"
+    assert resolve(f"file:{tmp_path}")[1] == resolve(str(tmp_path))[1] == str(tmp_path)
+    files.write_text(f"{tmp_path}/note", "é")
+    files.write_text(f"{tmp_path}/note", "è")
+    assert files.read_text(f"{tmp_path}/note") == "è" and files.read_text(f"{tmp_path}/none") is None
+    assert files.names(str(tmp_path)) == ["note"] and files.directories(f"{tmp_path}/no") == []
