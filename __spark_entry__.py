@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import cache
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -206,11 +207,20 @@ def typed_csv_scan(spark, sf_dir):
 def archive_ingest(spark, sf_dir):
     folder = work_folder(spark)
     orders = _table(spark, sf_dir, "orders").select(ORDERS.names)
-    # One archive per task: more orders, more archives, but several even for a small table.
-    write_archives(orders.repartition(max(4, orders.rdd.getNumPartitions())), folder, "Orders")
+    write_archives(orders.repartition(4), folder, "Orders")
     return strict(scan_archives(spark, folder, "Orders*.zip", ORDERS))
 
 
+def archive_stray_quotes(spark, sf_dir):
+    """Names with a lone inch mark, in files that quote nothing."""
+    folder = work_folder(spark)
+    inch = F.when(F.col("c_nationkey") % 3 == 0, F.concat("c_name", F.lit(' 5" wide')))
+    customers = _table(spark, sf_dir, "customer").select(CUSTOMER.names)
+    named = customers.withColumn("c_name", F.coalesce(inch, "c_name"))
+    write_archives(named, folder, "Customer", quoted=False)
+    return accepted(scan_archives(spark, folder, "Customer*.zip", CUSTOMER))
+
+
 def inferred_csv_scan(spark, sf_dir):
     path = f"{work_folder(spark)}/nation"
     write_text(_table(spark, sf_dir, "nation"), path)
@@ -256,6 +266,38 @@ def rerun_overwrite(spark, sf_dir):
     return layer.read("part")
 
 
+def replace_failure_keeps_table(spark, sf_dir):
+    layer = _new_layer(spark, work_folder(spark), "gold")
+    part = _table(spark, sf_dir, "part")
+    layer.replace("part", part, ["p_partkey"])
+    try:
+        layer.replace("part", part.withColumn("p_name", F.raise_error(F.col("p_name"))))
+    except Exception:  # noqa: BLE001  the failure is the point
+        return layer.read("part")
+    raise AssertionError("the write should have failed")
+
+
+def reopen_layer(spark, sf_dir):
+    folder = work_folder(spark)
+    layer = _new_layer(spark, folder, "gold")
+    layer.create("customer", CUSTOMER)
+    layer.replace("supplier", _table(spark, sf_dir, "supplier"), ["s_suppkey"])
+    again = Layer(spark, f"again_{folder.rsplit('/', 1)[-1]}", layer.location)
+    again.append("customer", _table(spark, sf_dir, "customer").select("c_custkey", "c_name"))
+    return again.read("customer").join(
+        again.read("supplier").withColumnRenamed("s_suppkey", "c_custkey"), "c_custkey"
+    ).select("c_custkey", "c_name", "c_acctbal", "s_name")
+
+
+def table_exists(spark, sf_dir):
+    layer = _new_layer(spark, work_folder(spark), "silver")
+    layer.replace("nation", _table(spark, sf_dir, "nation"))
+    layer.replace("region", _table(spark, sf_dir, "region"))
+    layer.drop("region")
+    found = [F.when(F.lit(layer.exists(t)), F.lit(t)) for t in ("nation", "region", "no table")]
+    return layer.read("nation").select("n_nationkey", F.array_join(F.array(*found), ",").alias("tables"))
+
+
 def append_records(spark, sf_dir):
     layer = _new_layer(spark, work_folder(spark), "silver")
     layer.create("customer", CUSTOMER)
@@ -381,9 +423,10 @@ socios AS (
   SELECT event_id, CAST(user_id AS VARCHAR) AS cnpj_base, event_type AS nome_socio FROM events
   WHERE CAST(user_id AS VARCHAR) IN
     (SELECT cnpj_base FROM empresas UNION SELECT cnpj_base FROM estabelecimentos)),
-simples AS (SELECT CAST(s_suppkey AS VARCHAR) AS cnpj_base FROM supplier),
+simples AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS cnpj_base, s_name AS opcao_pelo_simples FROM supplier),
 gold AS (
-  SELECT cnpj_base, razao_social, capital_social,
+  SELECT cnpj_base, razao_social, natureza_code, capital_social,
          nullif(ente_federativo_responsavel, '') AS ente_federativo_responsavel,
          cnpj_ordem, situacao_cadastral, pais_code, nullif(uf, '') AS uf, municipio_code
   FROM (SELECT DISTINCT ON (cnpj_base) * FROM empresas
@@ -394,47 +437,105 @@ gold AS (
 """
 
 
-def _ingested(spark, sf_dir, folder: str) -> Layer:
-    """Silver tables loaded from archives made of the given tables."""
+def write_bronze(spark, sf_dir, folder: str) -> str:
+    """The archives and lists that the jobs start from, made of the given tables."""
     bronze = f"{folder}/bronze"
     for name, df in _registry_tables(spark, sf_dir).items():
         write_archives(df, bronze, name.capitalize())
     excluded = spark.createDataFrame([(0,), (1,), (2,)], "natureza_code long")
     write_text(excluded, f"{bronze}/naturezas_nao_empresas.csv")
-    silver = _new_layer(spark, folder, "silver")
+    food = _table(spark, sf_dir, "region").select(
+        F.col("r_name").alias("categoria"), F.col("r_regionkey").cast("string").alias("cnaes_code")
+    )
+    write_text(food, f"{bronze}/cnae_alimenticio.csv")
+    return bronze
+
+
+@cache
+def _jobs(spark, sf_dir) -> tuple[Layer, Layer]:
+    """Silver and gold of the given tables; once per session and folder."""
+    folder = work_folder(spark)
+    bronze = write_bronze(spark, sf_dir, folder)
+    silver, gold = (_new_layer(spark, folder, kind) for kind in ("silver", "gold"))
     ingest_silver(spark, bronze, silver)
-    return silver
+    build_gold(silver, gold)
+    return silver, gold
 
 
 def ingest_silver_counts(spark, sf_dir):
-    silver = _ingested(spark, sf_dir, work_folder(spark))
-    return _counts(silver, ["empresas", "estabelecimentos", "socios"])
+    silver, _ = _jobs(spark, sf_dir)
+    return _counts(silver, sorted(DATASETS))
+
+
+def ingest_silver_estabelecimentos(spark, sf_dir):
+    return _jobs(spark, sf_dir)[0].read("estabelecimentos").select(
+        "cnpj_base", "cnpj_ordem", "situacao_cadastral", "pais_code", "uf", "municipio_code"
+    )
+
+
+def ingest_silver_socios(spark, sf_dir):
+    return _jobs(spark, sf_dir)[0].read("socios").select("cnpj_base", "nome_socio", "faixa_etaria")
 
 
-def _built(spark, sf_dir) -> Layer:
+def ingest_silver_rejected(spark, sf_dir):
+    """Partners whose age band does not fit are set aside, the others are kept."""
     folder = work_folder(spark)
-    silver = _ingested(spark, sf_dir, folder)
-    gold = _new_layer(spark, folder, "gold")
-    build_gold(silver, gold)
-    return gold
+    bronze = f"{folder}/bronze"
+    tables = _registry_tables(spark, sf_dir)
+    partners = tables.pop("socios").withColumn(
+        "faixa_etaria",
+        F.when(F.col("faixa_etaria") % 10 == 0, "x").otherwise(F.col("faixa_etaria").cast("string")),
+    )
+    for name in ("empresas", "estabelecimentos"):
+        write_archives(tables[name], bronze, name.capitalize())
+    write_archives(partners, bronze, "Socios")
+    excluded = spark.createDataFrame([(0,), (1,), (2,)], "natureza_code long")
+    write_text(excluded, f"{bronze}/naturezas_nao_empresas.csv")
+    silver = _new_layer(spark, folder, "silver")
+    ingest_silver(spark, bronze, silver, quarantine=True)
+    reasons = silver.read("socios_rejected").groupBy(F.col("_reason").alias("tbl"))
+    return _counts(silver, ["socios"]).union(reasons.agg(F.count(F.lit(1)).alias("n")))
 
 
 def build_gold_counts(spark, sf_dir):
-    return _counts(
-        _built(spark, sf_dir), ["empresas", "socios", "simples", "municipios", "cnaes"]
-    )
+    _, gold = _jobs(spark, sf_dir)
+    return _counts(gold, sorted(gold.tables()))
 
 
 def build_gold_empresas(spark, sf_dir):
-    gold = _built(spark, sf_dir)
-    return gold.read("empresas").select(
-        "cnpj_base", "razao_social", "capital_social", "ente_federativo_responsavel",
-        "cnpj_ordem", "situacao_cadastral", "pais_code", "uf", "municipio_code",
-    )
+    """All columns; those that the given tables do not fill are NULL."""
+    return _jobs(spark, sf_dir)[1].read("empresas")
+
+
+def build_gold_socios(spark, sf_dir):
+    return _jobs(spark, sf_dir)[1].read("socios").select("cnpj_base", "nome_socio", "faixa_etaria")
+
+
+def build_gold_simples(spark, sf_dir):
+    return _jobs(spark, sf_dir)[1].read("simples").select("cnpj_base", "opcao_pelo_simples")
 
 
 def build_gold_municipios(spark, sf_dir):
-    return _built(spark, sf_dir).read("municipios")
+    return _jobs(spark, sf_dir)[1].read("municipios")
+
+
+def build_gold_food(spark, sf_dir):
+    return _jobs(spark, sf_dir)[1].read("cnae_alimenticio").select("cnaes_code", "categoria")
+
+
+def _gold_columns() -> str:
+    """The 36 columns of gold companies; most are not filled here."""
+    filled = {
+        "cnpj_base", "razao_social", "natureza_code", "capital_social",
+        "ente_federativo_responsavel", "cnpj_ordem", "situacao_cadastral", "pais_code", "uf",
+        "municipio_code",
+    }
+    names = {**DATASETS["empresas"].columns, **DATASETS["estabelecimentos"].columns}
+    kinds = {"text": "VARCHAR", "f64": "DOUBLE"}
+    return ", ".join(
+        f"CAST({name if name in filled else 'NULL'} AS {kinds.get(kind, 'BIGINT')}) AS {name}"
+        for name, kind in names.items()
+    )
 
 
 def _counts(layer: Layer, tables: list[str]) -> DataFrame:
@@ -488,20 +589,30 @@ def lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_name_number": split_name_number,
         "typed_csv_scan": typed_csv_scan,
         "archive_ingest": archive_ingest,
+        "archive_stray_quotes": archive_stray_quotes,
         "inferred_csv_scan": inferred_csv_scan,
         "missing_archive_empty": missing_archive_empty,
         "quarantine_bad_rows": quarantine_bad_rows,
         "drop_columns": drop_columns_query,
         "read_table": read_table,
         "rerun_overwrite": rerun_overwrite,
+        "replace_failure_keeps_table": replace_failure_keeps_table,
+        "reopen_layer": reopen_layer,
+        "table_exists": table_exists,
         "append_records": append_records,
         "layout_roundtrip": layout_roundtrip,
         "list_tables": list_tables,
         "describe_columns": describe_columns,
         "adhoc_sql": adhoc_sql,
         "ingest_silver_counts": ingest_silver_counts,
+        "ingest_silver_estabelecimentos": ingest_silver_estabelecimentos,
+        "ingest_silver_socios": ingest_silver_socios,
+        "ingest_silver_rejected": ingest_silver_rejected,
         "build_gold_counts": build_gold_counts,
         "build_gold_empresas": build_gold_empresas,
+        "build_gold_socios": build_gold_socios,
+        "build_gold_simples": build_gold_simples,
+        "build_gold_food": build_gold_food,
         "build_gold_municipios": build_gold_municipios,
     }
 
@@ -552,6 +663,10 @@ def lake_sql() -> dict[str, str]:
         "archive_ingest": """
             SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
             FROM orders""",
+        "archive_stray_quotes": """
+            SELECT c_custkey, CASE WHEN c_nationkey % 3 = 0 THEN c_name || ' 5" wide' ELSE c_name END
+                     AS c_name, c_nationkey, c_acctbal, c_mktsegment
+            FROM customer""",
         "inferred_csv_scan": """
             SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name,
                    CAST(n_regionkey AS BIGINT) AS n_regionkey
@@ -564,6 +679,11 @@ def lake_sql() -> dict[str, str]:
         "drop_columns": "SELECT s_suppkey, s_name FROM supplier",
         "read_table": "SELECT * FROM supplier",
         "rerun_overwrite": "SELECT * FROM part",
+        "replace_failure_keeps_table": "SELECT * FROM part",
+        "reopen_layer": """
+            SELECT c_custkey, c_name, CAST(NULL AS DOUBLE) AS c_acctbal, s_name
+            FROM customer JOIN supplier ON s_suppkey = c_custkey""",
+        "table_exists": "SELECT n_nationkey, 'nation' AS tables FROM nation",
         "append_records": """
             SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
             UNION ALL SELECT -1, 'EXTRA', NULL, NULL, NULL
@@ -590,7 +710,24 @@ def lake_sql() -> dict[str, str]:
         + """
             SELECT 'empresas' AS tbl, count(*) AS n FROM empresas
             UNION ALL SELECT 'estabelecimentos', count(*) FROM estabelecimentos
-            UNION ALL SELECT 'socios', count(*) FROM socios""",
+            UNION ALL SELECT 'socios', count(*) FROM socios
+            UNION ALL SELECT 'simples', count(*) FROM simples
+            UNION ALL SELECT 'municipios', count(*) FROM nation
+            UNION ALL SELECT 'cnaes', count(*) FROM region
+            UNION ALL SELECT 'cnae_alimenticio', count(*) FROM region
+            UNION ALL SELECT unnest(['motivos', 'naturezas', 'paises', 'qualificacoes']), 0""",
+        "ingest_silver_estabelecimentos": _REGISTRY
+        + """
+            SELECT cnpj_base, cnpj_ordem, CAST(situacao_cadastral AS BIGINT) AS situacao_cadastral,
+                   pais_code, uf, municipio_code
+            FROM estabelecimentos""",
+        "ingest_silver_socios": _REGISTRY
+        + "SELECT cnpj_base, nome_socio, event_id AS faixa_etaria FROM socios",
+        "ingest_silver_rejected": _REGISTRY
+        + """
+            SELECT 'socios' AS tbl, count(*) AS n FROM socios WHERE event_id % 10 <> 0
+            UNION ALL SELECT 'bad value: faixa_etaria', count(*) FROM events WHERE event_id % 10 = 0
+            """,
         "build_gold_counts": _REGISTRY
         + """
             SELECT 'empresas' AS tbl, count(*) AS n FROM gold
@@ -599,8 +736,20 @@ def lake_sql() -> dict[str, str]:
             UNION ALL SELECT 'simples', count(*) FROM simples
               WHERE cnpj_base IN (SELECT cnpj_base FROM gold)
             UNION ALL SELECT 'municipios', count(*) FROM nation
-            UNION ALL SELECT 'cnaes', count(*) FROM region""",
-        "build_gold_empresas": _REGISTRY + "SELECT * FROM gold",
+            UNION ALL SELECT 'cnaes', count(*) FROM region
+            UNION ALL SELECT 'cnae_alimenticio', count(*) FROM region
+            UNION ALL SELECT unnest(['naturezas', 'qualificacoes']), 0""",
+        "build_gold_empresas": _REGISTRY + f"SELECT {_gold_columns()} FROM gold",
+        "build_gold_socios": _REGISTRY
+        + """
+            SELECT cnpj_base, nome_socio, event_id AS faixa_etaria FROM socios
+            WHERE cnpj_base IN (SELECT cnpj_base FROM gold)""",
+        "build_gold_simples": _REGISTRY
+        + """
+            SELECT cnpj_base, opcao_pelo_simples FROM simples
+            WHERE cnpj_base IN (SELECT cnpj_base FROM gold)""",
+        "build_gold_food": """
+            SELECT CAST(r_regionkey AS VARCHAR) AS cnaes_code, r_name AS categoria FROM region""",
         "build_gold_municipios": _REGISTRY
         + """
             SELECT CAST(n_nationkey AS BIGINT) AS municipio_code, n_name AS municipio_nome, uf

@@ -15,9 +15,11 @@ from registrylake.sources.files import resolve
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _field(column: T.StructField) -> Column:
+def _field(column: T.StructField, quoted: bool) -> Column:
     value = F.col(column.name)
-    if isinstance(column.dataType, T.StringType):
+    if isinstance(column.dataType, T.StringType) and not quoted:
+        text = value
+    elif isinstance(column.dataType, T.StringType):
         text = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
     elif isinstance(column.dataType, T.DoubleType):
         text = F.replace(value.cast("string"), F.lit("."), F.lit(","))
@@ -26,12 +28,15 @@ def _field(column: T.StructField) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def record_text(df: DataFrame, sep: str = ";") -> DataFrame:
+def record_text(df: DataFrame, sep: str = ";", quoted: bool = True) -> DataFrame:
     """One column ``value``: quoted text, decimal commas, nothing for NULL."""
-    return df.select(F.concat_ws(sep, *[_field(f) for f in df.schema.fields]).alias("value"))
+    fields = [_field(f, quoted) for f in df.schema.fields]
+    return df.select(F.concat_ws(sep, *fields).alias("value"))
 
 
-def write_archives(df: DataFrame, directory: str, stem: str, sep: str = ";") -> None:
+def write_archives(
+    df: DataFrame, directory: str, stem: str, sep: str = ";", quoted: bool = True
+) -> None:
     """Zip archives ``<stem><n>.zip`` of Latin-1 text with a header, one per task.
 
     Every task streams its rows into its own archive under a temporary name and renames
@@ -57,7 +62,7 @@ def write_archives(df: DataFrame, directory: str, stem: str, sep: str = ";") ->
         system.move(partial, f"{folder}/{name}.zip")
         yield pa.RecordBatch.from_pydict({"archive": [name], "rows": [rows]})
 
-    written = record_text(df, sep).mapInArrow(pack, "archive string, rows long")
+    written = record_text(df, sep, quoted).mapInArrow(pack, "archive string, rows long")
     written.write.format("noop").mode("overwrite").save()
 
 
