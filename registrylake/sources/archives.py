@@ -188,6 +188,7 @@ class ArchiveReader(DataSourceReader):
         self.header = str(options.get("header", "true")).lower() == "true"
         self.fields = int(options.get("fields", 0))
         self.sep = options.get("sep", ";")
+        self.numeric = [int(i) for i in options.get("numeric", "").split(",") if i]
         self.slice_bytes = int(options.get("slicebytes", 64 << 20))
         self.max_slices = int(options.get("maxslices", 32))
         self.tasks = int(options.get("tasks", 32))
@@ -234,12 +235,16 @@ class ArchiveReader(DataSourceReader):
                 )
 
     def _check_header(self, header: str, piece: MemberSlice) -> None:
-        unquoted = re.sub('"[^"]*"', "", header)
-        found = unquoted.count(self.sep) + 1
-        if self.fields and found != self.fields:
+        """A header has the declared number of fields, and no numbers where numbers are due."""
+        fields = re.sub('"[^"]*"', lambda q: q[0].replace(self.sep, " "), header).split(self.sep)
+        if self.fields and len(fields) != self.fields:
             raise ValueError(
-                f"{piece.archive}: header has {found} fields, {self.fields} are declared"
+                f"{piece.archive}: header has {len(fields)} fields, {self.fields} are declared"
             )
+        numbers = [fields[i].strip('"') for i in self.numeric if i < len(fields)]
+        filled = [text for text in numbers if text]
+        if filled and all(re.fullmatch("[+-]?[0-9]+([.,][0-9]+)?", text) for text in filled):
+            raise ValueError(f"{piece.archive}: the header looks like a record; header=False?")
 
 
 class ArchiveRecords(DataSource):

@@ -48,9 +48,12 @@ def test_one_record_per_form(spark, pack):
     }
 
 
-def test_blank_line_is_an_empty_record(spark, pack):
-    got = rows(strict(scan(spark, pack("T0", b"x;y;z\nk;5;1\n\nj;6;2\n"))))
-    assert got == [("j", 6, 2.0), ("k", 5, 1.0), (None, None, None)]
+def test_blank_lines_are_skipped_in_archives_and_plain_files(spark, pack, tmp_path):
+    text = b"x;y;z\nk;5;1\n\nj;6;2\n"
+    got = rows(strict(scan(spark, pack("T0", text))))
+    (tmp_path / "t.csv").write_bytes(text)
+    assert got == rows(strict(scan_delimited(spark, str(tmp_path / "t.csv"), SMALL)))
+    assert got == [("j", 6, 2.0), ("k", 5, 1.0)]
 
 
 def test_line_ends(spark, pack):
@@ -157,7 +160,9 @@ def test_slices_follow_the_whole_scan():
 def test_header_option(spark, pack):
     folder = pack("T0", b"k;5;1\nj;6;2\n")
     assert rows(strict(scan(spark, folder, header=False))) == [("j", 6, 2.0), ("k", 5, 1.0)]
-    assert rows(strict(scan(spark, folder))) == [("j", 6, 2.0)]
+    with pytest.raises(Exception, match="header looks like a record"):
+        scan(spark, folder).collect()
+    assert rows(strict(scan(spark, pack("T0", b'"x;y";n;v\n"a;b";1;2\n')))) == [("a;b", 1, 2.0)]
 
 
 def test_header_with_another_number_of_fields_fails(spark, pack):
