@@ -2,8 +2,8 @@
 
 Base detection takes e-mail addresses, IPv4 addresses, payment cards and phone numbers as
 they stand. Then a transducer rewrites a copy of the text: look-alike letters and digits of
-other scripts become ASCII, invisible characters vanish, runs of spelled digits become
-digits, and "at" and "dot" in brackets, or in a whole spelled address, become signs. It
+other scripts become ASCII, invisible characters vanish, runs of spelled digits and
+letters like O and l among digits become digits, and "at" and "dot" in brackets, or in a whole spelled address, become signs. It
 keeps for every piece of the copy the piece of the source that it came from. What is
 detected in the copy and touches a rewritten piece is mapped back and added.
 
@@ -132,16 +132,18 @@ _WORDS = re.compile(
     rf"(?<!\w)(?P<digits>(?:plus[ -]+)?{_DIGIT_WORD}(?:[ -]+(?:(?:dot|punkt|point|punto)[ -]+)?{_DIGIT_WORD}){{2,}})(?!\w)"
     rf"|(?P<at>{_OPEN}(?:at|@){_CLOSE})"
     rf"|(?P<dot>{_OPEN}(?:dot|punkt|point|punto|\.){_CLOSE})"
-    r"|(?<=[a-z0-9])(?P<address>[ ]+at[ ]+[a-z0-9-]+(?:(?:[ ]+dot[ ]+|\.)[a-z0-9-]+)*[ ]+dot[ ]+[a-z0-9-]+)(?!\w)",
+    r"|(?<![\w.])(?P<mixed>[0-9oli](?:[ -]?[0-9oli]){12,18})(?!\w)"
+    r"|(?<=[a-z0-9])(?P<address>(?:[ ]+dot[ ]+[a-z0-9_+-]+)*[ ]+at[ ]+[a-z0-9-]+(?:(?:[ ]+dot[ ]+|\.)[a-z0-9-]+)*[ ]+dot[ ]+[a-z0-9-]+)(?!\w)",
     re.IGNORECASE,
 )
+_MIXED = re.compile(r"[0-9][ -]?[oli]|[oli][ -]?[0-9]")
 _BRACKETS = re.compile(r"[\[({<][ \t]*(?:at|@|dot|punkt|point|punto|\.)[ \t]*[\])}>]")
 
 
 def _may_be_spelled(text: str) -> bool:
     """Whether any rewriting of words can apply; a quick look that never says no wrongly."""
     low = text.lower()
-    if " dot " in low or _BRACKETS.search(low):
+    if " dot " in low or _BRACKETS.search(low) or _MIXED.search(low):
         return True
     words = re.split(r"\W+", low) if "-" in low else low.split()
     return not _DIGIT_OF.keys().isdisjoint(words)
@@ -202,6 +204,14 @@ def _rewrite_chars(text: str) -> Rewriting:
     return out
 
 
+def _unmix(out: Rewriting, start: int, run: str) -> None:
+    """Letters that stand for digits in a run that is mostly digits, as digits."""
+    plain = sum(char.isdigit() for char in run) < 8
+    for at, char in enumerate(run, start):
+        digit = None if plain else {"o": "0", "l": "1", "i": "1"}.get(char.lower())
+        out.add(at, at + 1, digit)
+
+
 def _rewrite_words(text: str) -> Rewriting:
     out, at = Rewriting(text), 0
     for match in _WORDS.finditer(text):
@@ -209,6 +219,8 @@ def _rewrite_words(text: str) -> Rewriting:
         at = match.end()
         if match["digits"]:
             out.add(match.start(), at, _spelled(match[0]))
+        elif match["mixed"]:
+            _unmix(out, match.start(), match[0])
         elif match["address"]:
             start = match.start()
             for sign in re.finditer(r"[ ]+(at|dot)[ ]+", match[0], re.IGNORECASE):
