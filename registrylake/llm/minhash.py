@@ -52,8 +52,10 @@ MINIMA, BITS = 256, 2
 _LANES = 64 // BITS
 _LONGS = MINIMA // _LANES
 _CHANCE = 1 / (1 << BITS)
-#: Members of a bucket that one task compares with each other at a time.
+#: Members of a bucket or cluster that one task compares with each other at a time, and bytes
+#: of their full sets.
 BLOCK = 2048
+BLOCK_BYTES = 32 << 20
 
 _random = np.random.default_rng(20240607)
 _FACTORS = (_random.integers(0, 1 << 32, (MINIMA, 1), np.uint32) | np.uint32(1)).astype(np.uint32)
@@ -312,7 +314,7 @@ def _clusters(heads: DataFrame, most: int) -> DataFrame:
     members = staged(banded.join(shared, "key"))
     company = members.groupBy("doc").agg(F.sum("n").alias("company"))
     signed = staged(
-        heads.select(F.col("doc_id").alias("doc"), "sig").join(company, "doc")
+        heads.select(F.col("doc_id").alias("doc"), "sig", "n_shingles").join(company, "doc")
     )
     members = members.join(signed, "doc")
     hubs = members.groupBy("key").agg(
@@ -340,11 +342,13 @@ def _clusters(heads: DataFrame, most: int) -> DataFrame:
 def _links(clusters: DataFrame, sets: DataFrame, most: int, percent: int) -> DataFrame:
     """Links ``a, b`` that connect what the full sets connect within clusters."""
     sizes = clusters.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.struct("company", -F.col("doc"))).alias("hub")
+        F.count(F.lit(1)).alias("n"),
+        F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES).cast("long").alias("by_size"),
+        F.max(F.struct("company", -F.col("doc"))).alias("hub"),
     )
     rows = clusters.join(sizes, "cluster").select(
         F.col("cluster").alias("key"), "doc", "sig", "n", F.xxhash64("doc").alias("h"),
-        _blocks(F.col("n")).alias("blocks"), (-F.col("hub.col2") == F.col("doc")).alias("is_hub"),
+        F.greatest(_blocks(F.col("n")), "by_size").alias("blocks"), (-F.col("hub.col2") == F.col("doc")).alias("is_hub"),
     )
     full = staged(rows.join(sets.withColumnRenamed("doc_id", "doc"), "doc"))
     own = F.array(F.pmod("h", "blocks"))
@@ -371,9 +375,11 @@ def _links(clusters: DataFrame, sets: DataFrame, most: int, percent: int) -> Dat
         .agg(F.max(F.struct("size", "component")).alias("main"), F.sum("size").alias("all"))
         .where("all > main.size")
         .select("key", F.col("main.component").alias("main"),
-                _blocks(F.col("all") - F.col("main.size")).alias("parts"))
+                (1 - F.col("main.size") / F.col("all")).alias("odd"))
     )
-    opened = labelled.join(main, "key")
+    # Parts of the odd members are as large as the blocks of all.
+    parts = F.ceil(F.col("odd") * F.col("blocks")).cast("long")
+    opened = labelled.join(main, "key").withColumn("parts", parts)
     cells = _crossed(
         opened.where("component != main"), opened, ["doc", "component", "sig", "shingles"]
     )

@@ -39,8 +39,10 @@ def test_families_equal_brute_force(documents):
     check(docs, documents(docs))
 
 
-def test_blocks_of_large_buckets_and_clusters(documents, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 8)
+@pytest.mark.parametrize(("block", "block_bytes"), [(8, 32 << 20), (2048, 8 * 116 * 9)])
+def test_blocks_of_large_buckets_and_clusters(documents, monkeypatch, block, block_bytes):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", block_bytes)
     docs = list(enumerate(family(5, 40) + family(6, 25)))
     check(docs, documents(docs))
 
