@@ -64,7 +64,7 @@ def _new_layer(spark: SparkSession, folder: str, kind: str) -> Layer:
 def _companies(spark, sf_dir):
     segment = F.col("c_mktsegment")
     return _table(spark, sf_dir, "customer").select(
-        F.expr("nullif((c_custkey div 2) * 3, 0)").alias("cust"),
+        F.expr("CASE WHEN c_nationkey <> 7 THEN nullif((c_custkey div 2) * 3, 0) END").alias("cust"),
         "c_name",
         F.when(segment == "BUILDING", "").otherwise(segment).alias("seg"),
         "c_nationkey",
@@ -92,7 +92,7 @@ def _gold(spark, sf_dir):
 
 _ROLES = """
 WITH emp_raw AS (
-  SELECT nullif((c_custkey // 2) * 3, 0) AS cust, c_name,
+  SELECT CASE WHEN c_nationkey <> 7 THEN nullif((c_custkey // 2) * 3, 0) END AS cust, c_name,
          CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END AS seg, c_nationkey
   FROM customer),
 emp AS (SELECT DISTINCT ON (cust) * FROM emp_raw

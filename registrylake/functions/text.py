@@ -29,7 +29,12 @@ def name_number(name: Column) -> Column:
 
 
 def parse_text(text: Column, declared: str) -> Column:
-    """Typed value of a text field; NULL for blank, unparsable and out-of-range text."""
+    """Typed value of a text field; NULL for blank, unparsable and out-of-range text.
+
+    Delimited text has no lists: a declared list is an error here, not when rows are read.
+    """
+    if declared.startswith("list<"):
+        raise ValueError(f"{declared} cannot be read from delimited text")
     target = spark_type(declared)
     if declared == "f64":
         number = F.replace(text, F.lit(","), F.lit(".")).try_cast(target)

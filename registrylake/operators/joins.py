@@ -36,7 +36,11 @@ def full_outer_using(unique: DataFrame, facts: DataFrame, key: str) -> DataFrame
     right_only = [name for name in facts.columns if name != key]
     # Both parts read the keyed rows alike, so a shuffle below ``unique`` runs once.
     keyed = unique.where(F.col(key).isNotNull())
-    matched = join_on_key(facts, keyed, key, "left").select(key, *left_only, *right_only)
+    # Facts without a key match nothing, so they stay out of the shuffle.
+    no_match = [F.lit(None).cast(unique.schema[name].dataType).alias(name) for name in left_only]
+    joined = join_on_key(facts.where(F.col(key).isNotNull()), keyed, key, "left")
+    alone = facts.where(F.col(key).isNull()).select(key, *no_match, *right_only)
+    matched = joined.select(key, *left_only, *right_only).union(alone)
     unmatched = keyed.join(facts.select(key).distinct(), key, "left_anti").select(
         key, *left_only
     )

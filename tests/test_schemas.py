@@ -7,8 +7,10 @@ from registrylake.schemas import (
     DOMESTIC_COUNTRY_CODES,
     GOLD_LOOKUPS,
     UNUSED_COLUMNS,
+    Dataset,
     spark_type,
 )
+from registrylake.sources.delimited import scan_delimited
 from registrylake.tables.layer import leading_columns
 
 
@@ -63,3 +65,9 @@ def test_leading_columns():
     assert leading_columns("t", ["a", ["b", "c"], ["a", "c"]]) == ["a", "b"]
     with pytest.raises(ValueError, match="Empty lookup path"):
         leading_columns("t", ["a", []])
+
+
+def test_a_list_cannot_be_read_from_text(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a;b\n1;2\n")
+    with pytest.raises(ValueError, match="list<i64> cannot be read"):
+        scan_delimited(spark, str(tmp_path / "t.csv"), Dataset.of("t", "a text, b list<i64>"))
