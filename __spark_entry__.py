@@ -452,7 +452,7 @@ def write_bronze(spark, sf_dir, folder: str) -> str:
 
 
 @cache
-def _jobs(spark, sf_dir) -> tuple[Layer, Layer]:
+def jobs(spark, sf_dir) -> tuple[Layer, Layer]:
     """Silver and gold of the given tables; once per session and folder."""
     folder = work_folder(spark)
     bronze = write_bronze(spark, sf_dir, folder)
@@ -463,18 +463,18 @@ def _jobs(spark, sf_dir) -> tuple[Layer, Layer]:
 
 
 def ingest_silver_counts(spark, sf_dir):
-    silver, _ = _jobs(spark, sf_dir)
+    silver, _ = jobs(spark, sf_dir)
     return _counts(silver, sorted(DATASETS))
 
 
 def ingest_silver_estabelecimentos(spark, sf_dir):
-    return _jobs(spark, sf_dir)[0].read("estabelecimentos").select(
+    return jobs(spark, sf_dir)[0].read("estabelecimentos").select(
         "cnpj_base", "cnpj_ordem", "situacao_cadastral", "pais_code", "uf", "municipio_code"
     )
 
 
 def ingest_silver_socios(spark, sf_dir):
-    return _jobs(spark, sf_dir)[0].read("socios").select("cnpj_base", "nome_socio", "faixa_etaria")
+    return jobs(spark, sf_dir)[0].read("socios").select("cnpj_base", "nome_socio", "faixa_etaria")
 
 
 def ingest_silver_rejected(spark, sf_dir):
@@ -498,29 +498,29 @@ def ingest_silver_rejected(spark, sf_dir):
 
 
 def build_gold_counts(spark, sf_dir):
-    _, gold = _jobs(spark, sf_dir)
+    _, gold = jobs(spark, sf_dir)
     return _counts(gold, sorted(gold.tables()))
 
 
 def build_gold_empresas(spark, sf_dir):
     """All columns; those that the given tables do not fill are NULL."""
-    return _jobs(spark, sf_dir)[1].read("empresas")
+    return jobs(spark, sf_dir)[1].read("empresas")
 
 
 def build_gold_socios(spark, sf_dir):
-    return _jobs(spark, sf_dir)[1].read("socios").select("cnpj_base", "nome_socio", "faixa_etaria")
+    return jobs(spark, sf_dir)[1].read("socios").select("cnpj_base", "nome_socio", "faixa_etaria")
 
 
 def build_gold_simples(spark, sf_dir):
-    return _jobs(spark, sf_dir)[1].read("simples").select("cnpj_base", "opcao_pelo_simples")
+    return jobs(spark, sf_dir)[1].read("simples").select("cnpj_base", "opcao_pelo_simples")
 
 
 def build_gold_municipios(spark, sf_dir):
-    return _jobs(spark, sf_dir)[1].read("municipios")
+    return jobs(spark, sf_dir)[1].read("municipios")
 
 
 def build_gold_food(spark, sf_dir):
-    return _jobs(spark, sf_dir)[1].read("cnae_alimenticio").select("cnaes_code", "categoria")
+    return jobs(spark, sf_dir)[1].read("cnae_alimenticio").select("cnaes_code", "categoria")
 
 
 def _gold_columns() -> str:
