@@ -32,6 +32,7 @@ Defined results
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 from collections.abc import Iterator
 
@@ -85,11 +86,17 @@ def _first_docs(places: Places) -> tuple[Places, np.ndarray, np.ndarray]:
     return places, new, places.doc == places.doc[np.flatnonzero(new)][run]
 
 
+def _covered(places: Places) -> Places:
+    """The places as covered ones, without the hashes that nothing asks for any more."""
+    none = np.zeros(len(places), np.uint64)
+    kind = np.full(len(places), _COVERED, np.uint8)
+    return dataclasses.replace(places, kind=kind, group=none, same=none)
+
+
 def _settled(places: Places, part_of, keep) -> Iterator[tuple[int, bytes]]:
     """Map-side combine: one document per phrase goes on, the rest is covered."""
     places, new, first = _first_docs(places)
-    covered = places.take(~first)
-    covered.kind = np.full(len(covered), _COVERED, np.uint8)
+    covered = _covered(places.take(~first))
     yield from covered.by(part_of(mixed(covered.doc.view(np.uint64))), keep)
     yield from places.take(first).by(part_of(places.group[first]), keep)
 
@@ -186,8 +193,9 @@ def _combine(parts: int):
                 phrases_of = np.add.reduceat(new.astype(np.int64), starts)
                 meet = ((least != most) & (phrases_of > 1))[of]
                 hot = np.isin(rest.group, asked)
-                rest.kind = np.where(first, np.where(hot, _HOT, _OPEN), _COVERED).astype(np.uint8)
-                rest = rest.take(~first | meet | hot)
+                rest.kind = np.where(hot, _HOT, _OPEN).astype(np.uint8)
+                known = Places.joined([known, _covered(rest.take(~first))])
+                rest = rest.take(first & (meet | hot))
             out = Places.joined([known, rest])
             yield _rows(out.by(_doc_parts(out, parts), _GROUP))
 
@@ -211,7 +219,7 @@ def _fetch(parts: int):
         places = Places.joined(
             [Places.unpacked(row, _GROUP) for row in lists.column("places").to_pylist()]
         )
-        rows, covered = [], []
+        rows = []
         opened = places.take(places.kind == _OPEN)
         if len(opened):
             part = (opened.group % np.uint64(parts)).astype(np.int32)
@@ -220,9 +228,8 @@ def _fetch(parts: int):
         hot = _windows(places.take(places.kind == _HOT), known)
         if len(hot):
             hot, new, first = _first_docs(hot)
-            covered = hot.take(~first)
-            covered.kind = np.full(len(covered), _COVERED, np.uint8)
-            part = (covered.group % np.uint64(parts)).astype(np.int32)
+            part = (hot.group[~first] % np.uint64(parts)).astype(np.int32)
+            covered = _covered(hot.take(~first))
             rows += [(number, packed, b"") for number, packed in covered.by(part, _GROUP)]
             hot = hot.take(first)
             part = (hot.group % np.uint64(parts)).astype(np.int32)
