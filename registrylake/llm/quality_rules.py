@@ -143,8 +143,10 @@ RULES = {
 #: are of many kinds, so most rules have nothing against a given bad document. Without the
 #: bounds the likeliest model has one kind of fault, and calls good what shows another.
 ACCUSED_BAD = (0.1, 0.3)
-#: Bounds of the share of good documents.
-SHARE_GOOD = (0.03, 0.97)
+#: Bounds of the share of good documents. Votes for a document never lower its odds, so the
+#: lower bound is also the least posterior of a document that no rule accuses: what becomes
+#: of it does not depend on how many other documents are faulty.
+SHARE_GOOD = (0.6, 0.97)
 
 
 def with_votes(stats: DataFrame) -> DataFrame:
@@ -204,13 +206,17 @@ def _within(x: float, bounds: tuple[float, float]) -> float:
 def fit_counts(counts: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> LabelModel:
     """EM over the number of documents per vote pattern, within what is believed.
 
-    Starts from "bad if a strict rule says so" and ends when the share of good documents
-    stands still. An empty list gives the beliefs alone.
+    Starts from "bad if a strict rule says so" and ends when the shares of documents that
+    rules accuse stand still. The share of good documents is held at what no strict rule
+    accuses: votes say too little for documents to find it again as the mean posterior,
+    which would sink from round to round. An empty list gives the beliefs alone.
     """
     total = sum(n for _, n in counts)
     strict = [rule for rule, (_, _, most) in enumerate(RULES.values()) if most < 0.01]
     share = [0.0 if any(votes[r] < 0 for r in strict) else 1.0 for votes, _ in counts]
-    model = LabelModel(0.0, [], [])
+    kept = sum(n * s for (_, n), s in zip(counts, share, strict=True))
+    prior = _within((kept + 1) / (total + 2), SHARE_GOOD)
+    model = LabelModel(prior, [], [])
     for _ in range(rounds):
         good, bad = [], []
         for rule, (_, _, most) in enumerate(RULES.values()):
@@ -220,10 +226,12 @@ def fit_counts(counts: list[tuple[tuple[int, ...], int]], rounds: int = 200) ->
             right = _within(accused / voted, ACCUSED_BAD)
             good.append({-1: wrong, 1: 1 - wrong})
             bad.append({-1: right, 1: 1 - right})
-        kept = sum(n * s for (_, n), s in zip(counts, share, strict=True))
-        before, prior = model.prior, _within((kept + 1) / (total + 2), SHARE_GOOD)
-        model = LabelModel(prior, good, bad)
-        if abs(prior - before) < 1e-9:
+        before, model = model, LabelModel(prior, good, bad)
+        moved = [
+            abs(now[-1] - then[-1])
+            for now, then in zip(good + bad, before.good + before.bad)
+        ]
+        if moved and max(moved) < 1e-9:
             break
         share = [1 / (1 + math.exp(-model.odds(votes))) for votes, _ in counts]
     return model

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from brute import base_stats
 
 from registrylake.llm import quality_rules as Q
@@ -65,3 +66,27 @@ def test_native_posterior_is_the_models(documents):
     model = Q.fit(voted)
     for row in voted.withColumn("p", model.posterior(voted["votes"])).collect():
         assert abs(row["p"] - 1 / (1 + 2.718281828459045 ** -model.odds(tuple(row["votes"])))) < 1e-9
+
+
+@pytest.mark.parametrize("faulty", [0, 30, 35, 40, 50, 60, 90])
+@pytest.mark.parametrize("kinds", [1, 5])
+@pytest.mark.parametrize("abstain", [0, 50])
+def test_documents_that_nothing_accuses_stay_in_faulty_corpora(faulty, kinds, abstain):
+    vote = lambda **v: tuple(v.get(name, 1) for name in Q.RULES)
+    strict = list(Q.RULES)[:5]
+    silent, one_vote = (0,) * len(Q.RULES), vote(**dict.fromkeys(strict, 0))
+    bad = [(vote(**{name: -1}), 10 * faulty // kinds) for name in strict[:kinds]]
+    rest = 1000 - 10 * faulty
+    quiet = rest * abstain // 100
+    good = [(vote(), rest - quiet), (silent, quiet // 2), (one_vote, quiet - quiet // 2)]
+    model = Q.fit_counts([(votes, n) for votes, n in good + bad if n])
+    assert all(model.odds(votes) > 0 for votes, _ in good)
+    assert all(model.odds(votes) < 0 for votes, _ in bad)
+
+
+def test_faulty_half_of_a_table_does_not_take_the_rest(documents):
+    good = [(i, text(i)) for i in range(40)]
+    bad = [(100 + i, " ".join(w + "%%%" for w in text(i).split())) for i in range(30)]
+    bad += [(200 + i, text(i).upper()) for i in range(30)]
+    kept = {r["doc_id"] for r in Q.keep_good(documents(good + bad)).collect()}
+    assert kept == {i for i, _ in good}
