@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from registrylake.llm import decontamination, minhash, mixing, pii, quality_rules
 from registrylake.tables.work import work_folder
 
+#: Common 5-word shingles, in percent of all, from which on documents are near duplicates.
+NEAR_PERCENT = 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed quality rules keep."""
@@ -15,7 +18,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id."""
-    return minhash.keep_first(docs)
+    return minhash.keep_first(docs, NEAR_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

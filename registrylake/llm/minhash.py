@@ -1,8 +1,8 @@
 """Near-duplicate documents by b-bit MinHash.
 
 1. One pass over the texts keeps, per document, the size and a 128-bit hash of its set of
-   5-word shingles, 36 band keys of 7 minima each, and the low 2 bits of 256 minima packed
-   into 8 longs. Texts are not shuffled for it.
+   5-word shingles, 36 band keys of 7 minima each (5 for a threshold of 80 percent), and the
+   low 2 bits of 256 minima packed into 8 longs. Texts are not shuffled for it.
 2. Documents with equal sets are one class; the smallest id stands for it.
 3. Classes that share a band key are candidates. Every bucket has a hub, the member with
    most company over all its buckets. Signatures tell how similar members are to the hub, by
@@ -16,8 +16,8 @@
 So a group of near copies costs its size, plus its odd members against the rest. Every step
 passes on a spanning star of what it finds, at most a row per member; no stage makes all
 pairs of a group, and no candidate is dropped by a cap. The chance to miss a link is that of
-no equal band, ``(1 - 0.85**7)**36``, under one in a million at the threshold, and that of a
-signature 4.5 deviations off.
+no equal band, ``(1 - 0.85**7)**36`` or ``(1 - 0.8**5)**36``, under one in a million at the
+threshold, and that of a signature 4.5 deviations off.
 
 Defined results
 - No words (NULL, empty or blank text): no shingles, linked with nothing, kept.
@@ -47,7 +47,10 @@ from registrylake.llm.shingles import (
 from registrylake.tables.work import staged
 
 MIN_PERCENT = 85
+#: Bands, the most minima in one, and the chance to miss a pair right at the threshold that
+#: sets how many minima a band has.
 BANDS, ROWS = 36, 7
+MISSED = 1e-6
 MINIMA, BITS = 256, 2
 _LANES = 64 // BITS
 _LONGS = MINIMA // _LANES
@@ -79,10 +82,16 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return mixed(least[:, 0].astype(np.uint64) * _FACTORS[:, 0] + np.uint64(1))
 
 
-def band_keys(smallest: np.ndarray) -> np.ndarray:
+def band_rows(percent: int) -> int:
+    """The most minima a band may have for the links of ``percent`` to be found."""
+    found = (r for r in range(ROWS, 1, -1) if (1 - (percent / 100) ** r) ** BANDS < MISSED)
+    return next(found, 1)
+
+
+def band_keys(smallest: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """One 64-bit key per band, different bands never meant to meet."""
     keys = _BAND_SEEDS.copy()
-    for row in smallest[: BANDS * ROWS].reshape(BANDS, ROWS).T:
+    for row in smallest[: BANDS * rows].reshape(BANDS, rows).T:
         keys = mixed(keys + row)
     return keys.view(np.int64)
 
@@ -106,27 +115,35 @@ def estimate(unequal: float) -> float:
     return (1 - unequal / MINIMA - _CHANCE) / (1 - _CHANCE)
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
-    for batch in small_batches(batches, "text"):
-        rows = []
-        for doc_id, text in zip(
-            batch.column("doc_id").to_pylist(), byte_texts(batch.column("text")), strict=True
-        ):
-            shingles = shingle_set(text, hashes)
-            if not len(shingles):
-                rows.append((doc_id, 0, None, None, None, None))
-                continue
-            whole = xxhash.xxh3_128_intdigest(shingles.tobytes())
-            high, low = np.array([whole >> 64, whole & (1 << 64) - 1], np.uint64).view(np.int64)
-            smallest = minima(shingles)
-            rows.append(
-                (doc_id, len(shingles), high, low, band_keys(smallest), packed_bits(smallest))
-            )
-        kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2
-        names = ["doc_id", "n_shingles", "set_high", "set_low", "bands", "sig"]
-        columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
-        yield pa.RecordBatch.from_arrays(columns, names)
+def _features(band: int):
+    """Sizes, hashes, band keys of ``band`` minima and signatures of the sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in small_batches(batches, "text"):
+            rows = []
+            for doc_id, text in zip(
+                batch.column("doc_id").to_pylist(), byte_texts(batch.column("text")), strict=True
+            ):
+                shingles = shingle_set(text, hashes)
+                if not len(shingles):
+                    rows.append((doc_id, 0, None, None, None, None))
+                    continue
+                whole = xxhash.xxh3_128_intdigest(shingles.tobytes())
+                high, low = np.array([whole >> 64, whole & (1 << 64) - 1], np.uint64).view(np.int64)
+                smallest = minima(shingles)
+                rows.append(
+                    (
+                        doc_id, len(shingles), high, low,
+                        band_keys(smallest, band), packed_bits(smallest),
+                    )
+                )
+            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2
+            names = ["doc_id", "n_shingles", "set_high", "set_low", "bands", "sig"]
+            columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,7 +412,7 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
     """
     most = most_unequal(percent)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    features = staged(docs.mapInArrow(_features, _FEATURES))
+    features = staged(docs.mapInArrow(_features(band_rows(percent)), _FEATURES))
 
     linkable = features.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["set_high", "set_low"]

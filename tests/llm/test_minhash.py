@@ -100,3 +100,27 @@ def test_one_class_per_star(spark):
     pairs = [(np.array([0, 1, 4]), np.array([1, 2, 5]))]
     links = minhash._stars(np.array([30, 20, 10, 40, 60, 50]), pairs)
     assert sorted(map(tuple, links.tolist())) == [(10, 20), (10, 30), (50, 60)]
+
+
+def test_bands_find_pairs_at_the_threshold():
+    assert (minhash.band_rows(85), minhash.band_rows(80)) == (7, 5)
+    for percent in (40, 60, 80, 85, 95):
+        rows = minhash.band_rows(percent)
+        assert (1 - (percent / 100) ** rows) ** minhash.BANDS < 1e-6
+
+
+def test_lone_pairs_between_80_and_85(documents):
+    docs, rng = [], random.Random(21)
+    for k in range(60):
+        words = [f"p{k}w{rng.randrange(10_000)}" for _ in range(104)]
+        other = list(words)
+        for at in (20, 60)[: 1 + k % 2]:
+            other[at] = "changed"
+        if k % 2 == 0:
+            other[101] = "changed"
+            other = other[:-1]
+        docs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    sets = shingle_sets(docs)
+    near = [len(sets[2 * k] & sets[2 * k + 1]) / len(sets[2 * k] | sets[2 * k + 1]) for k in range(60)]
+    assert all(0.8 <= x < 0.85 for x in near[1::2])
+    check(docs, documents(docs), 80)

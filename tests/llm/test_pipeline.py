@@ -65,3 +65,19 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_duplicates_from_80_percent_go(spark):
+    rng = random.Random(3)
+    rows, left = [], set()
+    for k in range(20):
+        words = [f"p{k}w{rng.randrange(10_000)}" for _ in range(104)]
+        # One word changes 5 of 100 shingles: two leave 90 of 110, three 85 of 115.
+        for n, places in enumerate(((), (20, 60) if k % 2 else (20, 50, 80))):
+            text = " ".join("changed" if i in places else w for i, w in enumerate(words))
+            rows.append((2 * k + n, text, "en", "s", len(text)))
+        left |= {2 * k} if k % 2 else {2 * k, 2 * k + 1}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    first = near_components([r[:2] for r in rows], 80)
+    assert kept == left == {i for i, c in first.items() if i == c}
