@@ -2,10 +2,16 @@
 
 Base detection takes e-mail addresses, IPv4 addresses, payment cards and phone numbers as
 they stand. Then a transducer rewrites a copy of the text: look-alike letters and digits of
-other scripts become ASCII, invisible characters vanish, runs of spelled digits and
-letters like O and l among digits become digits, and "at" and "dot" in brackets, or in a whole spelled address, become signs. It
-keeps for every piece of the copy the piece of the source that it came from. What is
-detected in the copy and touches a rewritten piece is mapped back and added.
+other scripts become ASCII, invisible characters vanish, runs of spelled digits become
+digits, and "at" and "dot" in brackets or in a spelled address become signs. Last, in runs
+of figures of any length, letters like O and l, single digit words and spelled dots become
+digits and dots; whether that makes a number is left to the base patterns. It keeps for every
+piece of the copy the piece of the source that it came from. What is detected in the copy and
+touches a rewritten piece is mapped back and added.
+
+"at" or a lone @ before a domain with plain dots is mostly prose ("more at example.org"). It
+counts if something else speaks for an address: a dot, digit, + or _ in the name, a domain of
+a mail service, or a word like "contact" or "mail" before it.
 
 Detection is linear in the length of a text. All offsets are code points, ends exclusive.
 
@@ -108,6 +114,7 @@ _SPELLED = {
     "fr": "zéro un deux trois quatre cinq six sept huit neuf",
     "es": "cero uno dos tres cuatro cinco seis siete ocho nueve",
 }
+_DIGIT_LIKE = {"o": "0", "l": "1", "i": "1"}
 _DIGIT_OF = {word: str(n) for words in _SPELLED.values() for n, word in enumerate(words.split())}
 
 
@@ -127,16 +134,36 @@ _ALIKE = re.compile(
     "[" + "".join(map(re.escape, [*_LOOK_ALIKES, *_SIGNS, *_INVISIBLE])) + "！-～]|(?![0-9])\\d"
 )
 _DIGIT_WORD = "(?:" + "|".join(sorted(_DIGIT_OF, key=len, reverse=True)) + ")"
-_OPEN, _CLOSE = r"[ \t]*[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
+_OPEN, _CLOSE = r"(?:(?<![ \t])[ \t]++)?[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
 _WORDS = re.compile(
     rf"(?<!\w)(?P<digits>(?:plus[ -]+)?{_DIGIT_WORD}(?:[ -]+(?:(?:dot|punkt|point|punto)[ -]+)?{_DIGIT_WORD}){{2,}})(?!\w)"
     rf"|(?P<at>{_OPEN}(?:at|@){_CLOSE})"
     rf"|(?P<dot>{_OPEN}(?:dot|punkt|point|punto|\.){_CLOSE})"
-    r"|(?<![\w.])(?P<mixed>[0-9oli](?:[ -]?[0-9oli]){12,18})(?!\w)"
-    r"|(?<=[a-z0-9])(?P<address>(?:[ ]+dot[ ]+[a-z0-9_+-]+)*[ ]+at[ ]+[a-z0-9-]+(?:(?:[ ]+dot[ ]+|\.)[a-z0-9-]+)*[ ]+dot[ ]+[a-z0-9-]+)(?!\w)",
+    r"|(?<=[a-z0-9])(?P<address>(?:[ ]+dot[ ]+[a-z0-9_+-]+)*(?:[ ]+at[ ]+|[ ]*@[ ]*)[a-z0-9-]+(?:(?:[ ]+dot[ ]+|\.)[a-z0-9-]+)+)(?!\w)",
+    re.IGNORECASE,
+)
+_SIGN = re.compile(r"[ ]+(at|dot)[ ]+|[ ]+@[ ]*|@[ ]+", re.IGNORECASE)
+_PLAIN_AT = re.compile(r" at +[a-z0-9-]+\.[a-z0-9]")
+_NAME = re.compile(r"[A-Za-z0-9._%+-]+$")
+_CUE = re.compile(r"(?:mail|contact|write|reach|address)[a-z]*(?:[ ]+[a-z]+)?[^a-z0-9]+$", re.IGNORECASE)
+_PRONOUNS = frozenset("me us him her it them you".split())
+# Runs of figures, digit words and letters that look like digits, with what a phone or a
+# spelled dot may have between them.
+_TOKEN = rf"(?:{_DIGIT_WORD}|[0-9oli])++(?!\w)"
+_NUMBER = re.compile(
+    rf"(?:\+|(?<!\w)(?:plus[ -]++)?){_TOKEN}(?:[ ().-]++(?:(?:dot|punkt|point|punto)[ -]++)?{_TOKEN})*+",
     re.IGNORECASE,
 )
-_MIXED = re.compile(r"[0-9][ -]?[oli]|[oli][ -]?[0-9]")
+_PIECE = re.compile(
+    rf"plus[ -]+|(?<![ ().-])[ ().-]*+(?P<dot>dot|punkt|point|punto)[ -]+|{_DIGIT_WORD}|[oli]",
+    re.IGNORECASE,
+)
+_WORD = re.compile(r"[^\W_]+")
+_EDGES = tuple(
+    re.compile(f"(?:{edge})+|dot|punkt|point|punto", re.IGNORECASE)
+    for edge in ("[oli]", f"{_DIGIT_WORD}|[oli]")
+)
+_MIXED = re.compile(r"[0-9][ ().-]*[oli]|[oli][ ().-]*[0-9]|[0-9][ ]+(?:punkt|point|punto)[ ]+[0-9oli]")
 _BRACKETS = re.compile(r"[\[({<][ \t]*(?:at|@|dot|punkt|point|punto|\.)[ \t]*[\])}>]")
 
 
@@ -145,6 +172,8 @@ def _may_be_spelled(text: str) -> bool:
     low = text.lower()
     if " dot " in low or _BRACKETS.search(low) or _MIXED.search(low):
         return True
+    if "@ " in low or " @" in low or _PLAIN_AT.search(low):
+        return True
     words = re.split(r"\W+", low) if "-" in low else low.split()
     return not _DIGIT_OF.keys().isdisjoint(words)
 
@@ -204,12 +233,15 @@ def _rewrite_chars(text: str) -> Rewriting:
     return out
 
 
-def _unmix(out: Rewriting, start: int, run: str) -> None:
-    """Letters that stand for digits in a run that is mostly digits, as digits."""
-    plain = sum(char.isdigit() for char in run) < 8
-    for at, char in enumerate(run, start):
-        digit = None if plain else {"o": "0", "l": "1", "i": "1"}.get(char.lower())
-        out.add(at, at + 1, digit)
+def _is_address(before: str, signs: str) -> bool:
+    """Whether a name, " at " and a domain with plain dots are an address and not prose."""
+    found = _NAME.search(before)
+    name = found[0] if found else ""
+    if not name or name.lower() in _PRONOUNS:
+        return False
+    if any(c.isalpha() for c in name) and any(c in "._+" or c.isdigit() for c in name):
+        return True
+    return "mail" in signs.lower() or bool(_CUE.search(before[: len(before) - len(name)]))
 
 
 def _rewrite_words(text: str) -> Rewriting:
@@ -219,14 +251,15 @@ def _rewrite_words(text: str) -> Rewriting:
         at = match.end()
         if match["digits"]:
             out.add(match.start(), at, _spelled(match[0]))
-        elif match["mixed"]:
-            _unmix(out, match.start(), match[0])
         elif match["address"]:
-            start = match.start()
-            for sign in re.finditer(r"[ ]+(at|dot)[ ]+", match[0], re.IGNORECASE):
+            start, signs = match.start(), list(_SIGN.finditer(match[0]))
+            plain = len(signs) == 1 and (signs[0][1] or "at").lower() == "at"
+            if plain and not _is_address(text[max(0, start - 80) : start], match[0]):
+                signs = []
+            for sign in signs:
                 out.add(start, match.start() + sign.start())
                 start = match.start() + sign.end()
-                piece = "@" if sign[1].lower() == "at" else "."
+                piece = "." if (sign[1] or "").lower() == "dot" else "@"
                 out.add(match.start() + sign.start(), start, piece)
             out.add(start, at)
         else:
@@ -235,6 +268,64 @@ def _rewrite_words(text: str) -> Rewriting:
     return out
 
 
+def _rewrite_number(run: str) -> tuple[Rewriting, list[int]]:
+    """A run of figures in digits, and where letters stood for them."""
+    out, at, letters = Rewriting(run), 0, []
+    for match in _PIECE.finditer(run):
+        piece = match[0].lower()
+        sign = "." if match["dot"] else "+" if piece.startswith("plus") else _DIGIT_OF.get(piece)
+        if sign is None and piece in _DIGIT_LIKE:
+            sign = _DIGIT_LIKE[piece]
+            letters.append(match.start())
+        if sign:
+            out.add(at, match.start())
+            at = match.end()
+            out.add(match.start(), at, sign)
+    out.add(at, len(run))
+    return out, letters
+
+
+def _trimmed(run: str) -> Iterator[tuple[int, int]]:
+    """A run without look-alike words like "I" at its ends, without digit words, and whole."""
+    words = list(_WORD.finditer(run))
+    cuts = []
+    for edge in _EDGES:
+        first, last = 0, len(words)
+        while first < last and edge.fullmatch(words[first][0]):
+            first += 1
+        while first < last and edge.fullmatch(words[last - 1][0]):
+            last -= 1
+        if first < last:
+            cuts.append((words[first].start() if first else 0, words[last - 1].end()))
+    yield from dict.fromkeys([*cuts, (0, len(run))])
+
+
+def _number_spans(text: str) -> Iterator[tuple[int, int, str]]:
+    """Spans in runs of figures that show once letters, digit words and dots are rewritten.
+
+    Half of the digits, or eight, have to be such in the text. Nearby words that could
+    belong to a number count only where the run without them has none.
+    """
+    for match in _NUMBER.finditer(text):
+        run = match[0]
+        if len(run) < 7 or not _PIECE.search(run):
+            continue
+        found: list[Span] = []
+        for start, end in _trimmed(run):
+            out, letters = _rewrite_number(run[start:end])
+            for a, b, kind in base_spans(out.text):
+                n = sum(char.isdigit() for char in out.text[a:b])
+                a, b, changed = out.source_span(a, b)
+                alike = bisect.bisect_left(letters, b) - bisect.bisect_left(letters, a)
+                if n - alike < min(8, n / 2):
+                    continue
+                a, b = a + start, b + start
+                if all(b <= x or y <= a or (x, y) == (a, b) for x, y, _ in found):
+                    found.append((a, b, kind))
+                    if changed:
+                        yield match.start() + a, match.start() + b, kind
+
+
 def disguised_spans(text: str) -> list[Span]:
     """Spans that show only after rewriting, in source characters."""
     alike = not text.isascii() and any(c > "\x7f" and _ascii(c) is not None for c in set(text))
@@ -248,6 +339,10 @@ def disguised_spans(text: str) -> list[Span]:
         a, b, also = chars.source_span(a, b)
         if changed or also:
             found.append((a, b, kind))
+    for start, end, kind in _number_spans(words.text):
+        a, b, _ = words.source_span(start, end)
+        a, b, _ = chars.source_span(a, b)
+        found.append((a, b, kind))
     return found
 
 

@@ -65,3 +65,46 @@ def test_tables(spark):
         (1, "[EMAIL]", 7, "k"), (1, "[EMAIL]", 7, "k"), (3, "", 0, "k"), (None, None, None, None)
     ]
     assert pii.redact(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("text", "found", "kind"),
+    [
+        ("call +44 2O 7946 O958 now", "+44 2O 7946 O958", "phone"),
+        ("call +1 (0I7) 555-77I3.", "+1 (0I7) 555-77I3", "phone"),
+        ("tel +44.2O.7946.O958", "+44.2O.7946.O958", "phone"),
+        ("from 1O.0.0.l here", "1O.0.0.l", "ip"),
+        ("from 1O[.]0[.]0[.]l here", "1O[.]0[.]0[.]l", "ip"),
+        ("from 192 dot 168 dot 1 dot 1 here", "192 dot 168 dot 1 dot 1", "ip"),
+        ("from 192.168.one.1 here", "192.168.one.1", "ip"),
+        ("write ann@mail dot org today", "ann@mail dot org", "email"),
+        ("write ann @ mail dot org today", "ann @ mail dot org", "email"),
+        ("ann dot lee@mail dot org", "ann dot lee@mail dot org", "email"),
+        ("ann at mail.org", "ann at mail.org", "email"),
+        ("write to ann at example.org", "ann at example.org", "email"),
+        ("ann.lee at example.org", "ann.lee at example.org", "email"),
+        ("call +1 017 555 seven 713 now", "+1 017 555 seven 713", "phone"),
+        ("plus 44 20 7946 zero nine 58", "plus 44 20 7946 zero nine 58", "phone"),
+        ("card 4539 1488 0343 64 six seven", "4539 1488 0343 64 six seven", "card"),
+        ("card 4539 one488 0343 6467", "4539 one488 0343 6467", "card"),
+        ("so I 4539 l488 O343 6467 I think", "4539 l488 O343 6467", "card"),
+    ],
+)
+def test_short_and_partial_disguises(text, found, kind):
+    base, spans = pii.all_spans(text)
+    assert [(text[a:b], k) for a, b, k in spans if (a, b, k) not in base] == [(found, kind)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["more at example.org", "contact us at example.org", "1O.0.0.3OO", "card 4539 l488 O343 6468",
+     "in 2019 one of 10 or 11 I saw", "lO.O.O.l", "+1 2O 3", "at 10.5 l in 2020", "five 5 six 6 seven 7", "+ oil ill lo lo lo",
+     "follow us @ example.com", "\u212a at mail.org", "ıı 5 ſix 6 o", "1" + " " * 50_000 + "o", "1" + " o" * 50_000 + " 1"],
+)
+def test_what_base_checks_refuse_stays(text):
+    assert pii.all_spans(text) == ([], [])
+
+
+def test_words_after_a_number_stay():
+    text = "call +1 555 123 4567 I am home"
+    assert [text[a:b] for a, b, _ in pii.all_spans(text)[1]] == ["+1 555 123 4567"]
