@@ -12,16 +12,17 @@ a smaller id, as the documents came in.
    outside its first document are covered whole. A trigger of one document only is unique.
    What is left are first occurrences of different phrases with a common trigger: the ends
    of repeated passages and chance meetings.
-3. Suffixes. Of those phrases the bytes are fetched. Their suffixes, as far as the 50 bytes
-   that matter, are put in corpus order; equal neighbours are equal windows, and a window
-   is covered unless its document is the first among them.
+3. Windows. Of those phrases the bytes are fetched. Their windows of 50 bytes are grouped by
+   two 64-bit hashes, and a window is covered unless its document is the first in its group.
+   There is no suffix array and no order of suffixes: only whether windows of 50 bytes are
+   equal matters, which hashes tell without comparing bytes.
 
 A trigger that very many different phrases of one batch share is not followed as a whole:
 its phrases are cut into single windows, which are grouped by their content, with one
 occurrence per batch. So no common string collects the corpus in one task.
 
-Texts are shuffled once, to the places found in them. The suffix order is never built for
-the corpus as a whole, only within groups of a trigger, which is where windows can be equal.
+Texts are shuffled once, to the places found in them. Windows are only compared within groups
+of a trigger, which is where they can be equal.
 
 Defined results
 - A NULL text counts as empty. A row without doc_id stays as it is and covers nothing.
