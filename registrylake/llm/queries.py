@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 from registrylake.llm import (
     decontamination,
+    filter_audit,
     fixity,
     minhash,
     mixing,
@@ -17,7 +18,9 @@ from registrylake.llm import (
     pii,
     quality_classifier,
     quality_rules,
+    token_alignment,
     token_counts,
+    topk,
     url_rules,
 )
 from registrylake.tables.work import staged
@@ -96,6 +99,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.STATS, "base_failed", "kept", "quality")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.align(docs, *paths)
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(docs, _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash": op1_minhash,
@@ -108,6 +126,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_url_rules": op9_url_rules,
         "op10_quality_rules": op10_quality_rules,
+        "op11_alignment": op11_alignment,
+        "op12_topk": op12_topk,
+        "op13_filter_audit": op13_filter_audit,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -313,4 +334,70 @@ def oracle_sql() -> dict[str, str]:
                    sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(tail, 0) + 1)))
                      AS kept_sha256
             FROM hexed LEFT JOIN cut USING (doc_id)""",
+        "op12_topk": r"""
+            WITH v AS (
+              SELECT row_number() OVER () AS i, vec_id,
+                     [floor(1024 * CAST(x AS DOUBLE)) for x in embedding] AS v
+              FROM embeddings
+              WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len([x for x in embedding if isfinite(x)]) = len(embedding)),
+            scored AS (
+              SELECT q.i, q.vec_id AS query_id, c.vec_id AS vec_id,
+                     CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+              FROM v q JOIN v c ON q.i <> c.i AND len(q.v) = len(c.v)
+              WHERE q.vec_id % 100 = 0)
+            SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+            FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, vec_id) AS r
+                  FROM scored)
+            WHERE r <= 10""",
+        "op13_filter_audit": r"""
+            WITH words AS (
+              SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+              FROM documents),
+            known AS (
+              SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                     max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+              FROM labels GROUP BY doc_id),
+            masks AS (
+              SELECT doc_id, part,
+                     CASE WHEN len(w) < 100 THEN 1 ELSE 0 END
+                     + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+                     + CASE WHEN 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * len(text)
+                            THEN 4 ELSE 0 END
+                     + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+                     + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+              FROM words),
+            cells AS (
+              SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good,
+                     coalesce(sum(toxic), 0) AS toxic
+              FROM masks LEFT JOIN known USING (doc_id) GROUP BY part, mask),
+            letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+            orders AS (
+              SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+                     [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+              FROM letters a JOIN letters b ON b.bit <> a.bit
+              JOIN letters c ON c.bit NOT IN (a.bit, b.bit)
+              JOIN letters d ON d.bit NOT IN (a.bit, b.bit, c.bit)
+              JOIN letters e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)),
+            steps AS (
+              SELECT filter_order, step, bits[step] AS bit,
+                     CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS applied
+              FROM orders, unnest(range(1, 6)) AS t(step)),
+            counted AS (
+              SELECT part, filter_order, CAST(step AS INTEGER) AS step, bit,
+                     CAST(coalesce(sum(n) FILTER (mask & (applied | bit) = 0), 0) AS BIGINT) AS kept,
+                     CAST(coalesce(sum(n) FILTER (mask & applied = 0 AND mask & bit <> 0), 0) AS BIGINT)
+                       AS removed,
+                     CAST(coalesce(sum(n) FILTER (mask & applied <> 0 AND mask & bit <> 0), 0) AS BIGINT)
+                       AS redundant,
+                     CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
+                     CAST(coalesce(sum(good) FILTER (mask & applied = 0 AND mask & bit <> 0), 0) AS BIGINT)
+                       AS good_lost,
+                     CAST(coalesce(sum(toxic) FILTER (mask & applied = 0 AND mask & bit <> 0), 0) AS BIGINT)
+                       AS toxic_lost
+              FROM cells, steps GROUP BY ALL)
+            SELECT * EXCLUDE (bit),
+                   CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+            FROM counted""",
     }

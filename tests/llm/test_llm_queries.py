@@ -4,6 +4,8 @@ import sys
 from pathlib import Path
 
 import pytest
+import sentencepiece
+from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
@@ -30,7 +32,7 @@ def given(spark):
 
 def test_one_query_per_operator():
     names = list(llm.queries())
-    assert [name.split("_")[0] for name in names] == [f"op{n}" for n in range(1, 11)] + ["pipeline"]
+    assert [name.split("_")[0] for name in names] == [f"op{n}" for n in range(1, 14)] + ["pipeline"]
     assert set(llm.oracle_sql()) <= set(names)
 
 
@@ -58,3 +60,13 @@ def test_counts_of_rules_and_personal_data_equal_brute_force(spark, given):
         joined = [f"{kind}:{start}:{end}" for start, end, kind in spans]
         assert row["n_email"] == sum(k == "email" for _, _, k in spans)
         assert set(joined) <= set(row["spans"].split(","))
+
+
+def test_alignment_equals_brute_force(spark, given):
+    from test_token_alignment import A, B, brute
+
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    models = a, sentencepiece.SentencePieceProcessor(model_file=B)
+    got = llm.op11_alignment(spark, str(DATA)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(models, given)
