@@ -62,33 +62,38 @@ def build_gold(
     country_codes: Iterable[int] = DOMESTIC_COUNTRY_CODES,
     status_codes: Iterable[int] = ACTIVE_STATUS_CODES,
 ) -> None:
-    """Replace all gold tables. Safe to run again; a failure starts no further table."""
+    """Replace all gold tables, in one step once all are written.
 
-    def write(table: str, df: DataFrame) -> None:
-        gold.replace(table, df, GOLD_LOOKUPS[table], GOLD_CLUSTERING.get(table, ()))
-        log.info("gold table %s written", table)
-
-    companies = gold_empresas(
-        silver.read("empresas"), silver.read("estabelecimentos"), country_codes, status_codes
-    )
-    write("empresas", companies)
-
-    # From here on the written table is read, not computed again.
-    companies = gold.read("empresas")
-    folder = work_folder(silver.spark)
-    try:
-        known = staged(distinct_values(companies, _KEY), folder)
-        plans = {
-            "socios": gold_of_known_companies(silver.read("socios"), known),
-            "municipios": gold_municipios(silver.read("municipios"), companies),
-            "simples": gold_of_known_companies(silver.read("simples"), known),
-        }
-        for table in _COPIED:
-            plans[table] = blank_to_null(_silver_or_empty(silver, table))
-        # The remaining tables do not depend on each other.
-        run_all(partial(write, table, df) for table, df in plans.items())
-    finally:
-        gold.files.delete(folder)
+    Safe to run again. After a failure no further table is started, and the layer is as it
+    was before the build.
+    """
+    with gold.build() as new:
+
+        def write(table: str, df: DataFrame) -> None:
+            new.replace(table, df, GOLD_LOOKUPS[table], GOLD_CLUSTERING.get(table, ()))
+            log.info("gold table %s written", table)
+
+        companies = gold_empresas(
+            silver.read("empresas"), silver.read("estabelecimentos"), country_codes, status_codes
+        )
+        write("empresas", companies)
+
+        # From here on the written table is read, not computed again.
+        companies = new.read("empresas")
+        folder = work_folder(silver.spark)
+        try:
+            known = staged(distinct_values(companies, _KEY), folder)
+            plans = {
+                "socios": gold_of_known_companies(silver.read("socios"), known),
+                "municipios": gold_municipios(silver.read("municipios"), companies),
+                "simples": gold_of_known_companies(silver.read("simples"), known),
+            }
+            for table in _COPIED:
+                plans[table] = blank_to_null(_silver_or_empty(silver, table))
+            # The remaining tables do not depend on each other.
+            run_all(partial(write, table, df) for table, df in plans.items())
+        finally:
+            gold.files.delete(folder)
 
 
 def _silver_or_empty(silver: Layer, table: str) -> DataFrame:

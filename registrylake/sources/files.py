@@ -7,10 +7,14 @@ source opens such URIs with pyarrow.
 
 from __future__ import annotations
 
+import errno
 import fnmatch
+import os
 import posixpath
 import sys
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
@@ -55,7 +59,7 @@ class Files:
     """Files as Spark sees them; for the driver."""
 
     def __init__(self, spark: SparkSession):
-        self._jvm = spark._jvm
+        self._jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
         self._conf = spark._jsc.hadoopConfiguration()
 
     def _at(self, path: str):
@@ -72,7 +76,14 @@ class Files:
 
     def _entries(self, directory: str):
         system, path = self._at(directory)
-        return list(system.listStatus(path)) if system.exists(path) else []
+        if not system.exists(path):
+            return []
+        try:
+            return list(system.listStatus(path))
+        except Py4JJavaError as error:  # another writer may have removed it
+            if "FileNotFound" in error.java_exception.getClass().getName():
+                return []
+            raise
 
     def names(self, directory: str, pattern: str = "*") -> list[str]:
         """Base names of the files that match a glob, in order."""
@@ -99,14 +110,46 @@ class Files:
         finally:
             stream.close()
 
-    def write_text(self, path: str, text: str) -> None:
-        """Replace a small text file: written aside, then renamed over the old one."""
-        system, target = self._at(path)
-        aside = self._jvm.org.apache.hadoop.fs.Path(f"{path}.new")
-        stream = system.create(aside, True)
+    def create_new(self, path: str, text: str) -> bool:
+        """Write a small text file unless there is one; False if there is.
+
+        The file appears whole or not at all: it is written aside, then given its name by a
+        step that fails when the name is taken.
+        """
+        aside = f"{path}.{uuid.uuid4().hex}.new"
+        system, target = self._at(aside)
+        stream = system.create(target, False)
         try:
             stream.write(text.encode())
         finally:
             stream.close()
-        system.delete(target, False)
-        system.rename(aside, target)
+        try:
+            return self._name(aside, path, os.link)
+        finally:
+            self.delete(aside)
+
+    def rename_new(self, source: str, target: str) -> bool:
+        """Rename a folder in one step, unless the new name is taken; False if it is."""
+        return not self.exists(target) and self._name(source, target, os.rename)
+
+    def _name(self, source: str, target: str, locally) -> bool:
+        if target.startswith("file:"):
+            try:
+                locally(*("/" + p.removeprefix("file:").lstrip("/") for p in (source, target)))
+            except OSError as error:
+                if error.errno in (errno.EEXIST, errno.ENOTEMPTY):
+                    return False
+                raise
+            return True
+        fs = self._jvm.org.apache.hadoop.fs
+        (_, old), (_, new) = self._at(source), self._at(target)
+        option = getattr(fs, "Options$Rename")
+        options = self._gateway.new_array(option, 1)
+        options[0] = option.NONE
+        try:
+            fs.FileContext.getFileContext(new.toUri(), self._conf).rename(old, new, options)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+        return True

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import threading
 import uuid
@@ -14,10 +15,16 @@ from registrylake.operators.keys import distinct_values, row_count
 from registrylake.schemas import Dataset
 from registrylake.sources.files import Files
 
-_MARKER = "_table.json"
+#: Folder of a layer that holds its markers, how many of them are kept, and names that appends
+#: use while they write.
+_LOG, _KEPT_MARKERS, _ASIDE = "_log", 8, "_batch"
 _database = threading.Lock()
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer changed the same table since this one started."""
+
+
 def leading_columns(table: str, lookups: Iterable[str | list[str]]) -> list[str]:
     """Columns that start a lookup path, each once. An empty path is an error."""
     leading = {}
@@ -32,10 +39,17 @@ def leading_columns(table: str, lookups: Iterable[str | list[str]]) -> list[str]
 class Layer:
     """Tables of one layer, by name.
 
-    Every write of a whole table goes to a new version folder. A marker file in the table's
-    folder names the committed version and its schema; it is renamed into place after the
-    rows are written, and only then are older versions removed. So a write that fails leaves
-    the table as it was, and a new session finds exactly what was committed.
+    Every write of a whole table goes to a new version folder. What the layer holds is named
+    by numbered markers: each lists all tables with their version and schema, the highest
+    valid one counts. A marker is created only if its number is not taken, and appears whole,
+    so a commit is one step, of one table or of all tables of a ``build``. A write that fails
+    or stops leaves the layer as it was, and a new session finds exactly what was committed.
+    Of two writers that start from the same version of a table, the second to commit fails
+    with ``ConcurrentWrite``; writers of different tables do not disturb each other. The
+    previous version of a table stays until the next one, for queries that still read it.
+
+    Rows are appended as a batch: a folder written aside, then renamed into the version it
+    belongs to. The name follows from the identity of the batch, so a retry adds nothing.
 
     Lookups by a column are served without indexes: each column that starts a declared
     path gets a Bloom filter per row group where Parquet writes one (not for columns of few
@@ -49,54 +63,94 @@ class Layer:
         self.files = Files(spark)
         self.spark, self.name = spark, name
         self.location = self.files.qualified(location)
+        self._committing = threading.Lock()
         quoted = self.location.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{quoted}'")
         there = self.files.qualified(unquote(spark.catalog.getDatabase(name).locationUri))
         if there != self.location:
             raise ValueError(f"Layer {name} is at {there}, not at {self.location}")
-        for table in self.files.directories(self.location):
-            if table.isidentifier() and self._marker(table):
-                self._point(table)
+        _, committed = self._state()
+        for table in {*self.tables(), *committed}:
+            self._follow(table, committed.get(table))
 
     def _qualified(self, table: str) -> str:
         if not table.isidentifier():
             raise ValueError(f"Not a name for a table: {table}")
         return f"`{self.name}`.`{table}`"
 
-    def _path(self, table: str) -> str:
-        return f"{self.location}/{table}"
+    def _path(self, table: str, version: str = "") -> str:
+        return f"{self.location}/{table}/{version}".rstrip("/")
 
     # Versions
 
-    def _marker(self, table: str) -> dict | None:
-        text = self.files.read_text(f"{self._path(table)}/{_MARKER}")
-        return json.loads(text) if text else None
+    def _state(self) -> tuple[int, dict[str, dict]]:
+        """Number of the last marker, and the tables by the highest valid one."""
+        folder = f"{self.location}/{_LOG}"
+        names = sorted(self.files.names(folder, "*.json"), reverse=True)
+        last = int(names[0].removesuffix(".json")) if names else 0
+        for name in names:
+            try:
+                return last, json.loads(self.files.read_text(f"{folder}/{name}") or "")["tables"]
+            except (ValueError, KeyError, TypeError):
+                continue  # cut short by a store that cannot rename
+        return last, {}
 
-    def _commit(self, table: str, version: str, schema: T.StructType, lookups: list) -> None:
-        """Make a written version the table, then remove the others."""
-        marker = {"version": version, "schema": schema.jsonValue(), "lookups": lookups}
-        self.files.write_text(f"{self._path(table)}/{_MARKER}", json.dumps(marker))
-        self._point(table)
-        for other in self.files.directories(self._path(table)):
-            if other != version:
-                self.files.delete(f"{self._path(table)}/{other}")
+    def _commit(self, changes: dict[str, dict | None], seen: dict[str, dict]) -> None:
+        """Publish written versions, and None for dropped tables, in one step.
 
-    def _point(self, table: str) -> None:
+        ``seen`` are the tables when the writer started.
+        """
+        with self._committing:
+            while True:
+                number, tables = self._state()
+                moved = sorted(
+                    table for table in changes
+                    if (tables.get(table) or {}).get("version") != (seen.get(table) or {}).get("version")
+                )
+                if moved:
+                    raise ConcurrentWrite(f"{self.name}: {moved} changed since this write started")
+                after = {t: entry for t, entry in {**tables, **changes}.items() if entry}
+                marker = f"{self.location}/{_LOG}/{number + 1:012d}.json"
+                if self.files.create_new(marker, json.dumps({"tables": after})):
+                    break
+            for table, entry in changes.items():
+                self._follow(table, entry)
+            self._clean(number + 1, {table: (tables.get(table), changes[table]) for table in changes})
+
+    def _clean(self, number: int, versions: dict[str, tuple[dict | None, dict | None]]) -> None:
+        """Remove what neither the last nor the previous version of a table needs.
+
+        A writer that is still at work started no earlier than the previous version, and
+        version folders start with the number of the marker they started from.
+        """
+        for table, (before, after) in versions.items():
+            if after is None:
+                self.files.delete(self._path(table))
+            elif before:
+                kept = {before["version"], after["version"]}
+                for version in self.files.directories(self._path(table)):
+                    if version not in kept and version < before["version"].partition("-")[0]:
+                        self.files.delete(self._path(table, version))
+        for name in self.files.names(f"{self.location}/{_LOG}", "*.json"):
+            if int(name.removesuffix(".json")) <= number - _KEPT_MARKERS:
+                self.files.delete(f"{self.location}/{_LOG}/{name}")
+
+    def _follow(self, table: str, entry: dict | None) -> None:
         """Let the catalog know the committed version of a table."""
-        marker, name = self._marker(table), self._qualified(table)
-        path = f"{self._path(table)}/{marker['version']}"
+        name = self._qualified(table)
         if self.exists(table):
             details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
-            if self.files.qualified(unquote(details.first()["data_type"])) == path:
+            there = self.files.qualified(unquote(details.first()["data_type"]))
+            if entry and there == self._path(table, entry["version"]):
                 return
             self.spark.sql(f"DROP TABLE {name}")
-        self.spark.catalog.createTable(
-            name,
-            path=path,
-            source="parquet",
-            schema=T.StructType.fromJson(marker["schema"]),
-            **self._writing(table, marker["lookups"]),
-        )
+        if entry:
+            path = self._path(table, entry["version"])
+            self._create(name, path, T.StructType.fromJson(entry["schema"]), table, entry["lookups"])
+
+    def _create(self, name: str, path: str, schema: T.StructType, table: str, lookups: list) -> None:
+        options = self._writing(table, lookups) | {"recursiveFileLookup": "true"}
+        self.spark.catalog.createTable(name, path=path, source="parquet", schema=schema, **options)
 
     @staticmethod
     def _writing(table: str, lookups: list) -> dict[str, str]:
@@ -113,7 +167,8 @@ class Layer:
         return table.isidentifier() and self.spark.catalog.tableExists(self._qualified(table))
 
     def tables(self) -> list[str]:
-        return sorted(t.name for t in self.spark.catalog.listTables(self.name) if not t.isTemporary)
+        listed = self.spark.catalog.listTables(self.name)
+        return sorted(t.name for t in listed if not t.isTemporary and not t.name.startswith(_ASIDE))
 
     def columns(self, table: str) -> dict[str, str]:
         """Column names and stored types, from the catalog alone."""
@@ -145,6 +200,10 @@ class Layer:
 
     # Writes
 
+    def build(self) -> Build:
+        """Several tables that are published together: ``with layer.build() as new``."""
+        return Build(self)
+
     def create(self, table: str, columns: Dataset | T.StructType) -> None:
         """An empty typed table, unless the table is there already."""
         self._qualified(table)
@@ -163,41 +222,51 @@ class Layer:
         clustering: Iterable[str] = (),
     ) -> None:
         """Write the table in one pass, replacing what was there once all is written."""
-        self._qualified(table)
-        lookups, clustering = list(lookups), list(clustering)
-        options = self._writing(table, lookups)
-        if clustering:
-            # Ranges are cut by a sample, so a frequent value spreads over several files
-            # by the columns after it.
-            df = df.repartitionByRange(*clustering).sortWithinPartitions(*clustering)
-        version = f"v{uuid.uuid4().hex}"
-        path = f"{self._path(table)}/{version}"
-        try:
-            df.write.options(**options).parquet(path)
-        except BaseException:
-            self.files.delete(path)
-            raise
-        fields = [T.StructField(f.name, f.dataType) for f in df.schema.fields]
-        self._commit(table, version, T.StructType(fields), lookups)
+        with self.build() as new:
+            new.replace(table, df, lookups, clustering)
 
-    def append(self, table: str, df: DataFrame) -> None:
+    def append(self, table: str, df: DataFrame, batch: str | None = None) -> bool:
         """Add rows by column name; absent columns are NULL, unknown ones an error.
 
-        The stored types hold: Spark refuses a value that does not fit.
+        The stored types hold: Spark refuses a value that does not fit. A batch that was
+        added under the same identity since the table was last replaced is not added again;
+        the answer tells. Without one every call is a batch of its own.
         """
-        stored = self.read(table).schema
+        name = self._qualified(table)
+        entry = self._state()[1].get(table)
+        if entry:
+            self._follow(table, entry)
+        stored = self.spark.table(name).schema
         unknown = sorted(set(df.columns) - set(stored.names))
         if unknown:
             raise ValueError(f"Columns {unknown} are not in table {table!r}")
-        df.select(
+        rows = df.select(
             [
                 F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
                 for f in stored.fields
             ]
-        ).write.insertInto(self._qualified(table))
-
-    def append_records(self, table: str, records: list[dict]) -> int:
-        """Add a few records given as dictionaries; returns how many."""
+        )
+        identity = uuid.uuid4().hex if batch is None else hashlib.sha256(batch.encode()).hexdigest()
+        path, own = self._path(table, entry["version"]), f"{_ASIDE}_{uuid.uuid4().hex}"
+        target, aside = f"{path}/batch-{identity}", f"{path}/{own}"
+        if self.files.exists(target):
+            return False
+        # Names that start with an underscore are not read.
+        self._create(f"`{self.name}`.`{own}`", aside, stored, table, entry["lookups"])
+        try:
+            rows.write.insertInto(f"`{self.name}`.`{own}`")
+            added = self.files.rename_new(aside, target)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS `{self.name}`.`{own}`")
+            self.files.delete(aside)
+        now = self._state()[1].get(table) or {}
+        if now.get("version") != entry["version"]:
+            raise ConcurrentWrite(f"{self.name}: {table!r} was replaced during this append")
+        self.spark.catalog.refreshTable(name)
+        return added
+
+    def append_records(self, table: str, records: list[dict], batch: str | None = None) -> int:
+        """Add a few records given as dictionaries; returns how many were added."""
         name = self._qualified(table)
         if not records:
             return 0
@@ -207,10 +276,84 @@ class Layer:
             raise ValueError(f"Columns {unknown} are not in table {table!r}")
         struct = T.StructType(list(stored.values()))
         rows = [tuple(record.get(column) for column in stored) for record in records]
-        self.append(table, self.spark.createDataFrame(rows, struct))
-        return len(records)
+        return len(records) * self.append(table, self.spark.createDataFrame(rows, struct), batch)
 
     def drop(self, table: str) -> None:
         """Remove the table and its files; no error when it is not there."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._qualified(table)}")
-        self.files.delete(self._path(table))
+        self._qualified(table)
+        with self.build() as new:
+            new.drop(table)
+
+
+class Build:
+    """New versions of tables of a layer, published in one step when the block ends.
+
+    Until then only ``read`` of the build sees them. If the block fails nothing is published
+    and what was written is removed. Tables may be written by several threads.
+    """
+
+    def __init__(self, layer: Layer):
+        self.layer, self.spark, self.files = layer, layer.spark, layer.files
+        self._number, self._seen = layer._state()
+        self._changes: dict[str, dict | None] = {}
+
+    def __enter__(self) -> Build:
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        try:
+            if kind is None and self._changes:
+                self.layer._commit(self._changes, self._seen)
+        except ConcurrentWrite:
+            self._remove()
+            raise
+        if kind is not None:
+            self._remove()
+
+    def _remove(self) -> None:
+        for table, entry in self._changes.items():
+            if entry:
+                self.files.delete(self.layer._path(table, entry["version"]))
+
+    def exists(self, table: str) -> bool:
+        if table in self._changes:
+            return self._changes[table] is not None
+        return self.layer.exists(table)
+
+    def read(self, table: str) -> DataFrame:
+        """A table as the build leaves it."""
+        entry = self._changes.get(table)
+        if entry is None:
+            return self.layer.read(table)
+        reader = self.spark.read.schema(T.StructType.fromJson(entry["schema"]))
+        return reader.parquet(self.layer._path(table, entry["version"]))
+
+    def replace(
+        self,
+        table: str,
+        df: DataFrame,
+        lookups: Iterable[str | list[str]] = (),
+        clustering: Iterable[str] = (),
+    ) -> None:
+        """Write a new version of the table in one pass."""
+        self.layer._qualified(table)
+        lookups, clustering = list(lookups), list(clustering)
+        options = self.layer._writing(table, lookups)
+        if clustering:
+            # Ranges are cut by a sample, so a frequent value spreads over several files
+            # by the columns after it.
+            df = df.repartitionByRange(*clustering).sortWithinPartitions(*clustering)
+        version = f"v{self._number:012d}-{uuid.uuid4().hex}"
+        path = self.layer._path(table, version)
+        try:
+            df.write.options(**options).parquet(path)
+        except BaseException:
+            self.files.delete(path)
+            raise
+        fields = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
+        self._changes[table] = {"version": version, "schema": fields.jsonValue(), "lookups": lookups}
+
+    def drop(self, table: str) -> None:
+        """Leave the table out of what is published."""
+        if self.exists(table):
+            self._changes[table] = None

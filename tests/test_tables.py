@@ -1,11 +1,12 @@
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from registrylake.schemas import DATASETS
 from registrylake.sources.files import Files, pyarrow_uri, resolve
-from registrylake.tables.layer import Layer
+from registrylake.tables.layer import Build, ConcurrentWrite, Layer
 from registrylake.tables.work import staged, work_folder
 
 LANDS = [{"pais_code": 13, "pais_name": "Afeganistao"}, {"pais_code": 531}, {"pais_code": 639, "pais_name": ""}]
@@ -93,7 +94,8 @@ def test_replace_twice_and_empty(spark, layer):
     for codes in [(1, 2, 3, 4), (7,), ()]:
         layer.replace("paises", lands(spark, *codes), ["pais_code"])
         assert rows(layer.read("paises")) == [(c, f"pais {c}") for c in codes]
-        assert len(layer.files.directories(f"{layer.location}/paises")) == 1
+    # The last version and the one before, for queries that still read it.
+    assert len(layer.files.directories(f"{layer.location}/paises")) == 2
 
 
 def test_a_failed_replace_keeps_the_table(spark, layer):
@@ -109,6 +111,161 @@ def test_a_failed_replace_keeps_the_table(spark, layer):
     assert len(layer.files.directories(f"{layer.location}/paises")) == 1
 
 
+class Stopped(BaseException):
+    """A process that ends: nothing is cleaned up."""
+
+
+@pytest.mark.parametrize("step", ["rows", "marker", "after marker", "catalog", "clean"])
+@pytest.mark.parametrize("first", [True, False])
+def test_a_stop_at_any_step_leaves_old_or_new_rows(spark, layer, monkeypatch, step, first):
+    if not first:
+        layer.replace("paises", lands(spark, 1))
+    layer.replace("motivos", spark.createDataFrame([(1, "x")], DATASETS["motivos"].struct))
+    created = Files.create_new
+
+    def stop(*_):
+        raise Stopped
+
+    def stop_after(self, path, text):
+        created(self, path, text)
+        raise Stopped
+
+    where = {
+        "rows": (Files, "create_new", stop), "marker": (Files, "_name", stop),
+        "after marker": (Files, "create_new", stop_after), "catalog": (Layer, "_follow", stop),
+        "clean": (Layer, "_clean", stop),
+    }
+    monkeypatch.setattr(Build, "_remove", lambda self: None)
+    with monkeypatch.context() as patched, pytest.raises(Stopped):
+        patched.setattr(*where[step])
+        layer.replace("paises", lands(spark, 5, 6))
+    again = Layer(spark, f"again_{uuid.uuid4().hex}", layer.location)
+    new = step not in ("rows", "marker")
+    assert again.tables() == (["motivos"] if first and not new else ["motivos", "paises"])
+    if "paises" in again.tables():
+        assert rows(again.read("paises").select("pais_code")) == ([(5,), (6,)] if new else [(1,)])
+    assert again.read("motivos").count() == 1
+    # Nothing left behind is in the way of the next write.
+    again.replace("paises", lands(spark, 7))
+    third = Layer(spark, f"third_{uuid.uuid4().hex}", layer.location)
+    assert rows(third.read("paises").select("pais_code")) == [(7,)]
+
+
+def test_two_writers_of_one_table_end_in_one_failure(spark, layer):
+    layer.replace("paises", lands(spark, 1))
+    other = Layer(spark, f"other_{uuid.uuid4().hex}", layer.location)
+    slow = layer.build()
+    slow.replace("paises", lands(spark, 2))
+    other.replace("paises", lands(spark, 3))
+    with pytest.raises(ConcurrentWrite, match="paises"), slow:
+        pass
+    again = Layer(spark, f"again_{uuid.uuid4().hex}", layer.location)
+    assert rows(again.read("paises").select("pais_code")) == [(3,)]
+    assert len(layer.files.directories(f"{layer.location}/paises")) == 2
+
+
+def test_writers_of_different_tables_do_not_disturb_each_other(spark, layer):
+    other = Layer(spark, f"other_{uuid.uuid4().hex}", layer.location)
+    with layer.build() as new:
+        new.replace("paises", lands(spark, 2))
+        other.replace("motivos", spark.createDataFrame([(1, "x")], DATASETS["motivos"].struct))
+    again = Layer(spark, f"again_{uuid.uuid4().hex}", layer.location)
+    assert again.tables() == ["motivos", "paises"]
+
+
+def test_one_of_many_creates_a_file(spark, tmp_path):
+    files = Files(spark)
+    with ThreadPoolExecutor(8) as pool:
+        for i in range(10):
+            path = files.qualified(str(tmp_path / f"m{i}"))
+            made = list(pool.map(lambda n: files.create_new(path, f"writer {n}"), range(8)))
+            assert made.count(True) == 1 and files.read_text(path) == f"writer {made.index(True)}"
+    assert not [n for n in files.names(str(tmp_path)) if n.endswith(".new")]
+
+
+def test_the_highest_valid_marker_counts(spark, layer):
+    layer.replace("paises", lands(spark, 1))
+    layer.files.create_new(f"{layer.location}/_log/{9:012d}.json", '{"tables": {"pai')
+    again = Layer(spark, f"again_{uuid.uuid4().hex}", layer.location)
+    assert rows(again.read("paises").select("pais_code")) == [(1,)]
+    again.replace("paises", lands(spark, 2))
+    third = Layer(spark, f"third_{uuid.uuid4().hex}", layer.location)
+    assert rows(third.read("paises").select("pais_code")) == [(2,)]
+
+
+def test_a_query_on_the_previous_version_can_end(spark, layer):
+    layer.replace("paises", lands(spark, 1, 2, 3))
+    reading = layer.read("paises").select("pais_code")
+    layer.replace("paises", lands(spark, 9))
+    assert rows(reading) == [(1,), (2,), (3,)]
+    for _ in range(12):
+        layer.replace("paises", lands(spark, 4))
+    assert len(layer.files.names(f"{layer.location}/_log")) <= 8
+    assert len(layer.files.directories(f"{layer.location}/paises")) == 2
+
+
+def test_tables_of_a_build_are_published_together(spark, layer):
+    for table in "abcdefgh":
+        layer.replace(table, lands(spark, 1))
+    bad = lands(spark, 2).withColumn("pais_name", F.raise_error(F.lit("broken")))
+    with pytest.raises(Exception, match="broken"), layer.build() as new:
+        for i, table in enumerate("abcdefgh"):
+            new.replace(table, bad if i == 4 else lands(spark, 2))
+            assert rows(new.read(table).select("pais_code")) == [(2,)]
+            assert rows(layer.read(table).select("pais_code")) == [(1,)]
+    again = Layer(spark, f"again_{uuid.uuid4().hex}", layer.location)
+    assert all(rows(again.read(t).select("pais_code")) == [(1,)] for t in "abcdefgh")
+    assert all(len(layer.files.directories(f"{layer.location}/{t}")) == 1 for t in "abcdefgh")
+    with layer.build() as new:
+        new.drop("a")
+        new.drop("no such table")
+        new.replace("b", lands(spark, 3))
+        assert not new.exists("a") and layer.exists("a")
+    assert layer.tables() == list("bcdefgh")
+    assert rows(layer.read("b").select("pais_code")) == [(3,)]
+
+
+def test_a_batch_is_added_once(spark, layer, monkeypatch):
+    layer.create("paises", DATASETS["paises"])
+    assert layer.append("paises", lands(spark, 1, 2), "monday") is True
+    assert layer.append("paises", lands(spark, 1, 2), "monday") is False
+    assert layer.append_records("paises", LANDS, "tuesday") == 3
+    assert layer.append_records("paises", LANDS, "tuesday") == 0
+    assert layer.read("paises").count() == 5
+    bad = lands(spark, 7, 8).withColumn("pais_name", F.raise_error(F.col("pais_name")))
+    with pytest.raises(Exception, match="pais 7|pais 8"):
+        layer.append("paises", bad, "wednesday")
+
+    def stop(*_):
+        raise Stopped
+
+    with monkeypatch.context() as patched, pytest.raises(Stopped):
+        patched.setattr(Files, "rename_new", stop)
+        patched.setattr(Files, "delete", lambda *_: None)
+        layer.append("paises", lands(spark, 7, 8), "wednesday")
+    again = Layer(spark, f"again_{uuid.uuid4().hex}", layer.location)
+    assert again.read("paises").count() == 5 and again.tables() == ["paises"]
+    assert again.append("paises", lands(spark, 7, 8), "wednesday") is True
+    assert again.append("paises", lands(spark, 7, 8), "wednesday") is False
+    assert again.read("paises").count() == 7
+
+
+def test_an_append_to_a_replaced_version_is_an_error(spark, layer, monkeypatch):
+    layer.replace("paises", lands(spark, 1))
+    other = Layer(spark, f"other_{uuid.uuid4().hex}", layer.location)
+    renamed = Files.rename_new
+
+    def late(self, source, target):
+        monkeypatch.setattr(Files, "rename_new", renamed)
+        other.replace("paises", lands(spark, 2))
+        return renamed(self, source, target)
+
+    monkeypatch.setattr(Files, "rename_new", late)
+    with pytest.raises(ConcurrentWrite):
+        layer.append("paises", lands(spark, 3))
+    assert rows(other.read("paises").select("pais_code")) == [(2,)]
+
+
 def test_a_table_can_be_replaced_by_a_query_on_itself(spark, layer):
     layer.replace("paises", lands(spark, 1, 2, 3))
     layer.replace("paises", layer.read("paises").where("pais_code > 1"))
@@ -226,7 +383,7 @@ def test_one_resolver_for_paths(spark, tmp_path):
     assert pyarrow_uri("s3a://b/k") == "s3://b/k" and pyarrow_uri("hdfs:/x") == "hdfs:///x"
     assert pyarrow_uri("/plain") == "/plain" and pyarrow_uri("hdfs://n:1/x") == "hdfs://n:1/x"
     assert resolve(f"file:{tmp_path}")[1] == resolve(str(tmp_path))[1] == str(tmp_path)
-    files.write_text(f"{tmp_path}/note", "é")
-    files.write_text(f"{tmp_path}/note", "è")
+    assert files.create_new(files.qualified(f"{tmp_path}/note"), "è")
+    assert not files.create_new(files.qualified(f"{tmp_path}/note"), "é")
     assert files.read_text(f"{tmp_path}/note") == "è" and files.read_text(f"{tmp_path}/none") is None
     assert files.names(str(tmp_path)) == ["note"] and files.directories(f"{tmp_path}/no") == []
