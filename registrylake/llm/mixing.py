@@ -2,26 +2,30 @@
 
 Weights are source token shares raised to an exponent and normalised: 1 keeps the shares, 0
 makes all sources equal. The exponent is found by bisection, 64 ways at a time, so that the
-mixture reaches a target entropy, unless a source would then be repeated too often.
-
-Each source is dealt into 4,096 blocks by a hash of the document. Its quota of the budget is
-a number of whole passes over the source and a part of one: blocks in permuted order while
-they fit, and of the block that does not fit the documents in hash order while they fit.
-Only sums per source and block are shuffled, with partial sums first, so a source that holds
-most of the corpus costs no more than another; what a document gets follows from its hash
-and one row per source. Nothing but column expressions touches documents.
+mixture reaches a target entropy, unless a source would then be repeated too often. Sums of
+fractions are sums of decimals, so the order in which rows are added changes nothing.
+
+Each source is dealt into 4,096 blocks by a hash of the document. Its quota of the budget is a
+whole number of tokens: some whole passes over the source and a part of one, which takes blocks
+in permuted order while they fit, and of the block that does not fit the documents in hash
+order while they fit. That block is dealt into 4,096 smaller ones in the same way before its
+documents are looked at, so a window holds one document in 16 million of a source. Only sums
+per source and block are shuffled, with partial sums first, so a source that holds most of the
+corpus costs no more than another; what a document gets follows from its hash and one row per
+source. Nothing but column expressions touches documents.
 
 Defined results
 - A NULL source is a source of its own. A NULL or blank text has no tokens; a document
-  without tokens costs nothing and is taken once.
+  without tokens costs nothing and is taken once. Very long texts are counted whole.
 - Rows with the same doc_id are taken alike; rows without doc_id are dealt by their text.
 - An empty table gives an empty result. A column that has the name of an added one is
-  replaced; others pass through.
+  replaced; others pass through, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -53,18 +57,20 @@ def word_count(text: Column) -> Column:
     return F.size(words).cast("long")
 
 
-def _with_keys(docs: DataFrame, seed: str) -> DataFrame:
-    """Adds ``__source``, ``n_tokens``, and the hash and block of each document."""
+def _with_keys(docs: DataFrame, columns: list[str], seed: str) -> DataFrame:
+    """The columns as one struct ``doc``, with source, tokens, and hash and block of each row."""
     name = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))
-    return (
-        docs.withColumns(
-            {
-                "__source": F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")),
-                "n_tokens": word_count(F.col("text")),
-                "__hash": F.md5(F.concat_ws("|", F.lit(seed), name)),
-            }
-        )
-    ).withColumn("__block", F.substring("__hash", 1, 3))
+    return docs.select(
+        F.struct(*columns).alias("doc"),
+        F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("source"),
+        word_count(F.col("text")).alias("tokens"),
+        F.md5(F.concat_ws("|", F.lit(seed), name)).alias("hash"),
+    ).withColumn("block", F.substring("hash", 1, 3))
+
+
+def _exact(fraction: Column) -> Column:
+    """A fraction as a decimal; sums of such are the same in any order."""
+    return fraction.cast("decimal(38,26)")
 
 
 def _measures(sources: DataFrame, exponents: list[float]) -> dict[float, tuple[float, float]]:
@@ -74,8 +80,8 @@ def _measures(sources: DataFrame, exponents: list[float]) -> dict[float, tuple[f
     rows = (
         tried.groupBy("x")
         .agg(
-            F.sum(raised).alias("all"),
-            F.sum(raised * F.col("x") * F.log("share")).alias("logs"),
+            F.sum(_exact(raised)).cast("double").alias("all"),
+            F.sum(_exact(raised * F.col("x") * F.log("share"))).cast("double").alias("logs"),
             F.max(raised / F.col("share")).alias("most"),
         )
         .collect()
@@ -83,19 +89,23 @@ def _measures(sources: DataFrame, exponents: list[float]) -> dict[float, tuple[f
     return {r["x"]: (math.log(r["all"]) - r["logs"] / r["all"], r["most"] / r["all"]) for r in rows}
 
 
-def _bisect(sources: DataFrame, high_enough) -> float:
-    """The least exponent from 0 to 1 from which on ``high_enough(entropy, repeat)`` holds."""
-    low, high = 0.0, 1.0
-    if high_enough(*_measures(sources, [low])[low]):
-        return low
+def _bisect(sources: DataFrame, conditions: list[Callable[[float, float], bool]]) -> list[float]:
+    """For each condition on entropy and repetition, the least exponent from which on it holds.
+
+    From 0 to 1; a round of all searches is one aggregation.
+    """
+    found = _measures(sources, [0.0])
+    bounds = [(0.0, 0.0) if holds(*found[0.0]) else (0.0, 1.0) for holds in conditions]
     for _ in range(_ROUNDS):
-        step = (high - low) / _WAYS
-        tried = [low + step * k for k in range(1, _WAYS)]
-        found = _measures(sources, tried)
-        good = [x for x in tried if high_enough(*found[x])]
-        high = min(good, default=high)
-        low = high - step
-    return high
+        tried = [[low + (high - low) / _WAYS * k for k in range(1, _WAYS)] for low, high in bounds]
+        if all(low == high for low, high in bounds):
+            break
+        found = _measures(sources, sorted({x for some in tried for x in some}))
+        for i, (low, high) in enumerate(bounds):
+            step = (high - low) / _WAYS
+            high = min((x for x in tried[i] if conditions[i](*found[x])), default=high)
+            bounds[i] = high - step, high
+    return [high for _, high in bounds]
 
 
 def exponent(sources: DataFrame, mixture: Mixture) -> float:
@@ -109,9 +119,44 @@ def exponent(sources: DataFrame, mixture: Mixture) -> float:
     if n < 2:
         return 1.0
     target = mixture.entropy * math.log(n)
-    flat = _bisect(sources, lambda entropy, _: entropy < target)
-    rare = _bisect(sources, lambda _, most: mixture.budget * most <= mixture.repeats)
-    return round(max(flat, rare), 9)
+    found = _bisect(
+        sources,
+        [
+            lambda entropy, _: entropy < target,
+            lambda _, most: mixture.budget * most <= mixture.repeats,
+        ],
+    )
+    return round(max(found), 9)
+
+
+def quotas_of(sources: DataFrame, total: int, mixture: Mixture) -> DataFrame:
+    """``source, weight, quota, tokens, passes, rest``: whole tokens, of any order of rows."""
+    x = exponent(sources, mixture)
+    raised = F.pow("share", F.lit(x))
+    norm = sources.agg(F.sum(_exact(raised)).cast("double")).first()[0] or 1.0
+    quota = F.round(F.col("weight") * F.lit(mixture.budget * total)).cast("long")
+    return (
+        sources.withColumn("weight", raised / F.lit(norm))
+        .withColumn("quota", quota)
+        .select(
+            "source", "weight", "quota", "tokens",
+            F.expr("quota div tokens").alias("passes"),
+            F.expr("quota % tokens").alias("rest"),
+        )
+    )
+
+
+def _first_over(sums: DataFrame, order: list[str]) -> DataFrame:
+    """Per source the first row, in an order, up to which ``tokens`` exceed ``rest``.
+
+    As ``source, at, left``: the order's columns of that row, and the tokens left before it.
+    """
+    ordered = Window.partitionBy("source").orderBy(*order)
+    running = F.sum("tokens").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    over = sums.withColumn("sum", running).where("sum > rest")
+    left = F.col("rest") - F.col("sum") + F.col("tokens")
+    key = F.struct(*order)
+    return over.groupBy("source").agg(F.min(key).alias("at"), F.min_by(left, key).alias("left"))
 
 
 def plan_sources(slim: DataFrame, mixture: Mixture) -> DataFrame:
@@ -119,54 +164,69 @@ def plan_sources(slim: DataFrame, mixture: Mixture) -> DataFrame:
 
     ``slim`` has the keys and tokens of the documents. Sources without tokens are left out.
     """
-    blocks = staged(slim.groupBy("__source", "__block").agg(F.sum("n_tokens").alias("tokens")))
-    sources = blocks.groupBy("__source").agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
+    blocks = staged(slim.groupBy("source", "block").agg(F.sum("tokens").alias("tokens")))
+    sources = blocks.groupBy("source").agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
     total = sources.agg(F.sum("tokens")).first()[0] or 1
     sources = staged(sources.withColumn("share", F.col("tokens") / F.lit(total)))
-    x = exponent(sources, mixture)
-    norm = sources.agg(F.sum(F.pow("share", F.lit(x)))).first()[0] or 1.0
-    quotas = (
-        sources.withColumn("weight", F.pow("share", F.lit(x)) / F.lit(norm))
-        .withColumn("quota", F.col("weight") * F.lit(mixture.budget * total))
-        .withColumn("passes", F.floor(F.col("quota") / F.col("tokens")))
-        .withColumn("rest", F.col("quota") - F.col("passes") * F.col("tokens"))
-        .select("__source", "weight", "quota", "tokens", "passes", "rest")
-    )
-    order = Window.partitionBy("__source").orderBy("rank", "__block")
-    permuted = (
-        blocks.withColumnRenamed("tokens", "block_tokens")
-        .join(quotas, "__source")
-        .withColumn("rank", block_rank(mixture.seed, F.col("passes") + 1))
-        .withColumn("sum", F.sum("block_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    quotas = staged(quotas_of(sources, total, mixture))
+    permuted = blocks.join(quotas.drop("tokens"), "source").withColumn(
+        "rank", block_rank(mixture.seed, F.col("passes") + 1)
     )
     # The first block that does not fit. The rest is less than the source, so there is one.
-    cut = (
-        permuted.where("sum > rest")
-        .groupBy("__source")
-        .agg(
-            F.min(F.struct("rank", "__block")).alias("cut"),
-            F.min_by(F.col("rest") - F.col("sum") + F.col("block_tokens"), F.struct("rank", "__block"))
-            .alias("left"),
-        )
-    )
+    cut = staged(_first_over(permuted, ["rank", "block"]))
     opened = slim.join(
-        cut.select("__source", F.col("cut.__block").alias("__block"), "left"),
-        ["__source", "__block"],
-    )
-    within = Window.partitionBy("__source").orderBy("__hash")
-    taken = opened.withColumn(
-        "sum", F.sum("n_tokens").over(within.rangeBetween(Window.unboundedPreceding, 0))
-    ).where("sum <= left")
-    last = taken.groupBy("__source").agg(F.max("__hash").alias("last_hash"))
-    return quotas.join(cut, "__source", "left").join(last, "__source", "left").select(
-        "__source", "weight", "passes", (F.col("quota") / F.col("tokens")).alias("__passes"),
-        "cut", "last_hash",
+        cut.select("source", F.col("at.block").alias("block"), F.col("left").alias("rest")),
+        ["source", "block"],
+    ).withColumn("part", F.substring("hash", 4, 3))
+    parts = opened.groupBy("source", "part", "rest").agg(F.sum("tokens").alias("tokens"))
+    part_cut = staged(_first_over(parts, ["part"]))
+    last_part = opened.drop("rest").join(
+        part_cut.select("source", F.col("at.part").alias("part"), "left"), ["source", "part"]
     )
+    # Rows of one hash are taken alike.
+    within = Window.partitionBy("source").orderBy("hash")
+    running = F.sum("tokens").over(within.rangeBetween(Window.unboundedPreceding, 0))
+    taken = last_part.withColumn("sum", running).where("sum <= left")
+    last = taken.groupBy("source").agg(F.max("hash").alias("last_hash"))
+    return (
+        quotas.join(cut.select("source", F.col("at").alias("cut")), "source", "left")
+        .join(part_cut.select("source", F.col("at.part").alias("cut_part")), "source", "left")
+        .join(last, "source", "left")
+        .select(
+            "source", "weight", "passes", (F.col("quota") / F.col("tokens")).alias("epochs"),
+            "cut", "cut_part", "last_hash",
+        )
+    )
 
 
 def block_rank(seed: str, epoch: Column) -> Column:
     """Key by which the blocks of a source are ordered in a pass."""
-    return F.md5(F.concat_ws("|", F.lit(seed), epoch.cast("string"), "__source", "__block"))
+    return F.md5(F.concat_ws("|", F.lit(seed), epoch.cast("string"), "source", "block"))
+
+
+def _taken(docs: DataFrame, columns: list[str], mixture: Mixture) -> DataFrame:
+    """The documents as a struct ``doc``, with their tokens, block, weight, copies and epochs."""
+    keyed = _with_keys(docs, columns, mixture.seed)
+    slim = staged(keyed.select("source", "block", "hash", "tokens"))
+    plan = staged(plan_sources(slim, mixture))
+    rank = block_rank(mixture.seed, F.col("passes") + 1)
+    before = F.struct(rank.alias("rank"), F.col("block")) < F.col("cut")
+    part = F.substring("hash", 4, 3)
+    # In the block that is cut: smaller parts, and of the part that is cut the first documents.
+    inside = (F.col("block") == F.col("cut.block")) & (
+        (part < F.col("cut_part")) | ((part == F.col("cut_part")) & (F.col("hash") <= F.col("last_hash")))
+    )
+    extra = F.coalesce(before | F.coalesce(inside, F.lit(False)), F.lit(False)).cast("long")
+    copies = F.when(F.col("tokens") == 0, 1).otherwise(F.col("passes") + extra)
+    return keyed.join(plan, "source", "left").select(
+        "doc",
+        "source",
+        "block",
+        "tokens",
+        F.coalesce("weight", F.lit(0.0)).alias("weight"),
+        copies.cast("long").alias("copies"),
+        F.coalesce("epochs", F.lit(1.0)).alias("epochs"),
+    )
 
 
 def mix(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
@@ -175,24 +235,9 @@ def mix(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     ``docs`` has ``doc_id``, ``source`` and ``text``. The tokens of the copies of a source
     stay within its quota, and miss it by less than one document.
     """
-    added = ("n_tokens", "weight", "copies")
-    columns = [name for name in docs.columns if name not in added]
-    keyed = _with_keys(docs.select(columns), mixture.seed)
-    slim = staged(keyed.select("__source", "__block", "__hash", "n_tokens"))
-    plan = staged(plan_sources(slim, mixture))
-    rank = block_rank(mixture.seed, F.col("passes") + 1)
-    before = F.struct(rank.alias("rank"), F.col("__block")) < F.col("cut")
-    inside = (F.col("__block") == F.col("cut.__block")) & (F.col("__hash") <= F.col("last_hash"))
-    extra = F.coalesce(before | inside, F.lit(False)).cast("long")
-    joined = keyed.join(plan, "__source", "left")
-    copies = F.when(F.col("n_tokens") == 0, 1).otherwise(F.col("passes") + extra)
-    return joined.select(
-        *columns,
-        "n_tokens",
-        F.coalesce("weight", F.lit(0.0)).alias("weight"),
-        copies.cast("long").alias("copies"),
-        F.col("__block").alias("block"),
-        F.col("__passes").alias("epochs"),
+    columns = [name for name in docs.columns if name not in ("n_tokens", "weight", "copies")]
+    return _taken(docs, columns, mixture).select(
+        "doc.*", F.col("tokens").alias("n_tokens"), "weight", "copies"
     )
 
 
@@ -202,13 +247,17 @@ def mixed_rows(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     In the order of positions every source runs through its passes evenly, each pass in its
     own permutation of blocks, so any stretch of the whole has about the target weights.
     """
-    columns = [name for name in docs.columns if name not in ("epoch", "position")]
-    taken = mix(docs.select(columns), mixture).where("copies > 0")
+    added = ("n_tokens", "weight", "epoch", "position")
+    columns = [name for name in docs.columns if name not in added]
+    taken = _taken(docs, columns, mixture).where("copies > 0")
     copies = taken.withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    source = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
-    rank = F.md5(F.concat_ws("|", F.lit(mixture.seed), F.col("epoch").cast("string"), source, "block"))
+    rank = block_rank(mixture.seed, F.col("epoch"))
     fraction = F.conv(F.substring(rank, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    runs = F.greatest(F.coalesce("epochs", F.lit(1.0)), F.col("epoch").cast("double"))
-    return copies.withColumn("position", (F.col("epoch") - 1 + fraction) / runs).drop(
-        "copies", "block", "epochs"
+    runs = F.greatest(F.col("epochs"), F.col("epoch").cast("double"))
+    return copies.select(
+        "doc.*",
+        F.col("tokens").alias("n_tokens"),
+        "weight",
+        "epoch",
+        ((F.col("epoch") - 1 + fraction) / runs).alias("position"),
     )

@@ -76,7 +76,9 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs).select("doc_id", "source", "n_tokens", "weight", "copies")
+    # Nearly equal sources, two and a half times the corpus: whole passes and a part of one.
+    mixture = mixing.Mixture(entropy=0.9999, repeats=4.0, budget=2.5)
+    return mixing.mix(docs, mixture).select("doc_id", "source", "n_tokens", "weight", "copies")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,25 +222,25 @@ def oracle_sql() -> dict[str, str]:
                      CAST(0 AS DOUBLE) AS lo2, CAST(1 AS DOUBLE) AS hi2
               UNION ALL
               SELECT i + 1,
-                     CASE WHEN entropy < 0.95 * ln(n) THEN lo ELSE (lo + hi) / 2 END,
-                     CASE WHEN entropy < 0.95 * ln(n) THEN (lo + hi) / 2 ELSE hi END,
-                     CASE WHEN most <= 4 THEN lo2 ELSE (lo2 + hi2) / 2 END,
-                     CASE WHEN most <= 4 THEN (lo2 + hi2) / 2 ELSE hi2 END
+                     CASE WHEN entropy < 0.9999 * ln(n) THEN lo ELSE (lo + hi) / 2 END,
+                     CASE WHEN entropy < 0.9999 * ln(n) THEN (lo + hi) / 2 ELSE hi END,
+                     CASE WHEN 2.5 * most <= 4 THEN lo2 ELSE (lo2 + hi2) / 2 END,
+                     CASE WHEN 2.5 * most <= 4 THEN (lo2 + hi2) / 2 ELSE hi2 END
               FROM (
                 SELECT i, lo, hi, lo2, hi2, count(*) AS n,
                        ln(sum(pow(p, (lo + hi) / 2)))
                          - sum(pow(p, (lo + hi) / 2) * (lo + hi) / 2 * ln(p))
                            / sum(pow(p, (lo + hi) / 2)) AS entropy,
                        max(pow(p, (lo2 + hi2) / 2) / p) / sum(pow(p, (lo2 + hi2) / 2)) AS most
-                FROM step, sources WHERE i < 45 GROUP BY ALL)),
+                FROM step, sources WHERE i < 36 GROUP BY ALL)),
             found AS (SELECT round(greatest(hi, CASE WHEN hi2 < 1e-9 THEN 0 ELSE hi2 END), 9) AS x
-                      FROM step WHERE i = 45),
+                      FROM step WHERE i = 36),
             quotas AS (
-              SELECT src, tokens, weight, weight * total AS quota,
-                     floor(weight * total / tokens) AS passes,
-                     weight * total - floor(weight * total / tokens) * tokens AS rest
-              FROM (SELECT src, tokens, pow(p, x) / sum(pow(p, x)) OVER () AS weight,
-                           sum(tokens) OVER () AS total FROM sources, found)),
+              SELECT src, tokens, weight, quota, quota // tokens AS passes, quota % tokens AS rest
+              FROM (SELECT src, tokens, weight,
+                           CAST(round(weight * (2.5 * total)) AS BIGINT) AS quota
+                    FROM (SELECT src, tokens, pow(p, x) / sum(pow(p, x)) OVER () AS weight,
+                                 sum(tokens) OVER () AS total FROM sources, found))),
             ranked AS (
               SELECT d.*, weight, passes, rest, substr(h, 1, 3) AS block,
                      md5('mix-1|' || CAST(CAST(passes + 1 AS BIGINT) AS VARCHAR) || '|' || d.src

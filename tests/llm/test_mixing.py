@@ -4,7 +4,9 @@ from collections import defaultdict
 
 import pytest
 
-from registrylake.llm.mixing import Mixture, exponent, mix, mixed_rows
+from pyspark.sql import functions as F
+
+from registrylake.llm.mixing import Mixture, exponent, mix, mixed_rows, quotas_of
 
 
 def corpus(seed=1):
@@ -51,7 +53,7 @@ def test_weights_quotas_and_limits(documents, mixture):
     if repeats < mixture.repeats * 0.999:
         assert entropy(weight) == pytest.approx(mixture.entropy, abs=1e-6) or x == pytest.approx(1)
     for source, quota in ((s, weight[s] * budget) for s in tokens):
-        assert quota - longest[source] < used[source] <= quota + 1e-6
+        assert round(quota) - longest[source] < used[source] <= round(quota)
 
 
 def test_rows_follow_copies_and_positions(documents):
@@ -79,7 +81,81 @@ def test_odd_rows(spark):
 
 
 def test_exponent_extremes(spark):
-    shares = spark.createDataFrame([("a", 0.7), ("b", 0.2), ("c", 0.1)], "__source string, share double")
+    shares = spark.createDataFrame([("a", 0.7), ("b", 0.2), ("c", 0.1)], "source string, share double")
     assert exponent(shares, Mixture(entropy=0.0, repeats=9)) == 1.0
     assert exponent(shares, Mixture(entropy=1.1, repeats=9)) == 0.0
     assert exponent(shares.limit(1), Mixture()) == 1.0
+
+
+@pytest.mark.parametrize("mixture", [Mixture(), Mixture(0.99, 3.0, 2.0, "other")])
+def test_any_partitioning_gives_one_result(spark, documents, mixture):
+    docs = documents(corpus(3))
+    results = set()
+    try:
+        for parts in (1, 2, 3, 5, 8, 16):
+            for adaptive in ("true", "false"):
+                spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+                spark.conf.set("spark.sql.shuffle.partitions", str(1 + parts % 7))
+                rows = mix(docs.repartition(parts, F.rand(parts)), mixture).collect()
+                results.add(tuple(sorted(map(tuple, rows), key=repr)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(results) == 1
+
+
+@pytest.mark.parametrize("seed", ["a", "b", "c"])
+def test_shares_kept_take_every_document_once(documents, seed):
+    # The natural mixture has the entropy asked for, so the exponent is 1.
+    docs = corpus(4)
+    assert {r["copies"] for r in mix(documents(docs), Mixture(0.1, 100.0, 1.0, seed)).collect()} == {1}
+    assert {r["copies"] for r in mix(documents(docs), Mixture(0.1, 100.0, 3.0, seed)).collect()} == {3}
+
+
+def test_a_source_exactly_on_the_limit(spark):
+    # Exponent 0: two equal weights; the small source is passed through exactly four times.
+    sources = spark.createDataFrame([("a", 700, 0.875), ("b", 100, 0.125)], "source string, tokens long, share double")
+    rows = {r["source"]: r for r in quotas_of(sources, 800, Mixture(1.1, 4.0, 1.0)).collect()}
+    assert (rows["b"]["passes"], rows["b"]["rest"], rows["a"]["quota"]) == (4, 0, 400)
+
+
+def test_quotas_of_many_small_sources_add_up(spark):
+    tokens = [(i * 7919) % 1000 + 1 for i in range(3000)]
+    total = sum(tokens)
+    rows = [(str(i), t, t / total) for i, t in enumerate(tokens)]
+    sources = spark.createDataFrame(rows, "source string, tokens long, share double")
+    one = {(r["source"], r["quota"]) for r in quotas_of(sources, total, Mixture(0.1, 9.0)).collect()}
+    assert one == {(str(i), t) for i, t in enumerate(tokens)}
+
+
+def test_clashing_names_pass_through(documents):
+    names = [
+        "passes", "cut", "last_hash", "block", "epochs", "doc", "hash", "tokens", "rest", "quota",
+        "__source", "__hash", "copies", "weight", "part", "rank", "at", "left",
+    ]
+    docs = documents(corpus(5))
+    for name in names:
+        docs = docs.withColumn(name, F.lit("own"))
+    plain = {r["doc_id"]: r["copies"] for r in mix(documents(corpus(5))).collect()}
+    got = mix(docs).collect()
+    assert {r["doc_id"]: r["copies"] for r in got} == plain
+    kept = [n for n in names if n not in ("copies", "weight")]
+    assert {tuple(r[n] for n in kept) for r in got} == {("own",) * len(kept)}
+    rows = mixed_rows(docs).collect()
+    assert len(rows) == sum(plain.values())
+    assert {tuple(r[n] for n in [*kept, "copies"]) for r in rows} == {("own",) * (len(kept) + 1)}
+
+
+def test_cut_within_a_block(documents):
+    # One document per block part and many: the first documents by hash are taken while they fit.
+    docs = [(i, "w " * (i % 7 + 1), "s") for i in range(300)]
+    half = {r["doc_id"]: r["copies"] for r in mix(documents(docs), Mixture(1.0, 4.0, 0.5)).collect()}
+    taken = sum((i % 7 + 1) * n for i, n in half.items())
+    total = sum(i % 7 + 1 for i in range(300))
+    assert (total + 1) // 2 - 7 < taken <= (total + 1) // 2 and set(half.values()) == {0, 1}
+
+
+def test_very_long_texts(documents):
+    docs = documents([(1, "w " * 2_000_000, "a"), (2, "w w", "a"), (3, "w" * 3_000_000, "b")])
+    got = {r["doc_id"]: (r["n_tokens"], r["copies"]) for r in mix(docs, Mixture(0.0, 9.0)).collect()}
+    assert got == {1: (2_000_000, 1), 2: (2, 1), 3: (1, 1)}
