@@ -127,16 +127,22 @@ PREFIXES = """
     WITH RECURSIVE steps (prefix, step, letter, bit, applied, mask) AS (
       SELECT '', 0, '', 0, 0, mask FROM {masks}
       UNION ALL
-      SELECT concat(s.prefix, l.letter), s.step + 1, l.letter, l.bit, s.applied | s.bit, s.mask
-      FROM steps s JOIN {letters} l ON (s.applied | s.bit) & l.bit = 0)
+      SELECT concat(s.prefix, u.letter), s.step + 1, u.letter, u.bit, u.applied, s.mask
+      FROM steps s JOIN {unused} u ON u.applied = s.applied | s.bit)
     SELECT * FROM steps WHERE step > 0"""
 
 
 def prefixes(masks: DataFrame) -> DataFrame:
     """Every prefix of an order with every mask of ``masks``, by recursion over the letters."""
     spark = masks.sparkSession
-    letters = spark.createDataFrame([(c, 1 << i) for i, c in enumerate(LETTERS)], "letter string, bit int")
-    return spark.sql(PREFIXES, letters=letters, masks=masks)
+    unused = [
+        (applied, letter, 1 << i)
+        for applied in range(1 << len(LETTERS))
+        for i, letter in enumerate(LETTERS)
+        if not applied >> i & 1
+    ]
+    unused = spark.createDataFrame(unused, "applied int, letter string, bit int")
+    return spark.sql(PREFIXES, unused=unused, masks=masks)
 
 
 def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
