@@ -1,10 +1,10 @@
-"""Zip archives of delimited Latin-1 text as a Spark data source of logical records.
+"""Zip archives of delimited Latin-1 text as logical records.
 
-A compressed member can only be read from its start, so one task per archive would make
-the largest archive the length of the whole job. Where there are fewer archives than tasks
-wanted, a member is planned as several slices of its uncompressed bytes. A task inflates up
-to its slice, only finding the ends of records on the way, and turns just the records that
-start in its slice into rows. A lost slice is read again on its own.
+The directories of the archives are read by tasks into a manifest of their members; the driver
+opens no archive. Members are dealt to tasks by their bytes, each is inflated once. A member
+can only be read from its start, so one that is larger than a task should be is spooled first:
+one task streams it into blocks of whole records on the shared folder, with the ends of the
+records, and all tasks turn blocks into rows. A lost task repeats its own members or blocks.
 
 A quote opens a field only at its start. The next single quote ends the quoted part: before a
 separator or the end of the record it closes the field, elsewhere the rest of the field is
@@ -13,52 +13,40 @@ plain text. So a stray inch mark never joins records.
 
 from __future__ import annotations
 
+import fnmatch
 import logging
 import re
 import sys
 import zipfile
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from registrylake.sources.files import Files, list_files, resolve
+from registrylake.sources.files import Files, resolve
+from registrylake.tables.work import staged, work_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 log = logging.getLogger(__name__)
 
-RECORD_SCHEMA = "archive string, member string, record_offset bigint, value string"
-
-_ARROW_SCHEMA = pa.schema(
-    [
-        ("archive", pa.string()),
-        ("member", pa.string()),
-        ("record_offset", pa.int64()),
-        ("value", pa.string()),
-    ]
+MANIFEST_SCHEMA = (
+    "archive string, member string, number int, members int, size bigint, packed bigint, crc bigint"
 )
+RECORD_SCHEMA = "archive string, member string, record_offset bigint, value string"
+_BLOCK_SCHEMA = "archive string, member string, start bigint, ends binary, block binary"
 _CHUNK = 4 << 20
 _MAX_RECORD = 64 << 20
+#: Inflated bytes a task should read; larger members are spooled. Blocks in a spool file.
+TASK_BYTES = 64 << 20
+_BLOCKS = 16
 _LF, _CR, _QUOTE = 10, 13, 34
 
 
-@dataclass
-class MemberSlice(InputPartition):
-    """Records of one archive member that start in [start, stop) of its uncompressed bytes."""
-
-    archive: str
-    member: str
-    start: int
-    stop: int
-
-
 def _inside_quotes(buffer: np.ndarray, breaks: np.ndarray, sep: bytes, at_end: bool) -> np.ndarray:
     """Which of the breaks are inside a quoted field; the buffer starts with a record.
 
@@ -114,39 +102,34 @@ def _record_ends(pending: bytes, sep: bytes, at_end: bool, give_up: bool) -> np.
     return ends
 
 
-def record_batches(
-    stream,
-    start: int,
-    stop: int,
-    chunk: int = _CHUNK,
-    max_record: int = _MAX_RECORD,
-    sep: bytes = b";",
-) -> Iterator[tuple[np.ndarray, pa.Array]]:
-    """Offsets and UTF-8 text of the logical records that start in [start, stop).
+def record_blocks(
+    stream, chunk: int = _CHUNK, max_record: int = _MAX_RECORD, sep: bytes = b";"
+) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """A stream as runs of whole records: first byte, the bytes, and where records end in them.
 
     A line break ends a record unless it is inside a quoted field; CR LF and a lone CR count
     as LF. A field that is still open after ``max_record`` bytes, or at the end, is given up:
     the lines from its record on are records of their own, for the parser to judge.
-    ``stream`` is read from its first byte, in equal chunks, so all slices agree.
     """
     base, pending = 0, b""  # pending starts at byte ``base``, with a record
-    while base < stop:
+    while True:
         data = stream.read(chunk)
         pending += data
         ends = _record_ends(pending, sep, not data, len(pending) > max_record)
         if len(ends):
-            starts = np.append(0, ends[:-1])
-            keep = (starts + base >= start) & (starts + base < stop)
-            if keep.any():
-                starts, ends_kept = starts[keep], ends[keep]  # adjacent records
-                raw = pending[starts[0] : ends_kept[-1]]
-                yield starts + base, _texts(raw, ends_kept - starts[0])
-            base += int(ends[-1])
-            pending = pending[int(ends[-1]) :]
+            last = int(ends[-1])
+            yield base, pending[:last], ends
+            base, pending = base + last, pending[last:]
         if not data:
             return
 
 
+def record_batches(blocks: Iterator[tuple[int, bytes, np.ndarray]]) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """Offsets and UTF-8 text of the records of blocks."""
+    for base, raw, ends in blocks:
+        yield np.append(0, ends[:-1]) + base, _texts(raw, ends)
+
+
 def _texts(raw: bytes, ends: np.ndarray) -> pa.Array:
     """Latin-1 records laid end to end as an array of UTF-8 strings without line breaks."""
     # Each byte above 127 becomes two bytes in UTF-8.
@@ -160,113 +143,173 @@ def _texts(raw: bytes, ends: np.ndarray) -> pa.Array:
     return pc.utf8_rtrim(texts, "\n")
 
 
-def slices_of(
-    members: list[tuple[str, str, int]], tasks: int, slice_bytes: int, max_slices: int
-) -> list[MemberSlice]:
-    """Slices of about the inflated bytes of the whole scan over ``tasks``.
+# Manifest
 
-    Each slice inflates its member from the start, so members are not cut where there are
-    enough of them; none is cut below ``slice_bytes`` or into more than ``max_slices``.
+
+def manifest(spark: SparkSession, directory: str, pattern: str = "*.zip") -> DataFrame:
+    """One row per member of the archives that match a glob, folders left out.
+
+    ``number`` counts the members of an archive from 0; ``size`` and ``packed`` are bytes,
+    ``crc`` is the checksum of the inflated bytes, all from the directory of the archive.
     """
-    share = max(slice_bytes, -(-sum(size for _, _, size in members) // max(1, tasks)))
-    slices = []
-    for archive, name, size in members:
-        count = min(max_slices, max(1, round(size / share)))
-        width = max(1, -(-size // count))
-        slices += [
-            MemberSlice(archive, name, start, start + width)
-            for start in range(0, max(1, size), width)
-        ]
-    return slices
-
-
-class ArchiveReader(DataSourceReader):
-    def __init__(self, options):
-        self.directory = options["path"]
-        self.pattern = options.get("pattern", "*.zip")
-        self.all_members = options.get("members", "first") == "all"
-        self.header = str(options.get("header", "true")).lower() == "true"
-        self.fields = int(options.get("fields", 0))
-        self.sep = options.get("sep", ";")
-        self.numeric = [int(i) for i in options.get("numeric", "").split(",") if i]
-        self.slice_bytes = int(options.get("slicebytes", 64 << 20))
-        self.max_slices = int(options.get("maxslices", 32))
-        self.tasks = int(options.get("tasks", 32))
-
-    def partitions(self) -> list[MemberSlice]:
-        with ThreadPoolExecutor(16) as pool:
-            listed = pool.map(self._members, list_files(self.directory, self.pattern))
-            members = [member for archive in listed for member in archive]
-        return slices_of(members, self.tasks, self.slice_bytes, self.max_slices)
-
-    def _members(self, archive: str) -> list[tuple[str, str, int]]:
-        """Archive, name and inflated size of the members to read."""
+    files = Files(spark)
+    directory = files.qualified(directory)
+    archives = [(f"{directory}/{name}",) for name in files.names(directory, pattern)]
+    tasks = max(1, min(len(archives), 4 * spark.sparkContext.defaultParallelism))
+    listed = spark.createDataFrame(archives, "archive string").repartition(tasks)
+    return listed.mapInArrow(_list_members, MANIFEST_SCHEMA)
+
+
+def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for archive in batch.column(0).to_pylist():
+            system, path = resolve(archive)
+            with system.open_input_file(path) as file, zipfile.ZipFile(file) as packed:
+                members = [info for info in packed.infolist() if not info.is_dir()]
+            for number, info in enumerate(members):
+                sizes = info.file_size, info.compress_size
+                rows.append((archive, info.filename, number, len(members), *sizes, info.CRC))
+        columns = [list(column) for column in zip(*rows)] or [[] for _ in range(7)]
+        kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), *[pa.int64()] * 3]
+        arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
+        names = [part.split()[0] for part in MANIFEST_SCHEMA.split(", ")]
+        yield pa.RecordBatch.from_arrays(arrays, names)
+
+
+def matching(members: DataFrame, pattern: str) -> DataFrame:
+    """The members of a manifest whose archive's name matches a glob."""
+    name = F.substring_index("archive", "/", -1)
+    return members.where(name.rlike("^" + fnmatch.translate(pattern)))
+
+
+# Records
+
+
+class _Records:
+    """Turns members and blocks into rows of records; for tasks."""
+
+    def __init__(self, header: bool, sep: str, fields: int, numeric: list[int], max_record: int):
+        self.header, self.sep, self.fields, self.numeric = header, sep, fields, numeric
+        self.max_record = max_record
+
+    @contextmanager
+    def _opened(self, archive: str, member: str):
         system, path = resolve(archive)
-        with system.open_input_file(path) as file, zipfile.ZipFile(file) as packed:
-            members = [info for info in packed.infolist() if not info.is_dir()]
-        if len(members) > 1 and not self.all_members:
-            log.warning("%s: only the first of %d members is read", archive, len(members))
-            members = members[:1]
-        return [(archive, info.filename, info.file_size) for info in members]
-
-    def read(self, piece: MemberSlice) -> Iterator[pa.RecordBatch]:
-        system, path = resolve(piece.archive)
         with (
             system.open_input_file(path) as file,
             zipfile.ZipFile(file) as packed,
-            packed.open(piece.member) as stream,
+            packed.open(member) as stream,
         ):
-            drop_header = self.header and piece.start == 0
-            sep = self.sep.encode("latin-1")
-            for offsets, texts in record_batches(stream, piece.start, piece.stop, sep=sep):
-                if drop_header:
-                    drop_header = False
-                    self._check_header(texts[0].as_py(), piece)
-                    offsets, texts = offsets[1:], texts[1:]
-                count = len(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.repeat(piece.archive, count),
-                        pa.repeat(piece.member, count),
-                        pa.array(offsets, pa.int64()),
-                        texts,
-                    ],
-                    schema=_ARROW_SCHEMA,
-                )
-
-    def _check_header(self, header: str, piece: MemberSlice) -> None:
+            yield record_blocks(stream, _CHUNK, self.max_record, self.sep.encode("latin-1"))
+
+    def of_members(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive, member in zip(*(batch.column(c).to_pylist() for c in ("archive", "member"))):
+                with self._opened(archive, member) as blocks:
+                    yield from self._rows(archive, member, blocks)
+
+    def spool(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive, member in zip(*(batch.column(c).to_pylist() for c in ("archive", "member"))):
+                with self._opened(archive, member) as blocks:
+                    for base, raw, ends in blocks:
+                        ends = ends.astype(np.int32).tobytes()
+                        columns = [[archive], [member], [base], [ends], [raw]]
+                        names = ["archive", "member", "start", "ends", "block"]
+                        kinds = [pa.string(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
+                        arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
+                        yield pa.RecordBatch.from_arrays(arrays, names)
+
+    def of_blocks(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                archive, member, base, ends, raw = (column[i].as_py() for column in batch.columns)
+                block = base, raw, np.frombuffer(ends, np.int32).astype(np.int64)
+                yield from self._rows(archive, member, iter([block]))
+
+    def _rows(self, archive: str, member: str, blocks) -> Iterator[pa.RecordBatch]:
+        for offsets, texts in record_batches(blocks):
+            if self.header and offsets[0] == 0:
+                self._check_header(texts[0].as_py(), archive)
+                offsets, texts = offsets[1:], texts[1:]
+            count = len(texts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(archive, count), pa.repeat(member, count), pa.array(offsets, pa.int64()), texts],
+                ["archive", "member", "record_offset", "value"],
+            )
+
+    def _check_header(self, header: str, archive: str) -> None:
         """A header has the declared number of fields, and no numbers where numbers are due."""
         fields = re.sub('"[^"]*"', lambda q: q[0].replace(self.sep, " "), header).split(self.sep)
         if self.fields and len(fields) != self.fields:
-            raise ValueError(
-                f"{piece.archive}: header has {len(fields)} fields, {self.fields} are declared"
-            )
+            raise ValueError(f"{archive}: header has {len(fields)} fields, {self.fields} are declared")
         numbers = [fields[i].strip('"') for i in self.numeric if i < len(fields)]
         filled = [text for text in numbers if text]
         if filled and all(re.fullmatch("[+-]?[0-9]+([.,][0-9]+)?", text) for text in filled):
-            raise ValueError(f"{piece.archive}: the header looks like a record; header=False?")
-
-
-class ArchiveRecords(DataSource):
-    """``spark.read.format("zip_records")``: one row per record of the matching archives."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "zip_records"
-
-    def schema(self) -> str:
-        return RECORD_SCHEMA
-
-    def reader(self, schema) -> ArchiveReader:
-        return ArchiveReader(self.options)
-
-
-def scan_records(spark: SparkSession, directory: str, pattern: str, **options) -> DataFrame:
-    """Logical records of all archives matching a glob; no match is an empty frame."""
-    files = Files(spark)
-    if not files.names(directory, pattern):
-        return spark.createDataFrame([], RECORD_SCHEMA)
-    spark.dataSource.register(ArchiveRecords)
-    tasks = 4 * spark.sparkContext.defaultParallelism
-    reader = spark.read.format("zip_records").options(pattern=pattern, tasks=tasks)
-    return reader.options(**options).load(files.qualified(directory))
+            raise ValueError(f"{archive}: the header looks like a record; header=False?")
+
+
+def _dealt(members: DataFrame, tasks: int, share: int) -> DataFrame:
+    """The members in ``tasks`` partitions of about ``share`` inflated bytes each."""
+    # One row per member: the running sum is over the manifest, not over what it lists.
+    running = F.sum("size").over(Window.orderBy("archive", "number"))
+    task = F.floor((running - F.col("size") / 2) / F.lit(max(1, share)))
+    placed = members.withColumn("task", F.least(task, F.lit(tasks - 1)).cast("int"))
+    return placed.repartitionById(tasks, "task")
+
+
+def scan_records(
+    spark: SparkSession,
+    directory: str,
+    pattern: str,
+    *,
+    listed: DataFrame | None = None,
+    header: bool = True,
+    members: str = "first",
+    sep: str = ";",
+    fields: int = 0,
+    numeric: list[int] = (),
+    task_bytes: int = TASK_BYTES,
+    max_record: int = _MAX_RECORD,
+    spool: str | None = None,
+) -> DataFrame:
+    """Logical records of all archives matching a glob; no match is an empty frame.
+
+    ``listed`` is a manifest that covers the directory, if there is one already. Members of
+    more than ``task_bytes`` are spooled at once, to a new folder within ``spool``, which the
+    caller removes when the records have been used. A field of more than ``max_record`` bytes
+    counts as never closed.
+    """
+    if listed is None:
+        listed = staged(manifest(spark, directory, pattern))
+    chosen = matching(listed, pattern)
+    if members != "all":
+        chosen = chosen.where("number = 0")
+    large = F.col("size") > task_bytes
+    seen = chosen.agg(
+        F.count_if(~large).alias("small"),
+        F.coalesce(F.sum(F.when(~large, F.col("size"))), F.lit(0)).alias("bytes"),
+        F.count_if(large).alias("large"),
+        F.count_if(F.col("members") > 1).alias("several"),
+    ).first()
+    if seen.several and members != "all":
+        log.warning("%s: of %d archives only the first member is read", pattern, seen.several)
+    records = spark.createDataFrame([], RECORD_SCHEMA)
+    reader = _Records(header, sep, fields, list(numeric), max_record)
+    if seen.small:
+        wanted = max(2 * spark.sparkContext.defaultParallelism, -(-seen.bytes // task_bytes))
+        tasks = min(seen.small, wanted)
+        small = _dealt(chosen.where(~large), tasks, -(-seen.bytes // tasks))
+        records = small.mapInArrow(reader.of_members, RECORD_SCHEMA)
+    if seen.large:
+        # A task per member: what takes longest is one member, inflated once.
+        place = F.row_number().over(Window.orderBy(F.desc("size"), "archive", "number")) - 1
+        each = chosen.where(large).withColumn("task", place).repartitionById(seen.large, "task")
+        folder = f"{spool}/{work_folder(spark).rsplit('/', 1)[-1]}" if spool else work_folder(spark)
+        blocks = each.mapInArrow(reader.spool, _BLOCK_SCHEMA)
+        blocks.write.options(maxRecordsPerFile=_BLOCKS, compression="zstd").parquet(folder)
+        blocks = spark.read.schema(_BLOCK_SCHEMA).parquet(folder)
+        spooled = blocks.mapInArrow(reader.of_blocks, RECORD_SCHEMA)
+        records = records.union(spooled) if seen.small else spooled
+    return records

@@ -97,10 +97,10 @@ def scan_archives(
     An archive that does not exist contributes nothing: no match at all gives an empty
     frame of the declared columns. Blank lines are skipped, as in plain files.
     """
-    numeric = [str(i) for i, kind in enumerate(dataset.columns.values()) if kind != "text"]
+    numeric = [i for i, kind in enumerate(dataset.columns.values()) if kind != "text"]
     records = scan_records(
         spark, directory, pattern, header=header, members=members, sep=sep,
-        fields=len(dataset.names), numeric=",".join(numeric), **options,
+        fields=len(dataset.names), numeric=numeric, **options,
     ).where("value <> ''")
     schema = ", ".join(f"{name} string" for name in [*dataset.names, RECORD])
     parsed = F.from_csv("value", schema, _options(sep))

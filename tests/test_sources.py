@@ -1,11 +1,14 @@
 import io
 import zipfile
+import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from registrylake.schemas import DATASETS, Dataset
-from registrylake.sources.archives import record_batches, slices_of
+from registrylake.sources import archives
+from registrylake.sources.archives import manifest, record_batches, record_blocks, scan_records
 from registrylake.sources.delimited import (
     accepted,
     rejected,
@@ -105,13 +108,12 @@ def test_one_stray_quote_among_many_quoted_records(spark, pack):
     whole = strict(scan(spark, folder))
     assert whole.count() == 1000
     assert whole.where("n = 100").first().k == 'Pipes 5" wide'
-    sliced = strict(scan(spark, folder, sliceBytes=100, tasks=500, maxSlices=97))
-    assert rows(sliced) == rows(whole)
+    assert rows(strict(scan(spark, folder, task_bytes=100))) == rows(whole)
 
 
 def test_stray_quote_before_more_than_a_record_may_hold():
     text = b'a 5" b;1\n' + b'"k";2\n' * 1000
-    got = list(record_batches(io.BytesIO(text), 0, len(text), chunk=64, max_record=200))
+    got = list(record_batches(record_blocks(io.BytesIO(text), chunk=64, max_record=200)))
     assert sum(len(texts) for _, texts in got) == 1001
 
 
@@ -123,11 +125,10 @@ def test_unpaired_quote_to_the_end(spark, pack):
 
 def test_a_field_that_never_closes_costs_its_line_only():
     text = b'k;1\n"open;2\n' + b"x;3\n" * 2000
-    for cut in (5, 20, 4000):
+    for chunk in (5, 100, 4000):
         got = []
-        for start, stop in [(0, cut), (cut, len(text))]:
-            for _, texts in record_batches(io.BytesIO(text), start, stop, 100, 1000):
-                got += texts.to_pylist()
+        for _, texts in record_batches(record_blocks(io.BytesIO(text), chunk, 1000)):
+            got += texts.to_pylist()
         assert got == ["k;1", '"open;2', *["x;3"] * 2000]
 
 
@@ -141,20 +142,78 @@ def test_a_field_that_never_closes_costs_its_line_only():
 )
 def test_where_a_quoted_field_ends(record, whole):
     text = f'{record}\nnext";x\nlast\n'.encode()
-    [(_, texts)] = list(record_batches(io.BytesIO(text), 0, len(text)))
+    [(_, texts)] = list(record_batches(record_blocks(io.BytesIO(text))))
     first = record if whole else f'{record}\nnext";x'
     assert texts.to_pylist()[0] == first and texts.to_pylist()[-1] == "last"
 
 
-def test_slices_follow_the_whole_scan():
-    many = [(f"a{i}", "m", 100 << 20) for i in range(64)]
-    assert len(slices_of(many, 16, 64 << 20, 32)) == 64
-    assert len(slices_of([("a", "m", 6400 << 20)], 16, 64 << 20, 32)) == 16
-    assert len(slices_of([("a", "m", 100 << 20)], 16, 64 << 20, 32)) == 2
-    mixed = slices_of([("a", "m", 6400 << 20), *many[:4]], 16, 64 << 20, 32)
-    assert [sum(s.archive == name for s in mixed) for name in ("a", "a0")] == [15, 1]
-    assert slices_of([("a", "m", 0)], 16, 64 << 20, 32)[0].stop == 1
-    assert slices_of([], 16, 1, 1) == []
+def test_manifest_is_read_by_tasks(spark, pack, monkeypatch):
+    pack("T0", b"x;y;z\nk;5;1\n")
+    folder = pack("T1", members={"dir/": b"", "dir/a.csv": b"abc" * 100, "b.csv": b""})
+    monkeypatch.setattr(zipfile, "ZipFile", None)  # on the driver
+    listed = manifest(spark, folder).select("archive", "member", "number", "members", "size", "crc")
+    assert rows(listed) == [
+        (f"file:{folder}/T0.zip", "T0.csv", 0, 1, 12, zlib.crc32(b"x;y;z\nk;5;1\n")),
+        (f"file:{folder}/T1.zip", "b.csv", 1, 2, 0, 0),
+        (f"file:{folder}/T1.zip", "dir/a.csv", 0, 2, 300, zlib.crc32(b"abc" * 100)),
+    ]
+    assert rows(strict(scan(spark, folder, "T0*"))) == [("k", 5, 1.0)]
+    assert manifest(spark, folder, "None*").count() == 0
+
+
+def test_many_small_archives_are_planned_without_opening_one(spark, bronze, monkeypatch):
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        archive.writestr("m.csv", "x;y;z\nk;5;1\n")
+    for i in range(2000):
+        (bronze / f"T{i}.zip").write_bytes(packed.getvalue())
+    monkeypatch.setattr(zipfile, "ZipFile", None)
+    scanned = strict(scan(spark, str(bronze)))
+    assert scanned.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+    per_task = scanned.groupBy(F.spark_partition_id()).count().collect()
+    assert sorted(r["count"] for r in per_task) == [250] * 8
+
+
+def test_members_are_dealt_by_their_bytes(spark, pack):
+    for i in range(40):
+        folder = pack(f"T{i}", b"x;y;z\n" + b"k;5;1\n" * (1000 if i == 7 else 10))
+    scanned = scan(spark, folder, "T*")
+    assert accepted(scanned).count() == 1000 + 39 * 10
+    per_task = accepted(scanned).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_task) <= 1020
+
+
+class CountingZip(zipfile.ZipFile):
+    read_bytes = 0
+
+    def open(self, *args, **kwargs):
+        stream = super().open(*args, **kwargs)
+        read = stream.read
+
+        def counted(n=-1):
+            data = read(n)
+            CountingZip.read_bytes += len(data)
+            return data
+
+        stream.read = counted
+        return stream
+
+
+def test_a_spooled_member_is_inflated_once(pack, monkeypatch):
+    text = b'x;y;z\n' + b'"k\nl";5;1\n' * 5000
+    folder = pack("T0", text)
+    monkeypatch.setattr(archives.zipfile, "ZipFile", CountingZip)
+    monkeypatch.setattr(archives, "_CHUNK", 1000)
+    monkeypatch.setattr(CountingZip, "read_bytes", 0)
+    reader = archives._Records(True, ";", 3, [1, 2], 1 << 20)
+    listed = pa.RecordBatch.from_pydict({"archive": [f"{folder}/T0.zip"], "member": ["T0.csv"]})
+    spooled = list(reader.spool(iter([listed])))
+    assert CountingZip.read_bytes == len(text) and len(spooled) > 50
+    assert b"".join(b.column("block")[0].as_py() for b in spooled) == text
+    direct = pa.Table.from_batches(reader.of_members(iter([listed])))
+    assert CountingZip.read_bytes == 2 * len(text)
+    assert pa.Table.from_batches(reader.of_blocks(iter(spooled))).to_pylist() == direct.to_pylist()
+    assert CountingZip.read_bytes == 2 * len(text) and direct.num_rows == 5000
 
 
 def test_header_option(spark, pack):
@@ -194,36 +253,36 @@ def test_empty_member(spark, pack):
 
 
 @pytest.mark.parametrize("compression", [zipfile.ZIP_DEFLATED, zipfile.ZIP_STORED])
-def test_slices_cover_every_record_once(spark, pack, compression):
+def test_spooled_members_give_the_same_records(spark, pack, monkeypatch, tmp_path, compression):
     lines = [f'"k{i}{"é" * (i % 3)}";{i % 100};"{i},5"' for i in range(500)]
     lines[100] = '"line\nbreak;""q""";7;1'
     lines[400] = '"' + "x\n" * 300 + '";8;2'
     text = ("x;y;z\n" + "\n".join(lines)).encode("latin-1")
     folder = pack("T0", members={"a.csv": text}, compression=compression)
+    pack("T1", b"x;y;z\nsmall;1;1\n")
     whole = rows(strict(scan(spark, folder)))
-    sliced = strict(scan(spark, folder, sliceBytes=100, tasks=500, maxSlices=97))
-    assert sliced.rdd.getNumPartitions() > 90
-    assert len(whole) == 500 and rows(sliced) == whole
+    monkeypatch.setattr(archives, "_CHUNK", 200)
+    spooled = strict(scan(spark, folder, task_bytes=100, spool=str(tmp_path / "spool")))
+    assert len(list((tmp_path / "spool").glob("*/*.parquet"))) > 2
+    assert len(whole) == 501 and rows(spooled) == whole
 
 
 @pytest.mark.parametrize("chunk", [1, 2, 3, 7, 64])
 @pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
-def test_slices_at_every_offset(chunk, end):
+def test_chunks_of_any_size_give_the_same_records(chunk, end):
     records = ['a;"x\ny";é', "", "b", '"q""q"', 'c;"\n"', "d"]
     text = end.join(records).encode("latin-1")
-    expected = [r.encode("latin-1").decode("latin-1") for r in records]
-    for cut in range(len(text) + 1):
-        got = []
-        for start, stop in [(0, cut), (cut, len(text))]:
-            if start < stop:
-                for _, texts in record_batches(io.BytesIO(text), start, stop, chunk=chunk):
-                    got += texts.to_pylist()
-        assert got == expected
+    got, offsets = [], []
+    for starts, texts in record_batches(record_blocks(io.BytesIO(text), chunk)):
+        got += texts.to_pylist()
+        offsets += starts.tolist()
+    assert got == records
+    assert [text[o:].decode("latin-1")[:1] for o in offsets if o < len(text)][0] == "a"
 
 
 def test_record_offsets(spark, pack):
     folder = pack("T0", b"x;y;z\nk;5;1\nj;6;2\n")
-    records = spark.read.format("zip_records").load(folder)
+    records = scan_records(spark, folder, "T*.zip")
     assert rows(records.select("record_offset", "value", "member")) == [
         (12, "j;6;2", "T0.csv"), (6, "k;5;1", "T0.csv"),
     ]
