@@ -207,7 +207,7 @@ def typed_csv_scan(spark, sf_dir):
 def archive_ingest(spark, sf_dir):
     folder = work_folder(spark)
     orders = _table(spark, sf_dir, "orders").select(ORDERS.names)
-    write_archives(orders.repartition(4), folder, "Orders")
+    write_archives(orders, folder, "Orders")
     return strict(scan_archives(spark, folder, "Orders*.zip", ORDERS))
 
 
@@ -270,13 +270,46 @@ def replace_failure_keeps_table(spark, sf_dir):
     layer = _new_layer(spark, work_folder(spark), "gold")
     part = _table(spark, sf_dir, "part")
     layer.replace("part", part, ["p_partkey"])
+    # One writer stops before its rows are published, another fails while it writes them.
+    layer.build().replace("part", part.where("p_partkey % 2 = 0"))
     try:
         layer.replace("part", part.withColumn("p_name", F.raise_error(F.col("p_name"))))
     except Exception:  # noqa: BLE001  the failure is the point
-        return layer.read("part")
+        return Layer(spark, f"again_{layer.name}", layer.location).read("part")
     raise AssertionError("the write should have failed")
 
 
+_PUBLISHED = ["region", "nation", "supplier", "customer", "part", "orders", "events", "lineitem"]
+
+
+def publish_as_a_whole(spark, sf_dir):
+    """The fifth table of a second build fails; all eight are those of the first."""
+    layer = _new_layer(spark, work_folder(spark), "gold")
+    tables = {name: _table(spark, sf_dir, name) for name in _PUBLISHED}
+    with layer.build() as new:
+        for name, df in tables.items():
+            new.replace(name, df)
+    try:
+        with layer.build() as new:
+            for i, (name, df) in enumerate(tables.items()):
+                first = df.columns[0]
+                bad = F.raise_error(F.lit(name)).cast(df.schema[first].dataType)
+                new.replace(name, df.withColumn(first, bad) if i == 4 else df.where(f"{first} % 2 = 0"))
+    except Exception:  # noqa: BLE001  the failure is the point
+        return _counts(Layer(spark, f"again_{layer.name}", layer.location), _PUBLISHED)
+    raise AssertionError("the build should have failed")
+
+
+def append_retry(spark, sf_dir):
+    """Two batches of customers; each is tried twice, and counts once."""
+    layer = _new_layer(spark, work_folder(spark), "silver")
+    layer.create("customer", CUSTOMER)
+    customers = _table(spark, sf_dir, "customer").select(CUSTOMER.names)
+    for batch in ("even", "odd", "even", "odd"):
+        layer.append("customer", customers.where(f"c_custkey % 2 = {int(batch == 'odd')}"), batch)
+    return layer.read("customer")
+
+
 def reopen_layer(spark, sf_dir):
     folder = work_folder(spark)
     layer = _new_layer(spark, folder, "gold")
@@ -437,11 +470,12 @@ gold AS (
 """
 
 
-def write_bronze(spark, sf_dir, folder: str) -> str:
+def write_bronze(spark, sf_dir, folder: str, skip: str = "") -> str:
     """The archives and lists that the jobs start from, made of the given tables."""
     bronze = f"{folder}/bronze"
     for name, df in _registry_tables(spark, sf_dir).items():
-        write_archives(df, bronze, name.capitalize())
+        if name != skip:
+            write_archives(df, bronze, name.capitalize())
     excluded = spark.createDataFrame([(0,), (1,), (2,)], "natureza_code long")
     write_text(excluded, f"{bronze}/naturezas_nao_empresas.csv")
     food = _table(spark, sf_dir, "region").select(
@@ -451,9 +485,17 @@ def write_bronze(spark, sf_dir, folder: str) -> str:
     return bronze
 
 
-@cache
 def jobs(spark, sf_dir) -> tuple[Layer, Layer]:
-    """Silver and gold of the given tables; once per session and folder."""
+    """Silver and gold of the given tables; once per session and folder, while they are there."""
+    layers = _jobs(spark, sf_dir)
+    if not all(layer.files.exists(layer.location) for layer in layers):
+        _jobs.cache_clear()
+        layers = _jobs(spark, sf_dir)
+    return layers
+
+
+@cache
+def _jobs(spark, sf_dir) -> tuple[Layer, Layer]:
     folder = work_folder(spark)
     bronze = write_bronze(spark, sf_dir, folder)
     silver, gold = (_new_layer(spark, folder, kind) for kind in ("silver", "gold"))
@@ -497,6 +539,24 @@ def ingest_silver_rejected(spark, sf_dir):
     return _counts(silver, ["socios"]).union(reasons.agg(F.count(F.lit(1)).alias("n")))
 
 
+def ingest_incremental(spark, sf_dir):
+    """Half of the establishments' archives change between two ingests; the rest is not read."""
+    folder = work_folder(spark)
+    bronze = write_bronze(spark, sf_dir, folder, skip="estabelecimentos")
+    rows = _registry_tables(spark, sf_dir)["estabelecimentos"]
+    odd = F.col("cnpj_ordem").cast("long") % 2 == 1
+    write_archives(rows.where(~odd), bronze, "Estabelecimentos1")
+    write_archives(rows.where(odd), bronze, "Estabelecimentos2")
+    silver = _new_layer(spark, folder, "silver")
+    ingest_silver(spark, bronze, silver, incremental=True)
+    changed = rows.where(odd).withColumn("nome_fantasia", F.lit("changed"))
+    write_archives(changed, bronze, "Estabelecimentos2")
+    ingest_silver(spark, bronze, silver, incremental=True)
+    return silver.read("estabelecimentos").select(
+        "cnpj_base", "cnpj_ordem", "nome_fantasia", "situacao_cadastral", "pais_code", "uf", "municipio_code"
+    )
+
+
 def build_gold_counts(spark, sf_dir):
     _, gold = jobs(spark, sf_dir)
     return _counts(gold, sorted(gold.tables()))
@@ -597,6 +657,9 @@ def lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "read_table": read_table,
         "rerun_overwrite": rerun_overwrite,
         "replace_failure_keeps_table": replace_failure_keeps_table,
+        "publish_as_a_whole": publish_as_a_whole,
+        "append_retry": append_retry,
+        "ingest_incremental": ingest_incremental,
         "reopen_layer": reopen_layer,
         "table_exists": table_exists,
         "append_records": append_records,
@@ -721,6 +784,18 @@ def lake_sql() -> dict[str, str]:
             SELECT cnpj_base, cnpj_ordem, CAST(situacao_cadastral AS BIGINT) AS situacao_cadastral,
                    pais_code, uf, municipio_code
             FROM estabelecimentos""",
+        "publish_as_a_whole": " UNION ALL ".join(
+            f"SELECT '{name}' AS tbl, count(*) AS n FROM {name}" for name in _PUBLISHED
+        ),
+        "append_retry": """
+            SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
+        "ingest_incremental": _REGISTRY
+        + """
+            SELECT cnpj_base, cnpj_ordem,
+                   CASE WHEN CAST(cnpj_ordem AS BIGINT) % 2 = 1 THEN 'changed' END AS nome_fantasia,
+                   CAST(situacao_cadastral AS BIGINT) AS situacao_cadastral, pais_code, uf,
+                   municipio_code
+            FROM estabelecimentos""",
         "ingest_silver_socios": _REGISTRY
         + "SELECT cnpj_base, nome_socio, event_id AS faixa_etaria FROM socios",
         "ingest_silver_rejected": _REGISTRY

@@ -6,24 +6,27 @@ import logging
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from registrylake.operators.joins import keep_known_keys
 from registrylake.operators.keys import distinct_keys
 from registrylake.operators.rows import exclude_codes
 from registrylake.plans.parallel import run_all
 from registrylake.schemas import DATASETS, SINGLE_FILE_DATASETS, UNUSED_COLUMNS
+from registrylake.sources.archives import manifest, matching
 from registrylake.sources.delimited import (
     accepted,
     empty_scan,
     rejected,
     scan_archives,
     scan_delimited,
+    scan_schema,
     strict,
 )
 from registrylake.sources.files import Files
 from registrylake.sources.routing import excluded_legal_forms
 from registrylake.tables.layer import Layer
+from registrylake.tables.ledger import Ledger, digest, source_name
 from registrylake.tables.work import staged, work_folder
 
 log = logging.getLogger(__name__)
@@ -42,56 +45,100 @@ def ingest_silver(
     quarantine: bool = False,
     drop_unused: bool = False,
     allow_missing: bool = False,
+    incremental: bool = False,
     **scan_options,
 ) -> None:
-    """Replace all silver tables from a bronze folder.
+    """Replace all silver tables from a bronze folder, in one step once all are written.
 
     Partners come last: they are kept only when their key is among the establishments or
     companies written before them. All other tables are independent of each other.
     Without an archive a code table stays as it is, or is empty if it is not there yet; for
     companies, establishments and partners that is an error unless ``allow_missing``.
     A malformed record fails the job, or with ``quarantine`` goes to ``<table>_rejected``.
+
+    With ``incremental`` the parsed rows of every archive are kept beside the layer, by name
+    and checksum: only archives that changed are inflated, and only tables are written that
+    something they depend on changed for. The result is that of a full ingest.
     """
     files = Files(spark)
     source = files.qualified(source)
     if not files.exists(source):
         raise FileNotFoundError(source)
     excluded = excluded_legal_forms(spark, source)  # fails here when the file is missing
-    scan_options |= {"header": header, "members": members}
-
-    def scan(table: str, pattern: str) -> DataFrame | None:
+    folder = work_folder(spark)
+    try:
+        listed = staged(manifest(spark, source), f"{folder}/manifest")
+        scan_options |= {"header": header, "members": members}
+        ledger = Ledger(spark, f"{silver.location}/_parsed") if incremental else None
+        with silver.build() as new:
+            _ingest(
+                spark, source, new, excluded, quarantine, drop_unused, allow_missing, ledger,
+                folder, listed, scan_options,
+            )
+    finally:
+        files.delete(folder)
+
+
+def _ingest(
+    spark, source, new, excluded, quarantine, drop_unused, allow_missing, ledger, folder, listed,
+    scan_options,
+) -> None:
+    files = new.files
+
+    def scan(table: str, pattern: str) -> tuple[DataFrame, str | None] | None:
+        """Rows of the archives, and what they come from if a ledger knows."""
+        dataset = DATASETS[table]
         if not files.names(source, pattern):
             if table in _FACTS and not allow_missing:
                 raise FileNotFoundError(f"{source}/{pattern}")
-            if silver.exists(table):
+            if new.exists(table):
                 log.warning("no archive %s, table %s stays as it is", pattern, table)
                 return None
             log.warning("no archive %s, table %s will be empty", pattern, table)
-        return scan_archives(spark, source, pattern, DATASETS[table], **scan_options)
-
-    def write(table: str, scanned: DataFrame | None, keep: Callable = lambda rows: rows) -> None:
-        if scanned is None:
+        read = partial(scan_archives, spark, source, dataset=dataset, spool=folder, **scan_options)
+        if ledger is None:
+            return read(pattern=pattern, listed=listed), None
+        chosen = matching(listed, pattern, scan_options["members"])
+
+        def changed(names: list[str]) -> DataFrame:
+            name = F.substring_index("archive", "/", -1)
+            names = spark.createDataFrame([(n,) for n in names], "name string")
+            some = listed.join(names, name == F.col("name"), "left_semi")
+            return read(pattern="*", listed=some, source=source_name("archive", "member"))
+
+        return ledger.rows(table, chosen, scan_options, scan_schema(dataset), changed)
+
+    def write(
+        table: str,
+        found: tuple[DataFrame, str | None] | None,
+        keep: Callable = lambda rows: rows,
+        *depends: str | None,
+    ) -> None:
+        if found is None:
             return
+        scanned, origin = found
+        if origin:
+            origin = digest(origin, quarantine, drop_unused, *depends)
+            if new.exists(table) and new.origin(table) == origin:
+                log.info("table %s is current", table)
+                return
         dataset = DATASETS[table]
         unused = UNUSED_COLUMNS.get(table, []) if drop_unused else []
         lookups = [entry for entry in dataset.lookups if entry not in unused]
         if not quarantine:
-            silver.replace(table, keep(strict(scanned)).drop(*unused), lookups)
-            silver.drop(f"{table}_rejected")
+            new.replace(table, keep(strict(scanned)).drop(*unused), lookups, origin=origin)
+            new.drop(f"{table}_rejected")
             return
-        # Archives are dear to read: what they hold is written once, then split.
-        folder = work_folder(spark)
-        try:
-            scanned = staged(scanned, folder)
-            silver.replace(table, keep(accepted(scanned)).drop(*unused), lookups)
-            bad = rejected(scanned)
-            if bad.isEmpty():
-                silver.drop(f"{table}_rejected")
-            else:
-                log.warning("%s: malformed records are in %s_rejected", table, table)
-                silver.replace(f"{table}_rejected", bad)
-        finally:
-            files.delete(folder)
+        if origin is None:
+            # Archives are dear to read: what they hold is written once, then split.
+            scanned = staged(scanned, f"{folder}/{table}")
+        new.replace(table, keep(accepted(scanned)).drop(*unused), lookups, origin=origin)
+        bad = rejected(scanned)
+        if bad.isEmpty():
+            new.drop(f"{table}_rejected")
+        else:
+            log.warning("%s: malformed records are in %s_rejected", table, table)
+            new.replace(f"{table}_rejected", bad)
 
     def write_single(name: str) -> None:
         # One archive without a number; numbered parts count only when it is missing.
@@ -102,10 +149,15 @@ def ingest_silver(
         write(name.lower(), scan(name.lower(), pattern))
 
     def write_companies() -> None:
+        codes = None
+        if ledger:
+            hashes = F.sum(F.xxhash64("natureza_code").cast("decimal(38,0)"))
+            codes = str(tuple(excluded.agg(hashes, F.count("natureza_code")).first()))
         write(
             "empresas",
             scan("empresas", "Empresas*.zip"),
             lambda rows: exclude_codes(rows, excluded, "natureza_code"),
+            codes,
         )
 
     # Independent of each other; the longest first.
@@ -114,15 +166,17 @@ def ingest_silver(
             lambda: write("estabelecimentos", scan("estabelecimentos", "Estabelecimentos*.zip")),
             write_companies,
             *[partial(write_single, name) for name in SINGLE_FILE_DATASETS],
-            lambda: write("cnae_alimenticio", _food_activities(spark, source)),
+            lambda: write("cnae_alimenticio", (_food_activities(spark, source), None)),
         ]
     )
 
-    known = distinct_keys([silver.read("estabelecimentos"), silver.read("empresas")], _KEY)
+    known = distinct_keys([new.read("estabelecimentos"), new.read("empresas")], _KEY)
     write(
         "socios",
         scan("socios", "Socios*.zip"),
         lambda rows: keep_known_keys(rows, known, _KEY),
+        new.origin("estabelecimentos"),
+        new.origin("empresas"),
     )
 
 

@@ -177,10 +177,11 @@ def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays(arrays, names)
 
 
-def matching(members: DataFrame, pattern: str) -> DataFrame:
-    """The members of a manifest whose archive's name matches a glob."""
+def matching(members: DataFrame, pattern: str, which: str = "all") -> DataFrame:
+    """The members of a manifest whose archive's name matches a glob; all, or the first of each."""
     name = F.substring_index("archive", "/", -1)
-    return members.where(name.rlike("^" + fnmatch.translate(pattern)))
+    found = members.where(name.rlike("^" + fnmatch.translate(pattern)))
+    return found if which == "all" else found.where("number = 0")
 
 
 # Records
@@ -283,9 +284,7 @@ def scan_records(
     """
     if listed is None:
         listed = staged(manifest(spark, directory, pattern))
-    chosen = matching(listed, pattern)
-    if members != "all":
-        chosen = chosen.where("number = 0")
+    chosen = matching(listed, pattern, members)
     large = F.col("size") > task_bytes
     seen = chosen.agg(
         F.count_if(~large).alias("small"),

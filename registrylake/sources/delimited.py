@@ -15,7 +15,7 @@ from registrylake.functions.text import parse_text
 from registrylake.schemas import Dataset
 from registrylake.sources.archives import scan_records
 
-RECORD, REASON = "_record", "_reason"
+RECORD, REASON, SOURCE = "_record", "_reason", "_source"
 
 # A quoted blank stays '' and a bare one becomes NULL: the reader puts ``nullValue`` in
 # place of a bare blank, so it must be text that no Latin-1 file can hold.
@@ -58,9 +58,11 @@ def _has_loose_break(record: Column, sep: str) -> Column:
     return record.contains("\n") & ~record.rlike(proper)
 
 
-def _typed(text: DataFrame, dataset: Dataset, broken: Column) -> DataFrame:
+def _typed(text: DataFrame, dataset: Dataset, broken: Column, carried: tuple = ()) -> DataFrame:
     """Parse the text columns; ``record`` holds the raw text of each row.
 
+    Columns named in ``carried`` pass through.
+
     The number of malformed records is an observed metric of the scan. Filters are not
     moved below an observation, which also keeps a filter on a parsed column from
     repeating the whole parse inside its condition.
@@ -75,9 +77,12 @@ def _typed(text: DataFrame, dataset: Dataset, broken: Column) -> DataFrame:
         complaints.append(F.when(unread, F.lit(f"bad value: {name}")))
     reason = F.coalesce(*complaints)
     values = [F.col(f"__{name}" if name in numbers else name).alias(name) for name in dataset.names]
-    judged = parsed.select(*values, "record", reason.alias(REASON))
+    judged = parsed.select(*values, "record", reason.alias(REASON), *carried)
     return judged.select(
-        *dataset.names, F.when(F.col(REASON).isNotNull(), F.col("record")).alias(RECORD), REASON
+        *dataset.names,
+        F.when(F.col(REASON).isNotNull(), F.col("record")).alias(RECORD),
+        REASON,
+        *carried,
     ).observe(f"{dataset.name} {uuid.uuid4().hex}", F.count(REASON).alias("malformed"))
 
 
@@ -90,10 +95,13 @@ def scan_archives(
     header: bool = True,
     members: str = "first",
     sep: str = ";",
+    source: Column | None = None,
     **options,
 ) -> DataFrame:
     """All archives matching a glob as one typed table, columns matched by position.
 
+    ``source``, of the columns ``archive`` and ``member``, tells where rows are from.
+
     An archive that does not exist contributes nothing: no match at all gives an empty
     frame of the declared columns. Blank lines are skipped, as in plain files.
     """
@@ -104,13 +112,14 @@ def scan_archives(
     ).where("value <> ''")
     schema = ", ".join(f"{name} string" for name in [*dataset.names, RECORD])
     parsed = F.from_csv("value", schema, _options(sep))
-    text = records.select(F.col("value").alias("record"), parsed.alias("parsed")).select(
-        "record", "parsed.*"
+    carried = () if source is None else (source.alias(SOURCE),)
+    text = records.select(F.col("value").alias("record"), parsed.alias("parsed"), *carried).select(
+        "record", "parsed.*", *[SOURCE for _ in carried]
     )
     broken = _is_broken(F.col("record"), len(dataset.names), sep) | _has_loose_break(
         F.col("record"), sep
     )
-    return _typed(text, dataset, broken)
+    return _typed(text, dataset, broken, tuple(SOURCE for _ in carried))
 
 
 def scan_delimited(
@@ -147,10 +156,15 @@ def scan_delimited(
     return _typed(text, dataset, broken)
 
 
+def scan_schema(dataset: Dataset) -> T.StructType:
+    """Columns of a scan: the declared ones, the record and the reason."""
+    extra = [T.StructField(RECORD, T.StringType()), T.StructField(REASON, T.StringType())]
+    return T.StructType([*dataset.struct.fields, *extra])
+
+
 def empty_scan(spark: SparkSession, dataset: Dataset) -> DataFrame:
     """What a scan of no files gives."""
-    extra = [T.StructField(RECORD, T.StringType()), T.StructField(REASON, T.StringType())]
-    return spark.createDataFrame([], T.StructType([*dataset.struct.fields, *extra]))
+    return spark.createDataFrame([], scan_schema(dataset))
 
 
 def scan_inferred(

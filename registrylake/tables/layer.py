@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import json
 import threading
 import uuid
 from collections.abc import Iterable
@@ -14,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from registrylake.operators.keys import distinct_values, row_count
 from registrylake.schemas import Dataset
 from registrylake.sources.files import Files
+from registrylake.tables.markers import Markers, folder_name, older
 
-#: Folder of a layer that holds its markers, how many of them are kept, and names that appends
-#: use while they write.
-_LOG, _KEPT_MARKERS, _ASIDE = "_log", 8, "_batch"
+#: Names that appends use while they write start so.
+_ASIDE = "_batch"
 _database = threading.Lock()
 
 
@@ -63,13 +62,14 @@ class Layer:
         self.files = Files(spark)
         self.spark, self.name = spark, name
         self.location = self.files.qualified(location)
+        self._markers = Markers(self.files, f"{self.location}/_log")
         self._committing = threading.Lock()
         quoted = self.location.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{quoted}'")
         there = self.files.qualified(unquote(spark.catalog.getDatabase(name).locationUri))
         if there != self.location:
             raise ValueError(f"Layer {name} is at {there}, not at {self.location}")
-        _, committed = self._state()
+        _, committed = self._markers.last()
         for table in {*self.tables(), *committed}:
             self._follow(table, committed.get(table))
 
@@ -83,18 +83,6 @@ class Layer:
 
     # Versions
 
-    def _state(self) -> tuple[int, dict[str, dict]]:
-        """Number of the last marker, and the tables by the highest valid one."""
-        folder = f"{self.location}/{_LOG}"
-        names = sorted(self.files.names(folder, "*.json"), reverse=True)
-        last = int(names[0].removesuffix(".json")) if names else 0
-        for name in names:
-            try:
-                return last, json.loads(self.files.read_text(f"{folder}/{name}") or "")["tables"]
-            except (ValueError, KeyError, TypeError):
-                continue  # cut short by a store that cannot rename
-        return last, {}
-
     def _commit(self, changes: dict[str, dict | None], seen: dict[str, dict]) -> None:
         """Publish written versions, and None for dropped tables, in one step.
 
@@ -102,7 +90,7 @@ class Layer:
         """
         with self._committing:
             while True:
-                number, tables = self._state()
+                number, tables = self._markers.last()
                 moved = sorted(
                     table for table in changes
                     if (tables.get(table) or {}).get("version") != (seen.get(table) or {}).get("version")
@@ -110,8 +98,7 @@ class Layer:
                 if moved:
                     raise ConcurrentWrite(f"{self.name}: {moved} changed since this write started")
                 after = {t: entry for t, entry in {**tables, **changes}.items() if entry}
-                marker = f"{self.location}/{_LOG}/{number + 1:012d}.json"
-                if self.files.create_new(marker, json.dumps({"tables": after})):
+                if self._markers.publish(number + 1, after):
                     break
             for table, entry in changes.items():
                 self._follow(table, entry)
@@ -129,11 +116,9 @@ class Layer:
             elif before:
                 kept = {before["version"], after["version"]}
                 for version in self.files.directories(self._path(table)):
-                    if version not in kept and version < before["version"].partition("-")[0]:
+                    if version not in kept and older(version, before["version"]):
                         self.files.delete(self._path(table, version))
-        for name in self.files.names(f"{self.location}/{_LOG}", "*.json"):
-            if int(name.removesuffix(".json")) <= number - _KEPT_MARKERS:
-                self.files.delete(f"{self.location}/{_LOG}/{name}")
+        self._markers.clean(number)
 
     def _follow(self, table: str, entry: dict | None) -> None:
         """Let the catalog know the committed version of a table."""
@@ -233,7 +218,7 @@ class Layer:
         the answer tells. Without one every call is a batch of its own.
         """
         name = self._qualified(table)
-        entry = self._state()[1].get(table)
+        entry = self._markers.last()[1].get(table)
         if entry:
             self._follow(table, entry)
         stored = self.spark.table(name).schema
@@ -259,7 +244,7 @@ class Layer:
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS `{self.name}`.`{own}`")
             self.files.delete(aside)
-        now = self._state()[1].get(table) or {}
+        now = self._markers.last()[1].get(table) or {}
         if now.get("version") != entry["version"]:
             raise ConcurrentWrite(f"{self.name}: {table!r} was replaced during this append")
         self.spark.catalog.refreshTable(name)
@@ -294,7 +279,7 @@ class Build:
 
     def __init__(self, layer: Layer):
         self.layer, self.spark, self.files = layer, layer.spark, layer.files
-        self._number, self._seen = layer._state()
+        self._number, self._seen = layer._markers.last()
         self._changes: dict[str, dict | None] = {}
 
     def __enter__(self) -> Build:
@@ -320,6 +305,11 @@ class Build:
             return self._changes[table] is not None
         return self.layer.exists(table)
 
+    def origin(self, table: str) -> str | None:
+        """What the rows of a table come from, if it was said when they were written."""
+        entry = self._changes[table] if table in self._changes else self._seen.get(table)
+        return (entry or {}).get("origin")
+
     def read(self, table: str) -> DataFrame:
         """A table as the build leaves it."""
         entry = self._changes.get(table)
@@ -334,8 +324,12 @@ class Build:
         df: DataFrame,
         lookups: Iterable[str | list[str]] = (),
         clustering: Iterable[str] = (),
+        origin: str | None = None,
     ) -> None:
-        """Write a new version of the table in one pass."""
+        """Write a new version of the table in one pass.
+
+        ``origin`` may name what the rows come from, to tell later whether they are current.
+        """
         self.layer._qualified(table)
         lookups, clustering = list(lookups), list(clustering)
         options = self.layer._writing(table, lookups)
@@ -343,7 +337,7 @@ class Build:
             # Ranges are cut by a sample, so a frequent value spreads over several files
             # by the columns after it.
             df = df.repartitionByRange(*clustering).sortWithinPartitions(*clustering)
-        version = f"v{self._number:012d}-{uuid.uuid4().hex}"
+        version = folder_name(self._number, uuid.uuid4().hex)
         path = self.layer._path(table, version)
         try:
             df.write.options(**options).parquet(path)
@@ -351,7 +345,8 @@ class Build:
             self.files.delete(path)
             raise
         fields = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
-        self._changes[table] = {"version": version, "schema": fields.jsonValue(), "lookups": lookups}
+        entry = {"version": version, "schema": fields.jsonValue(), "lookups": lookups, "origin": origin}
+        self._changes[table] = entry
 
     def drop(self, table: str) -> None:
         """Leave the table out of what is published."""
