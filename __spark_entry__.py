@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from functools import cache
+from functools import cache, reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -246,6 +246,41 @@ def quarantine_bad_rows(spark, sf_dir):
     return outcome.union(rejected(scanned).select("c_custkey", F.col("_reason")))
 
 
+TYPES = Dataset.of(
+    "types",
+    "key u64, small_count u16, count u32, short i16, number i32, amount f64, flag bool, day date, "
+    "moment datetime, name text",
+)
+
+
+def declared_types(spark, sf_dir):
+    """A column of every declared type, written as text into archives and read back."""
+    folder, n = work_folder(spark), F.col("event_id")
+    second = n % 86400
+    text = _table(spark, sf_dir, "events").select(
+        n.alias("key"),
+        (n % 60000).alias("small_count"),
+        (n % 4000000000).alias("count"),
+        (n % 100 - 50).alias("short"),
+        (n - 500).alias("number"),
+        (n / 4).alias("amount"),
+        (n % 2 == 0).cast("string").alias("flag"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (n % 1000).cast("int")).cast("string").alias("day"),
+        F.format_string(
+            "2020-01-01 %02d:%02d:%02d",
+            F.floor(second / 3600), F.floor(second / 60) % 60, second % 60,
+        ).alias("moment"),
+        F.col("event_type").alias("name"),
+    )
+    write_archives(text, folder, "Types")
+    read = strict(scan_archives(spark, folder, "Types*.zip", TYPES))
+    if read.schema != TYPES.struct:
+        raise AssertionError(f"{read.schema}")
+    whole = {name: F.col(name).cast("long") for name in ("small_count", "short", "number")}
+    texts = {name: F.col(name).cast("string") for name in ("day", "moment")}
+    return read.withColumns(whole | texts)
+
+
 def drop_columns_query(spark, sf_dir):
     return drop_columns(_table(spark, sf_dir, "supplier"), ["s_nationkey", "s_acctbal"])
 
@@ -346,6 +381,44 @@ def layout_roundtrip(spark, sf_dir):
     return layer.read("orders")
 
 
+def lookup_composite(spark, sf_dir):
+    """Lineitems of one part and supplier, by the hash of both."""
+    layer = _new_layer(spark, work_folder(spark), "gold")
+    items = _table(spark, sf_dir, "lineitem")
+    layer.replace("lineitem", items, ["l_orderkey", ["l_partkey", "l_suppkey"]])
+    key = items.agg(F.max(F.struct("l_partkey", "l_suppkey")).alias("k")).first().k
+    found = layer.lookup("lineitem", l_partkey=key.l_partkey, l_suppkey=key.l_suppkey)
+    return found.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+
+
+def interleaved_roundtrip(spark, sf_dir):
+    layer = _new_layer(spark, work_folder(spark), "silver")
+    customers = _table(spark, sf_dir, "customer").select(CUSTOMER.names)
+    layer.replace("customer", customers, interleaving=["c_nationkey", "c_mktsegment", "c_custkey"])
+    return layer.read("customer")
+
+
+def contract_report(spark, sf_dir):
+    """NULLs, blanks and ends of all columns, measured while the table was written."""
+    layer = _new_layer(spark, work_folder(spark), "silver")
+    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    segment = F.when(F.col("c_nationkey") % 3 == 0, "").when(F.col("c_nationkey") % 3 == 1, F.col("c_mktsegment"))
+    layer.replace("customer", customers.withColumn("c_mktsegment", segment), profile=True)
+    return layer.profile("customer")
+
+
+def adhoc_sql_functions(spark, sf_dir):
+    """One customer per nation with blanks as NULL, by the layer's own functions."""
+    layer = _new_layer(spark, work_folder(spark), "gold")
+    segment = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).otherwise("")
+    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    layer.replace("customer", customers.withColumn("c_mktsegment", segment))
+    return layer.query("""
+        SELECT f.c_nationkey, f.c_custkey, b.c_mktsegment
+        FROM customer_first_per('c_nationkey') f
+        JOIN customer_blank_to_null() b ON f.c_custkey = b.c_custkey""")
+
+
 def list_tables(spark, sf_dir):
     layer = _new_layer(spark, work_folder(spark), "silver")
     for name in ["customer", "supplier", "nation"]:
@@ -433,6 +506,16 @@ def _registry_tables(spark, sf_dir) -> dict[str, DataFrame]:
             F.col("r_regionkey").cast("string").alias("cnaes_code"),
             F.col("r_name").alias("description"),
         ),
+        "naturezas": _table(spark, sf_dir, "nation").select(
+            F.col("n_nationkey").alias("natureza_code"),
+            F.when(F.col("n_regionkey") == 1, "")
+            .otherwise(F.col("n_name"))
+            .alias("natureza_juridica_descricao"),
+        ),
+        "qualificacoes": _table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("qualificacao_code"),
+            F.col("p_name").alias("qualificacao_descricao"),
+        ),
     }
     return {name: conform(df, DATASETS[name].struct) for name, df in text.items()}
 
@@ -583,6 +666,24 @@ def build_gold_food(spark, sf_dir):
     return jobs(spark, sf_dir)[1].read("cnae_alimenticio").select("cnaes_code", "categoria")
 
 
+def build_gold_codes(spark, sf_dir):
+    """The rows of the four copied tables."""
+    _, gold = jobs(spark, sf_dir)
+    columns = {
+        "cnaes": ("cnaes_code", "description"),
+        "cnae_alimenticio": ("cnaes_code", "categoria"),
+        "naturezas": ("natureza_code", "natureza_juridica_descricao"),
+        "qualificacoes": ("qualificacao_code", "qualificacao_descricao"),
+    }
+    copied = [
+        gold.read(table).select(
+            F.lit(table).alias("tbl"), F.col(code).cast("string").alias("code"), F.col(text).alias("description")
+        )
+        for table, (code, text) in columns.items()
+    ]
+    return reduce(DataFrame.union, copied)
+
+
 def _gold_columns() -> str:
     """The 36 columns of gold companies; most are not filled here."""
     filled = {
@@ -657,6 +758,12 @@ def lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "read_table": read_table,
         "rerun_overwrite": rerun_overwrite,
         "replace_failure_keeps_table": replace_failure_keeps_table,
+        "lookup_composite": lookup_composite,
+        "interleaved_roundtrip": interleaved_roundtrip,
+        "contract_report": contract_report,
+        "adhoc_sql_functions": adhoc_sql_functions,
+        "declared_types": declared_types,
+        "build_gold_codes": build_gold_codes,
         "publish_as_a_whole": publish_as_a_whole,
         "append_retry": append_retry,
         "ingest_incremental": ingest_incremental,
@@ -778,7 +885,9 @@ def lake_sql() -> dict[str, str]:
             UNION ALL SELECT 'municipios', count(*) FROM nation
             UNION ALL SELECT 'cnaes', count(*) FROM region
             UNION ALL SELECT 'cnae_alimenticio', count(*) FROM region
-            UNION ALL SELECT unnest(['motivos', 'naturezas', 'paises', 'qualificacoes']), 0""",
+            UNION ALL SELECT 'naturezas', count(*) FROM nation
+            UNION ALL SELECT 'qualificacoes', count(*) FROM part
+            UNION ALL SELECT unnest(['motivos', 'paises']), 0""",
         "ingest_silver_estabelecimentos": _REGISTRY
         + """
             SELECT cnpj_base, cnpj_ordem, CAST(situacao_cadastral AS BIGINT) AS situacao_cadastral,
@@ -787,6 +896,50 @@ def lake_sql() -> dict[str, str]:
         "publish_as_a_whole": " UNION ALL ".join(
             f"SELECT '{name}' AS tbl, count(*) AS n FROM {name}" for name in _PUBLISHED
         ),
+        "lookup_composite": """
+            SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+            WHERE l_partkey = (SELECT max(l_partkey) FROM lineitem) AND l_suppkey =
+              (SELECT max(l_suppkey) FROM lineitem
+               WHERE l_partkey = (SELECT max(l_partkey) FROM lineitem))""",
+        "interleaved_roundtrip": """
+            SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
+        "contract_report": """
+            WITH c AS (
+              SELECT c_custkey, c_name, c_nationkey,
+                     CASE c_nationkey % 3 WHEN 0 THEN '' WHEN 1 THEN c_mktsegment END AS c_mktsegment
+              FROM customer)
+            SELECT 'c_custkey' AS column_name, count(*) AS n, count(*) - count(c_custkey) AS nulls,
+                   0 AS blanks, CAST(min(c_custkey) AS VARCHAR) AS least,
+                   CAST(max(c_custkey) AS VARCHAR) AS most FROM c
+            UNION ALL SELECT 'c_name', count(*), count(*) - count(c_name),
+                   count(*) FILTER (c_name = ''), min(c_name), max(c_name) FROM c
+            UNION ALL SELECT 'c_nationkey', count(*), count(*) - count(c_nationkey), 0,
+                   CAST(min(c_nationkey) AS VARCHAR), CAST(max(c_nationkey) AS VARCHAR) FROM c
+            UNION ALL SELECT 'c_mktsegment', count(*), count(*) - count(c_mktsegment),
+                   count(*) FILTER (c_mktsegment = ''), min(c_mktsegment), max(c_mktsegment)
+            FROM c""",
+        "adhoc_sql_functions": """
+            SELECT c_nationkey, min(c_custkey) AS c_custkey,
+                   nullif(arg_min(CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END,
+                                  c_custkey), '') AS c_mktsegment
+            FROM customer GROUP BY c_nationkey""",
+        "declared_types": """
+            SELECT event_id AS "key", CAST(event_id % 60000 AS BIGINT) AS small_count,
+                   CAST(event_id % 4000000000 AS BIGINT) AS count,
+                   CAST(event_id % 100 - 50 AS BIGINT) AS short,
+                   CAST(event_id - 500 AS BIGINT) AS number, event_id / 4 AS amount,
+                   event_id % 2 = 0 AS flag,
+                   CAST(CAST('2020-01-01' AS DATE) + CAST(event_id % 1000 AS INTEGER) AS VARCHAR) AS day,
+                   strftime(CAST('2020-01-01' AS TIMESTAMP) + to_seconds(event_id % 86400),
+                            '%Y-%m-%d %H:%M:%S') AS moment, event_type AS name
+            FROM events""",
+        "build_gold_codes": """
+            SELECT 'cnaes' AS tbl, CAST(r_regionkey AS VARCHAR) AS code,
+                   nullif(r_name, '') AS description FROM region
+            UNION ALL SELECT 'cnae_alimenticio', CAST(r_regionkey AS VARCHAR), r_name FROM region
+            UNION ALL SELECT 'naturezas', CAST(n_nationkey AS VARCHAR),
+                   nullif(CASE WHEN n_regionkey = 1 THEN '' ELSE n_name END, '') FROM nation
+            UNION ALL SELECT 'qualificacoes', CAST(p_partkey AS VARCHAR), p_name FROM part""",
         "append_retry": """
             SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
         "ingest_incremental": _REGISTRY
@@ -813,7 +966,8 @@ def lake_sql() -> dict[str, str]:
             UNION ALL SELECT 'municipios', count(*) FROM nation
             UNION ALL SELECT 'cnaes', count(*) FROM region
             UNION ALL SELECT 'cnae_alimenticio', count(*) FROM region
-            UNION ALL SELECT unnest(['naturezas', 'qualificacoes']), 0""",
+            UNION ALL SELECT 'naturezas', count(*) FROM nation
+            UNION ALL SELECT 'qualificacoes', count(*) FROM part""",
         "build_gold_empresas": _REGISTRY + f"SELECT {_gold_columns()} FROM gold",
         "build_gold_socios": _REGISTRY
         + """

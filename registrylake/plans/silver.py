@@ -12,7 +12,12 @@ from registrylake.operators.joins import keep_known_keys
 from registrylake.operators.keys import distinct_keys
 from registrylake.operators.rows import exclude_codes
 from registrylake.plans.parallel import run_all
-from registrylake.schemas import DATASETS, SINGLE_FILE_DATASETS, UNUSED_COLUMNS
+from registrylake.schemas import (
+    DATASETS,
+    SILVER_INTERLEAVING,
+    SINGLE_FILE_DATASETS,
+    UNUSED_COLUMNS,
+)
 from registrylake.sources.archives import manifest, matching
 from registrylake.sources.delimited import (
     accepted,
@@ -46,6 +51,8 @@ def ingest_silver(
     drop_unused: bool = False,
     allow_missing: bool = False,
     incremental: bool = False,
+    interleave: bool = False,
+    profile: bool = False,
     **scan_options,
 ) -> None:
     """Replace all silver tables from a bronze folder, in one step once all are written.
@@ -59,6 +66,9 @@ def ingest_silver(
     With ``incremental`` the parsed rows of every archive are kept beside the layer, by name
     and checksum: only archives that changed are inflated, and only tables are written that
     something they depend on changed for. The result is that of a full ingest.
+
+    With ``interleave`` establishments are laid out for lookups by state, by city and by key
+    alike, at the price of a shuffle. With ``profile`` every table is measured as it is written.
     """
     files = Files(spark)
     source = files.qualified(source)
@@ -72,16 +82,16 @@ def ingest_silver(
         ledger = Ledger(spark, f"{silver.location}/_parsed") if incremental else None
         with silver.build() as new:
             _ingest(
-                spark, source, new, excluded, quarantine, drop_unused, allow_missing, ledger,
-                folder, listed, scan_options,
+                spark, source, new, excluded, quarantine, drop_unused, allow_missing, interleave,
+                profile, ledger, folder, listed, scan_options,
             )
     finally:
         files.delete(folder)
 
 
 def _ingest(
-    spark, source, new, excluded, quarantine, drop_unused, allow_missing, ledger, folder, listed,
-    scan_options,
+    spark, source, new, excluded, quarantine, drop_unused, allow_missing, interleave, profile,
+    ledger, folder, listed, scan_options,
 ) -> None:
     files = new.files
 
@@ -118,21 +128,23 @@ def _ingest(
             return
         scanned, origin = found
         if origin:
-            origin = digest(origin, quarantine, drop_unused, *depends)
+            origin = digest(origin, quarantine, drop_unused, interleave, profile, *depends)
             if new.exists(table) and new.origin(table) == origin:
                 log.info("table %s is current", table)
                 return
         dataset = DATASETS[table]
         unused = UNUSED_COLUMNS.get(table, []) if drop_unused else []
         lookups = [entry for entry in dataset.lookups if entry not in unused]
+        interleaving = SILVER_INTERLEAVING.get(table, ()) if interleave else ()
+        written = {"origin": origin, "interleaving": interleaving, "profile": profile}
         if not quarantine:
-            new.replace(table, keep(strict(scanned)).drop(*unused), lookups, origin=origin)
+            new.replace(table, keep(strict(scanned)).drop(*unused), lookups, **written)
             new.drop(f"{table}_rejected")
             return
         if origin is None:
             # Archives are dear to read: what they hold is written once, then split.
             scanned = staged(scanned, f"{folder}/{table}")
-        new.replace(table, keep(accepted(scanned)).drop(*unused), lookups, origin=origin)
+        new.replace(table, keep(accepted(scanned)).drop(*unused), lookups, **written)
         bad = rejected(scanned)
         if bad.isEmpty():
             new.drop(f"{table}_rejected")

@@ -92,6 +92,9 @@ UNUSED_COLUMNS = {"estabelecimentos": ["ddd_fax", "fax"]}
 # Physical order of the one gold table whose lookups do not all start with its key.
 GOLD_CLUSTERING = {"empresas": ["uf", "municipio_code", "cnpj_base"]}
 
+# Physical order of the one silver table that is looked up by columns of few values.
+SILVER_INTERLEAVING = {"estabelecimentos": ["uf", "municipio_code", "cnpj_base"]}
+
 _SPARK_TYPES = {
     "text": T.StringType(),
     "i64": T.LongType(),

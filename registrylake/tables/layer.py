@@ -3,17 +3,27 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import threading
 import uuid
 from collections.abc import Iterable
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from registrylake.operators.keys import distinct_values, row_count
 from registrylake.schemas import Dataset
 from registrylake.sources.files import Files
+from registrylake.tables.layout import (
+    hashed_paths,
+    interleaved,
+    key_hash,
+    leading_columns,
+    paths_of,
+    with_hashes,
+)
 from registrylake.tables.markers import Markers, folder_name, older
+from registrylake.tables.work import staged, work_folder
 
 #: Names that appends use while they write start so.
 _ASIDE = "_batch"
@@ -24,17 +34,6 @@ class ConcurrentWrite(RuntimeError):
     """Another writer changed the same table since this one started."""
 
 
-def leading_columns(table: str, lookups: Iterable[str | list[str]]) -> list[str]:
-    """Columns that start a lookup path, each once. An empty path is an error."""
-    leading = {}
-    for entry in lookups:
-        path = [entry] if isinstance(entry, str) else list(entry)
-        if not path:
-            raise ValueError(f"Empty lookup path for table {table!r}")
-        leading[path[0]] = None
-    return list(leading)
-
-
 class Layer:
     """Tables of one layer, by name.
 
@@ -52,8 +51,10 @@ class Layer:
 
     Lookups by a column are served without indexes: each column that starts a declared
     path gets a Bloom filter per row group where Parquet writes one (not for columns of few
-    values), and a table written with ``clustering`` is laid out by ranges of those columns,
-    so a lookup along them reads few files.
+    values), and so does a stored hash of each composite path that needs one, which only
+    ``lookup`` sees. A table written with ``clustering`` is laid out by ranges of those columns,
+    so a lookup along them reads few files; with ``interleaving`` by ranges of all of them at
+    once, so a lookup by any one of them does.
     """
 
     def __init__(self, spark: SparkSession, name: str, location: str):
@@ -131,17 +132,18 @@ class Layer:
             self.spark.sql(f"DROP TABLE {name}")
         if entry:
             path = self._path(table, entry["version"])
-            self._create(name, path, T.StructType.fromJson(entry["schema"]), table, entry["lookups"])
+            self._create(name, path, T.StructType.fromJson(entry["schema"]), table, entry)
 
-    def _create(self, name: str, path: str, schema: T.StructType, table: str, lookups: list) -> None:
-        options = self._writing(table, lookups) | {"recursiveFileLookup": "true"}
+    def _create(self, name: str, path: str, schema: T.StructType, table: str, entry: dict) -> None:
+        options = self._writing(table, entry["lookups"], entry["hashes"])
+        options |= {"recursiveFileLookup": "true"}
         self.spark.catalog.createTable(name, path=path, source="parquet", schema=schema, **options)
 
     @staticmethod
-    def _writing(table: str, lookups: list) -> dict[str, str]:
+    def _writing(table: str, lookups: list, hashes: Iterable[str] = ()) -> dict[str, str]:
         """Options with which files of the table are written."""
         options = {"compression": "zstd"}
-        for column in leading_columns(table, lookups):
+        for column in [*leading_columns(table, lookups), *hashes]:
             options["parquet.bloom.filter.adaptive.enabled"] = "true"
             options[f"parquet.bloom.filter.enabled#{column}"] = "true"
         return options
@@ -164,9 +166,85 @@ class Layer:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self._qualified(table))
 
+    @staticmethod
+    def _stored(entry: dict) -> T.StructType:
+        """The columns in the files: those of the table and the hashes of composite paths."""
+        declared = T.StructType.fromJson(entry["schema"])
+        return T.StructType([*declared, *[T.StructField(name, T.LongType()) for name in entry["hashes"]]])
+
+    def lookup(self, table: str, **values) -> DataFrame:
+        """Rows with these values; NULL stands for NULL.
+
+        Values are those of the stored types. Row groups are passed over by the Bloom filters
+        of single columns, and of every composite path whose columns all have a value.
+        """
+        self._qualified(table)
+        entry = self._markers.last()[1].get(table)
+        if entry is None:
+            raise ValueError(f"No table {table!r} in layer {self.name}")
+        schema = T.StructType.fromJson(entry["schema"])
+        unknown = sorted(set(values) - set(schema.names))
+        if unknown:
+            raise ValueError(f"Columns {unknown} are not in table {table!r}")
+        given = {name: F.lit(value).cast(schema[name].dataType) for name, value in values.items()}
+        rows = self.spark.read.schema(self._stored(entry)).option("recursiveFileLookup", True)
+        rows = rows.parquet(self._path(table, entry["version"]))
+        for name, value in given.items():
+            rows = rows.where(F.col(name).isNull() if values[name] is None else F.col(name) == value)
+        for name, path in entry["hashes"].items():
+            if all(values.get(column) is not None for column in path):
+                rows = rows.where(F.col(name) == key_hash(given[column] for column in path))
+        return rows.select(schema.names)
+
+    def profile(self, table: str) -> DataFrame:
+        """What was measured while the table was written, if it was written with a profile.
+
+        One row per column: ``column_name, n, nulls, blanks, least, most``; the ends as text.
+        Rows appended later do not count.
+        """
+        self._qualified(table)
+        entry = self._markers.last()[1].get(table) or {}
+        rows = [tuple(row) for row in entry.get("profile") or []]
+        schema = "column_name string, n long, nulls long, blanks long, least string, most string"
+        return self.spark.createDataFrame(rows, schema)
+
+    def _functions(self, sql: str) -> None:
+        """Functions that return tables, for the tables that a query calls them for."""
+        for table, kind in set(re.findall(r"\b(\w+)_(blank_to_null|first_per)`?\s*\(", sql)):
+            if not self.exists(table):
+                continue
+            name, fields = self._qualified(table), self.read(table).schema.fields
+            columns = ", ".join(f"`{f.name}`" for f in fields)
+            if kind == "blank_to_null":
+                values = [
+                    f"nullif(`{f.name}`, '') AS `{f.name}`" if f.dataType == T.StringType() else f"`{f.name}`"
+                    for f in fields
+                ]
+                parameter, body = "", f"SELECT {', '.join(values)} FROM {name}"
+            else:
+                keys = " ".join(f"WHEN '{f.name}' THEN CAST(`{f.name}` AS STRING)" for f in fields)
+                unknown = "raise_error(concat('not a column of the table: ', key))"
+                order = ", ".join(f"`{f.name}` ASC NULLS LAST" for f in fields)
+                parameter = "key STRING"
+                body = (
+                    f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY CASE key {keys} "
+                    f"ELSE {unknown} END ORDER BY {order}) AS _rank FROM {name}) WHERE _rank = 1"
+                )
+            returned = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            self.spark.sql(
+                f"CREATE OR REPLACE FUNCTION `{self.name}`.`{table}_{kind}`({parameter}) "
+                f"RETURNS TABLE({returned}) RETURN {body}"
+            )
+
     def query(self, sql: str) -> DataFrame:
         """A query over the tables of this layer. Only queries parse as a subquery, so
-        statements that change data are refused."""
+        statements that change data are refused.
+
+        For every table there are two functions that return a table:
+        ``<table>_blank_to_null()``, with NULL for empty text, and ``<table>_first_per('column')``,
+        one row per value of a column, the smallest by all columns in order, NULLs last.
+        """
+        self._functions(sql)
         with _database:  # one at a time: the current database belongs to the session
             before = self.spark.catalog.currentDatabase()
             self.spark.catalog.setCurrentDatabase(self.name)
@@ -205,10 +283,11 @@ class Layer:
         df: DataFrame,
         lookups: Iterable[str | list[str]] = (),
         clustering: Iterable[str] = (),
+        **options,
     ) -> None:
-        """Write the table in one pass, replacing what was there once all is written."""
+        """Write the table, replacing what was there once all is written; see ``Build.replace``."""
         with self.build() as new:
-            new.replace(table, df, lookups, clustering)
+            new.replace(table, df, lookups, clustering, **options)
 
     def append(self, table: str, df: DataFrame, batch: str | None = None) -> bool:
         """Add rows by column name; absent columns are NULL, unknown ones an error.
@@ -237,9 +316,9 @@ class Layer:
         if self.files.exists(target):
             return False
         # Names that start with an underscore are not read.
-        self._create(f"`{self.name}`.`{own}`", aside, stored, table, entry["lookups"])
+        self._create(f"`{self.name}`.`{own}`", aside, self._stored(entry), table, entry)
         try:
-            rows.write.insertInto(f"`{self.name}`.`{own}`")
+            with_hashes(rows, entry["hashes"]).write.insertInto(f"`{self.name}`.`{own}`")
             added = self.files.rename_new(aside, target)
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS `{self.name}`.`{own}`")
@@ -324,31 +403,83 @@ class Build:
         df: DataFrame,
         lookups: Iterable[str | list[str]] = (),
         clustering: Iterable[str] = (),
+        *,
+        interleaving: Iterable[str] = (),
         origin: str | None = None,
+        profile: bool = False,
     ) -> None:
-        """Write a new version of the table in one pass.
+        """Write a new version of the table.
 
-        ``origin`` may name what the rows come from, to tell later whether they are current.
+        With ``clustering`` files are ranges of these columns, in order; with ``interleaving``
+        they are ranges of all of them at once. Either way the rows are written aside first, as
+        ranges are found by reading them twice. ``origin`` may name what the rows come from, to
+        tell later whether they are current. With ``profile`` the columns are measured in the
+        pass that writes them.
         """
         self.layer._qualified(table)
-        lookups, clustering = list(lookups), list(clustering)
-        options = self.layer._writing(table, lookups)
-        if clustering:
-            # Ranges are cut by a sample, so a frequent value spreads over several files
-            # by the columns after it.
-            df = df.repartitionByRange(*clustering).sortWithinPartitions(*clustering)
+        lookups, clustering, interleaving = list(lookups), list(clustering), list(interleaving)
+        paths_of(table, lookups)
+        hashes = hashed_paths(table, lookups, clustering)
+        options = self.layer._writing(table, lookups, hashes)
+        fields = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
         version = folder_name(self._number, uuid.uuid4().hex)
-        path = self.layer._path(table, version)
+        path, aside = self.layer._path(table, version), None
+        observed = Observation()
         try:
+            if clustering or interleaving:
+                aside = work_folder(self.spark)
+                df = staged(df, aside)
+            if profile:
+                df = df.observe(observed, *_measures(fields))
+            df = with_hashes(df, hashes)
+            if clustering:
+                # Ranges are cut by a sample, so a frequent value spreads over several files
+                # by the columns after it.
+                df = df.repartitionByRange(*clustering).sortWithinPartitions(*clustering)
+            elif interleaving:
+                place = "_place"
+                df = df.withColumn(place, interleaved(df, interleaving))
+                df = df.repartitionByRange(place, *interleaving).sortWithinPartitions(place, *interleaving)
+                df = df.drop(place)
             df.write.options(**options).parquet(path)
         except BaseException:
             self.files.delete(path)
             raise
-        fields = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
-        entry = {"version": version, "schema": fields.jsonValue(), "lookups": lookups, "origin": origin}
+        finally:
+            if aside:
+                self.files.delete(aside)
+        entry = {"version": version, "schema": fields.jsonValue(), "lookups": lookups}
+        entry |= {"hashes": hashes, "origin": origin}
+        if profile:
+            entry["profile"] = _profiled(fields, observed.get)
         self._changes[table] = entry
 
     def drop(self, table: str) -> None:
         """Leave the table out of what is published."""
         if self.exists(table):
             self._changes[table] = None
+
+
+def _measures(fields: T.StructType) -> list[Column]:
+    """Measures of all columns; each is named by its column's number."""
+    measures = [F.count(F.lit(1)).alias("n")]
+    for i, field in enumerate(fields):
+        column = F.col(field.name)
+        blank = column == "" if isinstance(field.dataType, T.StringType) else F.lit(False)
+        measures += [F.count(column).alias(f"filled{i}"), F.count_if(blank).alias(f"blanks{i}")]
+        if not isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
+            measures += [
+                end(column).cast("string").alias(f"{name}{i}")
+                for name, end in (("least", F.min), ("most", F.max))
+            ]
+    return measures
+
+
+def _profiled(fields: T.StructType, measured: dict) -> list[list]:
+    """Rows of a profile."""
+    n = measured["n"]
+    return [
+        [field.name, n, n - measured[f"filled{i}"], measured[f"blanks{i}"],
+         measured.get(f"least{i}"), measured.get(f"most{i}")]
+        for i, field in enumerate(fields)
+    ]

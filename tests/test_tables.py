@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from registrylake.schemas import DATASETS
 from registrylake.sources.files import Files, pyarrow_uri, resolve
 from registrylake.tables.layer import Build, ConcurrentWrite, Layer
+from registrylake.tables.layout import hashed_paths
 from registrylake.tables.work import staged, work_folder
 
 LANDS = [{"pais_code": 13, "pais_name": "Afeganistao"}, {"pais_code": 531}, {"pais_code": 639, "pais_name": ""}]
@@ -333,11 +334,107 @@ def test_lookups_become_bloom_filters(spark, layer, tmp_path):
         for column in footer.getBlocks().get(0).getColumns()
         if column.getBloomFilterOffset() > 0
     ]
-    assert with_bloom == ["k"]
+    assert with_bloom == ["k", "_key_k_n"]
     with pytest.raises(ValueError, match="Empty lookup path"):
         layer.replace("t", df, ["k", []])
 
 
+def rows_scanned(df):
+    """Rows that the scan of a plan without shuffles gave, row groups passed over left out."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.apply(0).metrics().get("numOutputRows").get().value()
+
+
+def test_composite_lookups_pass_over_row_groups(spark, layer):
+    df = spark.range(0, 200_000, 1, 1).selectExpr(
+        "id", "concat('c', id % 5000) AS city", "concat('a', (id * 7919) % 6007) AS activity", "id % 3 AS x"
+    )
+    lookups = ["id", ["city", "activity"], ["id", "city"]]
+    small = {"parquet.block.size": str(256 << 10), "parquet.bloom.filter.max.bytes": str(64 << 10)}
+    for key, value in small.items():
+        spark._jsc.hadoopConfiguration().set(key, value)
+    try:
+        layer.replace("t", df, lookups)
+    finally:
+        for key in small:
+            spark._jsc.hadoopConfiguration().unset(key)
+    assert layer.columns("t") == {"id": "bigint", "city": "string", "activity": "string", "x": "bigint"}
+    want = df.where("id = 123456").first()
+    found = layer.lookup("t", city=want.city, activity=want.activity)
+    assert rows(found) == rows(df.where((F.col("city") == want.city) & (F.col("activity") == want.activity)))
+    by_hash, by_column = rows_scanned(found), rows_scanned(layer.lookup("t", activity=want.activity))
+    assert 0 < by_hash * 5 < by_column
+    # Appended rows are found by the same path.
+    layer.append("t", spark.createDataFrame([(-1, want.city, want.activity)], "id long, city string, activity string"))
+    assert layer.lookup("t", city=want.city, activity=want.activity).count() == found.count() + 1
+    assert rows(layer.lookup("t", id=-1, x=None)) == [(-1, want.city, want.activity, None)]
+    assert layer.lookup("t", city=want.city, activity=None).count() == 0
+    with pytest.raises(ValueError, match="not in table"):
+        layer.lookup("t", other=1)
+    with pytest.raises(ValueError, match="No table"):
+        layer.lookup("none", other=1)
+
+
+def test_which_paths_are_hashed():
+    assert list(hashed_paths("t", ["k", ["k", "a"], ["a", "b"], ["a", "c"]], ["a", "b", "k"]).values()) == [["a", "c"]]
+
+
+def test_interleaved_layout_serves_every_column(spark, layer):
+    df = spark.range(0, 60_000, 1, 4).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'SP' ELSE concat('U', hash(id) % 25) END AS uf",
+        "pmod(hash(id, 1), 5000) AS city", "sha2(cast(id AS string), 256) AS k",
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        layer.replace("t", df, ["k", "uf", "city"], interleaving=["uf", "city", "k"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = layer.read("t").withColumn("file", F.input_file_name())
+    assert rows(stored.drop("file")) == rows(df)
+    ranges = stored.groupBy("file").agg(*[f(c).alias(f"{n}_{c}") for c in df.columns for n, f in (("lo", F.min), ("hi", F.max))])
+    ranges = ranges.collect()
+    assert len(ranges) > 50
+    probes = df.sample(0.002, seed=3).collect()
+    # Of n files a lookup by one of three columns meets about n ** (2 / 3); twice as many at
+    # most, as a range of the order may lie across the border of two cells.
+    bound = 2 * len(ranges) ** (2 / 3)
+    for column in ("city", "k"):
+        met = [sum(r[f"lo_{column}"] <= p[column] <= r[f"hi_{column}"] for r in ranges) for p in probes]
+        assert sum(met) / len(met) <= bound
+    rare = [p for p in probes if p.uf != "SP"]
+    met = [sum(r.lo_uf <= p.uf <= r.hi_uf for r in ranges) for p in rare]
+    assert sum(met) / len(met) <= bound
+
+
+def test_profile_is_measured_with_the_write(spark, layer):
+    df = spark.createDataFrame([(1, "", 1.5), (None, "b", None), (3, None, -2.0)], "n int, s string, v double")
+    layer.replace("t", df.repartition(3), profile=True)
+    want = [("n", 3, 1, 0, "1", "3"), ("s", 3, 1, 1, "", "b"), ("v", 3, 1, 0, "-2.0", "1.5")]
+    assert rows(layer.profile("t")) == want
+    again = Layer(spark, f"again_{uuid.uuid4().hex}", layer.location)
+    assert rows(again.profile("t")) == want
+    layer.replace("t", df)
+    assert layer.profile("t").count() == 0
+
+
+def test_functions_that_return_tables(spark, layer):
+    df = spark.createDataFrame([(1, "", "x"), (1, "a", None), (2, "b", "y"), (None, "c", "")], "k int, s string, t string")
+    layer.replace("t", df)
+    assert rows(layer.query("SELECT * FROM t_first_per('k')")) == [(1, "", "x"), (2, "b", "y"), (None, "c", "")]
+    assert rows(layer.query("SELECT s, t FROM t_blank_to_null() WHERE k = 1")) == [("a", None), (None, "x")]
+    joined = layer.query("SELECT a.k FROM t_first_per('k') a LEFT SEMI JOIN t_blank_to_null() b ON a.s = b.s")
+    assert rows(joined) == [(2,), (None,)]
+    plan = layer.query("SELECT * FROM t_first_per('k')")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    layer.replace("t", df.select("k", "s"))
+    assert layer.query("SELECT * FROM t_first_per('s')").columns == ["k", "s"]
+    with pytest.raises(Exception, match="not a column"):
+        layer.query("SELECT * FROM t_first_per('t')").collect()
+
+
 def test_created_tables_are_written_for_their_lookups(spark, layer):
     layer.create("socios", DATASETS["socios"])
     options = spark.sql(f"SHOW CREATE TABLE {layer.name}.socios").first()[0]
