@@ -16,7 +16,6 @@ from __future__ import annotations
 import fnmatch
 import logging
 import re
-import sys
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -24,14 +23,11 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from registrylake.sources.files import Files, resolve
 from registrylake.tables.work import staged, work_folder
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 log = logging.getLogger(__name__)
 
 MANIFEST_SCHEMA = (

@@ -11,17 +11,12 @@ import errno
 import fnmatch
 import os
 import posixpath
-import sys
 import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyarrow import fs
-from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
-# Ship this module's code with the tasks, so executors need no installed package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 #: Hadoop schemes that pyarrow knows by another name.
 _SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
