@@ -166,7 +166,8 @@ class Encoder:
         self._a.encode_special_tokens = True
         self._b = sentencepiece.SentencePieceProcessor(model_proto=b)
         self.bytes_a, self.bytes_b = bytes_of_a(self._a), bytes_of_b(self._b)
-        self._lengths = [np.array([*map(len, t)], np.int64) for t in (self.bytes_a, self.bytes_b)]
+        tables = self.bytes_a, self.bytes_b
+        self.lengths = tuple(np.array([*map(len, t)], np.int64) for t in tables)
         self.divides = a_divides(self._a) and b_divides(self._b)
         self._new: dict[str, tuple[bytes, bytes, bool]] = {}
         self._old: dict[str, tuple[bytes, bytes, bool]] = {}
@@ -190,7 +191,7 @@ class Encoder:
         *ids, same = self._whole(" ".join(parts))
         stops = np.cumsum([len(part.encode()) + 1 for part in parts])
         sides = []
-        for numbers, lengths in zip(ids, self._lengths, strict=True):
+        for numbers, lengths in zip(ids, self.lengths, strict=True):
             numbers = np.array(numbers, np.int32)
             ends = np.cumsum(lengths[numbers])
             at = np.searchsorted(ends, stops)
@@ -396,22 +397,19 @@ class Speller:
 # Whole tables
 
 
-class _Vocabularies:
+def vocabularies(path_a: str, path_b: str) -> dict:
     """What tasks need of both vocabularies; its size does not depend on documents."""
+    b = Path(path_b).read_bytes()
+    width = sentencepiece.SentencePieceProcessor(model_proto=b).vocab_size()
+    return {"a": read_tokenizer(path_a).to_str(), "b": b, "width": width}
 
-    def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = read_tokenizer(path_a).to_str(), Path(path_b).read_bytes()
-        model = sentencepiece.SentencePieceProcessor(model_proto=self.b)
-        self.width = model.vocab_size()
-        self._ready = None
 
-    def encoder(self) -> tuple[Encoder, tuple[np.ndarray, np.ndarray]]:
-        """Made once per worker, which keeps what was broadcast to it from task to task."""
-        if self._ready is None:
-            encoder = Encoder(self.a, self.b)
-            tables = encoder.bytes_a, encoder.bytes_b
-            self._ready = encoder, tuple(np.array([*map(len, t)], np.int64) for t in tables)
-        return self._ready
+def ready(shared: dict) -> tuple[Encoder, tuple[np.ndarray, np.ndarray]]:
+    """The encoder and the bytes of each id; made once per worker, which keeps what was
+    broadcast to it from task to task."""
+    if "encoder" not in shared:
+        shared["encoder"] = Encoder(shared["a"], shared["b"])
+    return shared["encoder"], shared["encoder"].lengths
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -423,10 +421,10 @@ def token_groups(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     The range is one of the bytes of a space and the text.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_Vocabularies(path_a, path_b))
+    shared = docs.sparkSession.sparkContext.broadcast(vocabularies(path_a, path_b))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, lengths = shared.value.encoder()
+        encoder, lengths = ready(shared.value)
         for batch in small_batches(batches, "text", _BATCH):
             groups = group_tokens(encoder, batch.column("text").to_pylist(), lengths)
             count = np.diff(groups.g_of)
@@ -460,16 +458,16 @@ def _numbers(counts) -> pa.Array:
     return pa.array(np.asarray(counts, np.int64))
 
 
-def described(docs: DataFrame, vocabularies: _Vocabularies) -> DataFrame:
+def described(docs: DataFrame, vocabulary: dict) -> DataFrame:
     """Counts and hash of each document, with its pairs and their links as two arrays."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabularies)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, lengths = shared.value.encoder()
+        encoder, lengths = ready(shared.value)
         speller = Speller(len(lengths[0]), len(lengths[1]))
         for batch in small_batches(batches, "text", _BATCH):
             groups = group_tokens(encoder, batch.column("text").to_pylist(), lengths)
-            text, pair, links = pair_links(groups, shared.value.width)
+            text, pair, links = pair_links(groups, shared.value["width"])
             offsets = np.searchsorted(text, np.arange(batch.num_rows + 1))
             running = np.append(0, np.cumsum(links))
             hashes = [hashlib.sha256(s).hexdigest() if s else "" for s in speller.spell(groups)]
@@ -531,9 +529,9 @@ def align(docs: DataFrame, path_a: str, path_b: str, room: int = ROOM) -> DataFr
     groups_sha256``. ``count_sum`` adds up, over all links, in how many documents of the table
     the pair is linked; ``n_best`` counts the links whose pair is the most frequent of its A id.
     """
-    vocabularies = _Vocabularies(path_a, path_b)
-    rows = staged(described(docs, vocabularies))
-    counts = staged(pair_counts(rows, vocabularies.width))
+    vocabulary = vocabularies(path_a, path_b)
+    rows = staged(described(docs, vocabulary))
+    counts = staged(pair_counts(rows, vocabulary["width"]))
     least = least_frequency(counts, room)
     frequent = counts.where(F.col("n") >= least).toArrow()
     looked = looked_up(rows, frequent)

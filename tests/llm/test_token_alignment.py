@@ -158,10 +158,10 @@ def test_pieces_give_the_shared_ends(piece):
 
 
 def test_division_and_long_texts(models, monkeypatch):
-    encoder = ta._Vocabularies(A, B).encoder()[0]
+    encoder = ta.ready(ta.vocabularies(A, B))[0]
     assert encoder.divides
     texts = [t for t in ODD if t] + [t for _, t in prose(40, 5)] + [" ".join(t for _, t in prose(300, 6))]
-    whole = ta._Vocabularies(A, B).encoder()[0]
+    whole = ta.ready(ta.vocabularies(A, B))[0]
     whole.divides = False
     for stretch, kept in ((1 << 20, 1 << 18), (50, 3)):
         monkeypatch.setattr(ta, "_STRETCH", stretch)
