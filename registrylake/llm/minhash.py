@@ -3,7 +3,8 @@
 1. One pass over the texts keeps, per document, the size and a 128-bit hash of its set of
    5-word shingles, 36 band keys of 7 minima each (5 for a threshold of 80 percent), and the
    low 2 bits of 256 minima packed into 8 longs. Texts are not shuffled for it.
-2. Documents with equal sets are one class; the smallest id stands for it.
+2. Documents with equal sets are one class, which has a number; the text of its smallest id
+   stands for it.
 3. Classes that share a band key are candidates. Every bucket has a hub, the member with
    most company over all its buckets. Signatures tell how similar members are to the hub, by
    the number of equal bits corrected for chance. Only members that are not close to their
@@ -22,8 +23,9 @@ threshold, and that of a signature 4.5 deviations off.
 Defined results
 - No words (NULL, empty or blank text): no shingles, linked with nothing, kept.
 - Fewer than five words: one shingle, the whole sequence.
-- Rows that share a doc_id are one document and stay or go together; a row without doc_id
-  is linked with nothing and kept. Other columns, whatever their names, play no part.
+- Rows that share a doc_id are one document: each of its texts links it, and all stay or go
+  together. A row without doc_id is linked with nothing and kept. Other columns, whatever
+  their names, play no part.
 - An empty table gives an empty result.
 """
 
@@ -44,6 +46,7 @@ from registrylake.llm.shingles import (
     shingle_set,
     small_batches,
 )
+from registrylake.operators.joins import join_on_key
 from registrylake.tables.work import staged
 
 MIN_PERCENT = 85
@@ -67,7 +70,8 @@ _BAND_SEEDS = _random.integers(0, 1 << 63, BANDS, np.uint64)
 _SHIFTS = (np.arange(_LANES, dtype=np.uint64) * np.uint64(BITS)).reshape(1, _LANES)
 
 _FEATURES = (
-    "doc_id long, n_shingles long, set_high long, set_low long, bands array<long>, sig array<long>"
+    "doc_id long, n_shingles long, set_high long, set_low long, bands array<long>, sig array<long>, "
+    "mark long"
 )
 
 
@@ -141,7 +145,7 @@ def _features(band: int):
             kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2
             names = ["doc_id", "n_shingles", "set_high", "set_low", "bands", "sig"]
             columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays([*columns, batch.column("mark")], [*names, "mark"])
 
     return run
 
@@ -328,7 +332,7 @@ def _clusters(heads: DataFrame, most: int) -> DataFrame:
     """``doc, cluster, company``: classes that close signatures within buckets connect."""
     banded = heads.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = staged(banded.join(shared, "key"))
+    members = staged(join_on_key(banded, shared, "key", "inner"))
     company = members.groupBy("doc").agg(F.sum("n").alias("company"))
     signed = staged(
         heads.select(F.col("doc_id").alias("doc"), "sig", "n_shingles").join(company, "doc")
@@ -338,14 +342,14 @@ def _clusters(heads: DataFrame, most: int) -> DataFrame:
         F.max(F.struct("company", -F.col("doc"), "sig")).alias("hub")
     )
     marked = staged(
-        members.join(hubs, "key").select(
+        join_on_key(members, hubs, "key", "inner").select(
             "key", "doc", "sig", "n", (-F.col("hub.col2")).alias("hub"),
             (_unequal(F.col("sig"), F.col("hub.sig")) <= most).alias("close"),
         )
     )
     stars = marked.where("close AND doc != hub").select(F.col("hub").alias("a"), F.col("doc").alias("b"))
     far = marked.where("NOT close").groupBy("key").agg(F.count(F.lit(1)).alias("far"))
-    opened = marked.join(far, "key").withColumns(
+    opened = join_on_key(marked, far, "key", "inner").withColumns(
         {"h": F.xxhash64("doc"), "blocks": _blocks(F.col("n")), "parts": _blocks(F.col("far"))}
     )
     cells = _crossed(opened.where("NOT close"), opened, ["doc", "sig"])
@@ -411,24 +415,42 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
     the document to keep.
     """
     most = most_unequal(percent)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark")
+    )
     features = staged(docs.mapInArrow(_features(band_rows(percent)), _FEATURES))
 
     linkable = features.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["set_high", "set_low"]
-    classes = staged(linkable.groupBy(*same).agg(F.min("doc_id").alias("doc_id")))
-    heads = linkable.join(classes, [*same, "doc_id"], "left_semi").dropDuplicates(["doc_id"])
+    # An id may stand for several classes, so classes have numbers, which hold once written.
+    first = linkable.groupBy(*same).agg(F.min("doc_id").alias("doc_id"))
+    first = linkable.join(first, [*same, "doc_id"]).groupBy(*same, "doc_id").agg(F.min("mark").alias("mark"))
+    classes = staged(first.withColumn("class", F.monotonically_increasing_id()))
+    heads = (
+        linkable.join(classes, [*same, "doc_id", "mark"])
+        .dropDuplicates(["class"])
+        .select(F.col("class").alias("doc_id"), "n_shingles", "bands", "sig")
+    )
 
     clusters = staged(_clusters(heads, most))
     # Named a merge, so that texts are sent to the few wanted ids alike at every size.
-    wanted = clusters.select(F.col("doc").alias("doc_id")).hint("merge")
-    texts = docs.join(wanted, "doc_id", "left_semi")
+    wanted = (
+        clusters.select(F.col("doc").alias("class"))
+        .join(classes.select("class", "doc_id", "mark"), "class")
+        .hint("merge")
+    )
+    texts = docs.join(wanted, ["doc_id", "mark"]).select(F.col("class").alias("doc_id"), "text")
     sets = texts.mapInArrow(_sets, "doc_id long, shingles binary")
-    found = components(_links(clusters, sets, most, percent))
-
-    named = (
-        classes.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select(*same, F.coalesce("component", "doc_id").alias("component"))
+    links = _links(clusters, sets, most, percent).union(_same_id(linkable, classes, same))
+    found = components(links).select(F.col("node").alias("class"), "component")
+
+    # A component is named by the smallest id of its classes.
+    part = F.coalesce("component", "class").alias("component")
+    tagged = classes.join(found, "class", "left").select(*same, "doc_id", part)
+    least = tagged.join(found.select("component").distinct(), "component", "left_semi")
+    least = least.groupBy("component").agg(F.min("doc_id").alias("least"))
+    named = join_on_key(tagged, least, "component", "left").select(
+        *same, F.coalesce("least", "doc_id").alias("component")
     )
     component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), F.col("doc_id"))
     return (
@@ -439,6 +461,18 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
     )
 
 
+def _same_id(linkable: DataFrame, classes: DataFrame, same: list[str]) -> DataFrame:
+    """Links ``a, b`` between the classes of every id that has several."""
+    ends = [f(name).alias(f"{f.__name__}_{name}") for name in same for f in (F.min, F.max)]
+    several = linkable.groupBy("doc_id").agg(*ends).where(
+        " OR ".join(f"min_{name} != max_{name}" for name in same)
+    )
+    rows = linkable.select("doc_id", *same).join(several.select("doc_id"), "doc_id", "left_semi").distinct()
+    rows = staged(rows.join(classes.select(*same, "class"), same).select("doc_id", "class"))
+    stars = rows.groupBy("doc_id").agg(F.min("class").alias("a"))
+    return join_on_key(rows, stars, "doc_id", "inner").select("a", F.col("class").alias("b"))
+
+
 def keep_first(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
     """The documents but for those that have a near duplicate with a smaller doc_id."""
     dropped = near_duplicates(docs, percent).where("NOT kept").select("doc_id").distinct()

@@ -124,3 +124,22 @@ def test_lone_pairs_between_80_and_85(documents):
     near = [len(sets[2 * k] & sets[2 * k + 1]) / len(sets[2 * k] | sets[2 * k + 1]) for k in range(60)]
     assert all(0.8 <= x < 0.85 for x in near[1::2])
     check(docs, documents(docs), 80)
+
+
+def test_all_texts_of_a_repeated_id_link(documents):
+    from registrylake.llm.minhash import near_duplicates
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    one, two, three = ([word() for _ in range(80)] for _ in range(3))
+    near = lambda words: " ".join([*words, "more"])
+    docs = [
+        (1, " ".join(one)), (1, " ".join(two)), (2, near(one)), (3, near(two)), (3, near(two)),
+        (5, " ".join(three)), (5, ""), (5, None), (6, near(three)), (7, "alone here it stands now"),
+    ]
+    for order in (docs, docs[::-1]):
+        got = sorted((r["doc_id"], r["n_shingles"] > 0, r["component_id"]) for r in near_duplicates(documents(order)).collect())
+        assert got == sorted([
+            (1, True, 1), (1, True, 1), (2, True, 1), (3, True, 1), (3, True, 1), (5, True, 5),
+            (5, False, 5), (5, False, 5), (6, True, 5), (7, True, 7),
+        ])
