@@ -9,9 +9,10 @@ digits and dots; whether that makes a number is left to the base patterns. It ke
 piece of the copy the piece of the source that it came from. What is detected in the copy and
 touches a rewritten piece is mapped back and added.
 
-"at" or a lone @ before a domain with plain dots is mostly prose ("more at example.org"). It
-counts if something else speaks for an address: a dot, digit, + or _ in the name, a domain of
-a mail service, or a word like "contact" or "mail" before it.
+"at" or a lone @ before a domain with plain dots is mostly prose ("more at example.org"), and
+so is "at ten dot thirty". They count if something else speaks for an address: a dot, digit, +
+or _ in the name, a domain of a mail service, or a word like "contact" or "mail" before it; a
+domain with spelled dots also by a usual last label. The signs are known in four languages.
 
 Detection is linear in the length of a text. All offsets are code points, ends exclusive.
 
@@ -134,19 +135,24 @@ _ALIKE = re.compile(
     "[" + "".join(map(re.escape, [*_LOOK_ALIKES, *_SIGNS, *_INVISIBLE])) + "！-～]|(?![0-9])\\d"
 )
 _DIGIT_WORD = "(?:" + "|".join(sorted(_DIGIT_OF, key=len, reverse=True)) + ")"
+_AT, _DOT = "(?:at|arroba|arobase)", "(?:dot|punkt|point|punto)"
 _OPEN, _CLOSE = r"(?:(?<![ \t])[ \t]++)?[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
 _WORDS = re.compile(
-    rf"(?<!\w)(?P<digits>(?:plus[ -]+)?{_DIGIT_WORD}(?:[ -]+(?:(?:dot|punkt|point|punto)[ -]+)?{_DIGIT_WORD}){{2,}})(?!\w)"
-    rf"|(?P<at>{_OPEN}(?:at|@){_CLOSE})"
-    rf"|(?P<dot>{_OPEN}(?:dot|punkt|point|punto|\.){_CLOSE})"
-    r"|(?<=[a-z0-9])(?P<address>(?:[ ]+dot[ ]+[a-z0-9_+-]+)*(?:[ ]+at[ ]+|[ ]*@[ ]*)[a-z0-9-]+(?:(?:[ ]+dot[ ]+|\.)[a-z0-9-]+)+)(?!\w)",
+    rf"(?<!\w)(?P<digits>(?:plus[ -]+)?{_DIGIT_WORD}(?:[ -]+(?:{_DOT}[ -]+)?{_DIGIT_WORD}){{2,}})(?!\w)"
+    rf"|(?P<at>{_OPEN}(?:{_AT}|@){_CLOSE})"
+    rf"|(?P<dot>{_OPEN}(?:{_DOT}|\.){_CLOSE})"
+    rf"|(?<=[a-z0-9])(?P<address>(?:[ ]+{_DOT}[ ]+[a-z0-9_+-]+)*(?:[ ]+{_AT}[ ]+|[ ]*@[ ]*)[a-z0-9-]+(?:(?:[ ]+{_DOT}[ ]+|\.)[a-z0-9-]+)+)(?!\w)",
     re.IGNORECASE,
 )
-_SIGN = re.compile(r"[ ]+(at|dot)[ ]+|[ ]+@[ ]*|@[ ]+", re.IGNORECASE)
-_PLAIN_AT = re.compile(r" at +[a-z0-9-]+\.[a-z0-9]")
-_NAME = re.compile(r"[A-Za-z0-9._%+-]+$")
+_SIGN = re.compile(rf"[ ]+(?:(?P<dot>{_DOT})|{_AT})[ ]+|[ ]+@[ ]*|@[ ]+", re.IGNORECASE)
+_SOME_AT = re.compile(rf"(?:@| {_AT} ) *[a-z0-9-]+(?:\.[a-z0-9]| +{_DOT} )| {_DOT} +[a-z0-9_+-]+(?: *@| +{_AT} )")
 _CUE = re.compile(r"(?:mail|contact|write|reach|address)[a-z]*(?:[ ]+[a-z]+)?[^a-z0-9]+$", re.IGNORECASE)
 _PRONOUNS = frozenset("me us him her it them you".split())
+# Last labels of domains that are usual and no common words.
+_LAST_LABELS = frozenset(
+    "com org net edu gov mil int info biz name mobi dev app io eu uk de fr es pt nl ch at be lu "
+    "dk se no fi pl cz sk hu ro bg gr tr ru ua br mx ar cl co pe ca au nz jp cn kr tw in za".split()
+) - frozenset("at be no in".split())
 # Runs of figures, digit words and letters that look like digits, with what a phone or a
 # spelled dot may have between them.
 _TOKEN = rf"(?:{_DIGIT_WORD}|[0-9oli])++(?!\w)"
@@ -164,7 +170,7 @@ _EDGES = tuple(
     for edge in ("[oli]", f"{_DIGIT_WORD}|[oli]")
 )
 _MIXED = re.compile(r"[0-9][ ().-]*[oli]|[oli][ ().-]*[0-9]|[0-9][ ]+(?:punkt|point|punto)[ ]+[0-9oli]")
-_BRACKETS = re.compile(r"[\[({<][ \t]*(?:at|@|dot|punkt|point|punto|\.)[ \t]*[\])}>]")
+_BRACKETS = re.compile(r"[\[({<][ \t]*(?:at|arroba|arobase|@|dot|punkt|point|punto|\.)[ \t]*[\])}>]")
 
 
 def _may_be_spelled(text: str) -> bool:
@@ -172,7 +178,7 @@ def _may_be_spelled(text: str) -> bool:
     low = text.lower()
     if " dot " in low or _BRACKETS.search(low) or _MIXED.search(low):
         return True
-    if "@ " in low or " @" in low or _PLAIN_AT.search(low):
+    if "@ " in low or " @" in low or _SOME_AT.search(low):
         return True
     words = re.split(r"\W+", low) if "-" in low else low.split()
     return not _DIGIT_OF.keys().isdisjoint(words)
@@ -233,15 +239,31 @@ def _rewrite_chars(text: str) -> Rewriting:
     return out
 
 
-def _is_address(before: str, signs: str) -> bool:
-    """Whether a name, " at " and a domain with plain dots are an address and not prose."""
-    found = _NAME.search(before)
-    name = found[0] if found else ""
+def _back(text: str, at: int, of) -> int:
+    """Where the run of characters that ends before ``at`` starts."""
+    while at and of(text[at - 1]):
+        at -= 1
+    return at
+
+
+def _is_address(text: str, start: int, signs: list[str], domain: str) -> bool:
+    """Whether a name, a sign for @ and a domain with dots are an address and not prose.
+
+    The name ends before ``start``; ``signs`` are the rewritten signs in order. What speaks for
+    an address is looked for in whole words, however long.
+    """
+    first = _back(text, start, _LOCAL.__contains__)
+    name = text[first:start]
     if not name or name.lower() in _PRONOUNS:
         return False
     if any(c.isalpha() for c in name) and any(c in "._+" or c.isdigit() for c in name):
         return True
-    return "mail" in signs.lower() or bool(_CUE.search(before[: len(before) - len(name)]))
+    if "mail" in domain or "." in signs and domain.rpartition(" ")[2].rpartition(".")[2] in _LAST_LABELS:
+        return True
+    gap = _back(text, first, lambda c: not c.isalnum())
+    word = _back(text, gap, str.isalpha)
+    word = _back(text, _back(text, word, " ".__eq__), str.isalpha)
+    return bool(_CUE.search(text[word:first]))
 
 
 def _rewrite_words(text: str) -> Rewriting:
@@ -253,13 +275,15 @@ def _rewrite_words(text: str) -> Rewriting:
             out.add(match.start(), at, _spelled(match[0]))
         elif match["address"]:
             start, signs = match.start(), list(_SIGN.finditer(match[0]))
-            plain = len(signs) == 1 and (signs[0][1] or "at").lower() == "at"
-            if plain and not _is_address(text[max(0, start - 80) : start], match[0]):
+            kinds = ["." if sign["dot"] else "@" for sign in signs]
+            # A lone @ within the word needs no more evidence: the domain's dots are spelled.
+            lone = "@" in match[0] and "." in kinds
+            if signs and not lone and not _is_address(text, start, kinds, match[0].lower()):
                 signs = []
             for sign in signs:
                 out.add(start, match.start() + sign.start())
                 start = match.start() + sign.end()
-                piece = "." if (sign[1] or "").lower() == "dot" else "@"
+                piece = "." if sign["dot"] else "@"
                 out.add(match.start() + sign.start(), start, piece)
             out.add(start, at)
         else:

@@ -88,6 +88,13 @@ def test_tables(spark):
         ("card 4539 1488 0343 64 six seven", "4539 1488 0343 64 six seven", "card"),
         ("card 4539 one488 0343 6467", "4539 one488 0343 6467", "card"),
         ("so I 4539 l488 O343 6467 I think", "4539 l488 O343 6467", "card"),
+        ("escribe a ana arroba correo punto es hoy", "ana arroba correo punto es", "email"),
+        ("schreib an anna at beispiel punkt de bitte", "anna at beispiel punkt de", "email"),
+        ("jean point dupont arobase exemple point fr", "jean point dupont arobase exemple point fr", "email"),
+        ("ana (arroba) correo.es", "ana (arroba) correo.es", "email"),
+        ("contact" + " " * 200 + "ann at example.org", "ann at example.org", "email"),
+        ("x" * 200 + ".y at example.org", "x" * 200 + ".y at example.org", "email"),
+        ("write to ann at noon dot then", "ann at noon dot then", "email"),
     ],
 )
 def test_short_and_partial_disguises(text, found, kind):
@@ -97,7 +104,8 @@ def test_short_and_partial_disguises(text, found, kind):
 
 @pytest.mark.parametrize(
     "text",
-    ["more at example.org", "contact us at example.org", "1O.0.0.3OO", "card 4539 l488 O343 6468",
+    ["meet me at ten dot thirty", "arrived at noon dot then", "look at this point in time",
+     "llegó al punto de partida", "am Punkt angekommen at acht punkt dreissig", "at home dot it is", "more at example.org", "contact us at example.org", "1O.0.0.3OO", "card 4539 l488 O343 6468",
      "in 2019 one of 10 or 11 I saw", "lO.O.O.l", "+1 2O 3", "at 10.5 l in 2020", "five 5 six 6 seven 7", "+ oil ill lo lo lo",
      "follow us @ example.com", "\u212a at mail.org", "ıı 5 ſix 6 o", "1" + " " * 50_000 + "o", "1" + " o" * 50_000 + " 1"],
 )
