@@ -12,7 +12,7 @@ children of differing nodes, written to the shared folder before the next.
 
 Defined results
 - NULL pages: a NULL url or html is empty; a NULL page_id is named ``-``. Repeated rows are
-  records of their own, each with its own offset.
+  records of their own, each with its own offset. Very long pages are hashed whole.
 - Two empty replicas agree; against an empty one every record is lost.
 - Other columns play no part.
 """
@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from registrylake.operators.joins import join_on_key
 from registrylake.tables.work import staged
 
 FANOUT = 16
@@ -50,14 +51,15 @@ def warc_record(page_id: Column, url: Column, html: Column) -> Column:
     )
 
 
-def hashed(pages: DataFrame) -> DataFrame:
-    """``page_id, url, length, digest`` of the record of each page."""
+def hashed(pages: DataFrame, *carried: str) -> DataFrame:
+    """``page_id, url, length, digest`` of the record of each page, and the columns ``carried``."""
     record = warc_record(F.col("page_id"), F.col("url"), F.col("html"))
-    return pages.select("page_id", "url", record.alias("record")).select(
+    return pages.select("page_id", "url", *carried, record.alias("record")).select(
         "page_id",
         "url",
         F.octet_length("record").cast("long").alias("length"),
         F.sha2("record", 256).alias("digest"),
+        *carried,
     )
 
 
@@ -70,15 +72,28 @@ def hex_digits(records: int) -> int:
 
 
 def laid_out(records: DataFrame) -> DataFrame:
-    """Adds ``file`` and ``offset``: records are dealt to files by a hash of id and url and
-    lie there in the order of both."""
-    name = F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), "url")
+    """Adds ``file`` and ``offset``: records are dealt to files by a hash of id, url and digest
+    and lie there in that order.
+
+    More than ``FILE_RECORDS`` equal records are dealt on to further files, each by itself; as
+    they are equal it does not matter which goes where.
+    """
+    name = F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), "url", "digest")
+    named = records.withColumn("_name", F.md5(name))
+    counts = named.groupBy("_name").agg(F.count(F.lit(1)).alias("n"))
+    spread = counts.where(F.col("n") > FILE_RECORDS).select(
+        "_name", F.ceil(F.col("n") / FILE_RECORDS).alias("_spread")
+    )
     digits = hex_digits(records.count())
+    file = F.conv(F.substring("_name", 1, digits), 16, 10).cast("long")
+    dealt = (
+        join_on_key(named.withColumn("_row", F.monotonically_increasing_id()), spread, "_name", "left")
+        .withColumn("file", (file + F.coalesce(F.pmod("_row", "_spread"), F.lit(0))) % 16**digits)
+        .drop("_name", "_row", "_spread")
+    )
     order = Window.partitionBy("file").orderBy("page_id", "url", "digest")
     before = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return records.withColumn(
-        "file", F.conv(F.substring(F.md5(name), 1, digits), 16, 10).cast("long")
-    ).withColumn("offset", F.coalesce(before, F.lit(0).cast("long")))
+    return dealt.withColumn("offset", F.coalesce(before, F.lit(0).cast("long")))
 
 
 def _folded(children: DataFrame, *parent: Column) -> DataFrame:

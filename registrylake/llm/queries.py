@@ -48,15 +48,18 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audits a second replica in which some pages were changed and some lost.
 
-    The hash of a page's url tells which; every record of the first replica gets its place
-    and what the audit says of it.
+    The hash of a page's url tells which, one in 16 each; every record of the first replica
+    gets its place and what the audit says of it. The second replica is made of the places of
+    the first, so repeated pages and pages without id or url keep theirs.
     """
-    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    first = staged(fixity.laid_out(fixity.hashed(pages)))
-    fate = F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 2)
-    spoiled = pages.withColumn("html", F.when(fate == "00", F.translate("html", "e", "c")).otherwise(F.col("html")))
-    places = first.select("page_id", "url", "file", "offset")
-    second = staged(fixity.hashed(spoiled.where(fate != "01")).join(places, ["page_id", "url"]))
+    pages = _table(spark, sf_dir, "pages")
+    fate = F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 1)
+    html = F.when(fate == "0", F.translate("html", "e", "c")).otherwise(F.col("html"))
+    changed = fixity.warc_record(F.col("page_id"), F.col("url"), html)
+    pages = pages.select("page_id", "url", "html", F.sha2(changed, 256).alias("then"), fate.alias("fate"))
+    laid = staged(fixity.laid_out(fixity.hashed(pages, "then", "fate")))
+    first = laid.drop("then", "fate")
+    second = laid.where("fate != '1'").withColumn("digest", F.col("then")).drop("then", "fate")
     found = fixity.audit(first, second)
     return (
         first.join(found, ["file", "offset"], "left")
@@ -89,7 +92,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
-    judged = url_rules.judge_urls(pages, url_rules.rule_table(spark))
+    patterns = [*url_rules.PATTERNS, *url_rules.listed_patterns()]
+    judged = url_rules.judge_urls(pages, url_rules.rule_table(spark, patterns=patterns))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -139,7 +143,7 @@ def _url_rule_sql() -> str:
     rows = [(r, v, url_rules.site_regex(r), len(r)) for v, r in url_rules.SITE_RULES]
     rows += [
         (r, v, url_rules.pattern_regex(r), -1 if v == url_rules.BLOCK else -2)
-        for v, r in url_rules.PATTERNS
+        for v, r in [*url_rules.PATTERNS, *url_rules.listed_patterns()]
     ]
     return ", ".join(f"('{r}', '{v}', '{x}', {n})" for r, v, x, n in rows)
 
@@ -290,15 +294,16 @@ def oracle_sql() -> dict[str, str]:
                      CASE WHEN (SELECT count(*) FROM pages) <= 16 * 2048 THEN 1 ELSE 2 END AS digits
               FROM pages),
             named AS (
-              SELECT *, CAST('0x' || substr(md5(page_id || '|' || url), 1, digits) AS BIGINT) AS file,
+              SELECT *, CAST('0x' || substr(md5(page_id || '|' || url || '|' || sha256(record)), 1, digits)
+                          AS BIGINT) AS file,
                      CAST(octet_length(encode(record)) AS BIGINT) AS length,
-                     sha256(record) AS digest, substr(md5(url), 1, 2) AS fate
+                     sha256(record) AS digest, substr(md5(url), 1, 1) AS fate
               FROM sized)
             SELECT page_id, file, length, digest,
                    CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id, url
                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
-                   CASE WHEN fate = '01' THEN 'lost'
-                        WHEN fate = '00' AND html LIKE '%e%' THEN 'damaged'
+                   CASE WHEN fate = '1' THEN 'lost'
+                        WHEN fate = '0' AND html LIKE '%e%' THEN 'damaged'
                         ELSE 'intact' END AS status
             FROM named""",
         "op2_passages": r"""

@@ -25,6 +25,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from registrylake.operators.joins import join_on_key
+
 ALLOW, BLOCK = "allow", "block"
 
 #: Verdict and site rule.
@@ -50,6 +52,13 @@ PATTERNS = (
     (ALLOW, "^casino-history^"),
 )
 
+
+
+def listed_patterns(languages: Sequence[str] = ("de", "es"), last: int = 10_000) -> list[tuple[str, str]]:
+    """Patterns that block single pages by language and number, one in five: a long list."""
+    return [(BLOCK, f"/{language}/{n}^") for language in languages for n in range(3, last, 5)]
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _NO_TOKEN = ""
 
@@ -111,14 +120,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """The pages with ``host``, ``path``, the site ``rule`` that decides, and the ``verdict``."""
     added = ("host", "path", "rule", "verdict", "pattern")
     columns = [name for name in pages.columns if name not in added]
-    located = pages.select(columns).withColumns(
-        {"host": url_host(F.col("url")), "path": url_path(F.col("url"))}
-    )
-    place = F.concat("host", "path")
-    places = located.select(place.alias("__place")).where("__place != ''").distinct()
-    cut = F.split(F.translate("__place", _UPPER, _LOWER), "[^a-z0-9]+", -1)
+    # The columns of the pages travel as one, so that none has the name of a working column.
+    located = pages.select(
+        F.struct(*columns).alias("page"), url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path")
+    ).withColumn("place", F.concat("host", "path"))
+    places = located.select("place").where("place != ''").distinct()
+    cut = F.split(F.translate("place", _UPPER, _LOWER), "[^a-z0-9]+", -1)
     tokens = places.select(
-        "__place", F.explode(F.array_distinct(F.concat(cut, F.array(F.lit(_NO_TOKEN))))).alias("token")
+        "place", F.explode(F.array_distinct(F.concat(cut, F.array(F.lit(_NO_TOKEN))))).alias("token")
     )
 
     literals = rules.select("rule", "site", F.explode("tokens").alias("token"))
@@ -130,21 +139,22 @@ def judge_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
         .agg(F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), "token")).alias("token"))
     )
     index = rarest.join(rules.drop("tokens"), ["rule", "site"])
-    fitting = tokens.join(index, "token").where("__place RLIKE regex")
+    fitting = tokens.join(index, "token").where("place RLIKE regex")
     name, verdict = F.col("rule"), F.col("verdict")
     site = F.struct((-F.length(name)).alias("order"), name, verdict)
     pattern = F.struct((verdict != BLOCK).alias("order"), name, verdict)
-    decided = fitting.groupBy("__place").agg(
-        F.min(F.when(F.col("site"), site)).alias("__site"),
-        F.min(F.when(~F.col("site"), pattern)).alias("__pattern"),
+    decided = fitting.groupBy("place").agg(
+        F.min(F.when(F.col("site"), site)).alias("by_site"),
+        F.min(F.when(~F.col("site"), pattern)).alias("by_pattern"),
     )
-    return (
-        located.withColumn("__place", place)
-        .join(decided, "__place", "left")
-        .select(
-            *columns, "host", "path",
-            F.col("__site.rule").alias("rule"),
-            F.coalesce("__site.verdict", "__pattern.verdict", F.lit(ALLOW)).alias("verdict"),
-            F.col("__pattern.rule").alias("pattern"),
-        )
+    # Pages without a place stay out of the join, and a place of very many pages is split.
+    judged = join_on_key(located.where("place != ''"), decided, "place", "left")
+    nowhere = located.where("place = ''")
+    return judged.unionByName(nowhere, allowMissingColumns=True).select(
+        *[F.col(f"page.`{column}`").alias(column) for column in columns],
+        "host",
+        "path",
+        F.col("by_site.rule").alias("rule"),
+        F.coalesce("by_site.verdict", "by_pattern.verdict", F.lit(ALLOW)).alias("verdict"),
+        F.col("by_pattern.rule").alias("pattern"),
     )

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registrylake.llm import fixity
+from registrylake.tables.work import staged
 
 
 def replica(spark, rows):
@@ -60,3 +61,23 @@ def test_records_offsets_and_odd_rows(spark):
     for row in sorted(laid, key=lambda r: (r["file"], r["offset"])):
         assert row["offset"] == ends.get(row["file"], 0)
         ends[row["file"]] = row["offset"] + row["length"]
+
+
+def test_many_equal_records_are_dealt_to_several_files(spark, small):
+    rows = [(None, None, "same")] * 40 + [(i, f"u{i}", "x") for i in range(10)]
+    laid = staged(replica(spark, rows))
+    per_file = {}
+    for row in laid.collect():
+        per_file.setdefault(row["file"], []).append(row["page_id"])
+    assert max(map(len, per_file.values())) <= 12
+    assert fixity.audit(laid, laid).collect() == []
+    gone = laid.where("page_id IS NULL").orderBy("file", "offset").limit(1)
+    rest = staged(laid.join(gone, ["file", "offset"], "left_anti"))
+    found = fixity.audit(laid, rest).collect()
+    assert {r["status"] for r in found} == {fixity.LOST} and len(found) == 1
+
+
+def test_long_pages_and_other_columns(spark):
+    pages = spark.createDataFrame([(1, "u", "é" * 3_000_000, "own")], "page_id long, url string, html string, file string")
+    [row] = fixity.laid_out(fixity.hashed(pages)).collect()
+    assert row["length"] > 6_000_000 and row["file"] in range(16) and row["offset"] == 0

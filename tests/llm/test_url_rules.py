@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from registrylake.llm import url_rules as U
 
 
@@ -54,3 +56,28 @@ def test_rules_without_tokens_and_many_rules(spark):
     }
     none = spark.createDataFrame([], "rule string, verdict string, regex string, site boolean, tokens array<string>")
     assert {r["verdict"] for r in U.judge_urls(pages, none).collect()} == {"allow"}
+
+
+def test_a_hot_place_is_split_and_names_clash(spark):
+    rows = [(i, "http://poker.net/de/8" if i % 3 else None) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    for name in ("__site", "place", "page", "token", "site", "regex", "by_site", "n"):
+        pages = pages.withColumn(name, F.lit("own"))
+    judged = U.judge_urls(pages, U.rule_table(spark))
+    assert judged.columns == [*pages.columns, "host", "path", "rule", "verdict", "pattern"]
+    got = {(r["page_id"] % 3 > 0, r["verdict"], r["__site"], r["n"]) for r in judged.collect()}
+    assert got == {(True, "block", "own", "own"), (False, "allow", "own", "own")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = U.judge_urls(pages, U.rule_table(spark))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(place" in plan and "__shuffle_key" in plan
+
+
+def test_many_listed_patterns(spark):
+    patterns = U.listed_patterns()
+    assert len(patterns) == 4000
+    rows = [(1, "http://a.org/de/8"), (2, "http://a.org/de/9"), (3, "http://a.org/es/13.html?x"), (4, "http://a.org/de/81")]
+    judged = U.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), U.rule_table(spark, patterns=patterns))
+    assert {r["page_id"]: r["verdict"] for r in judged.collect()} == {1: "block", 2: "allow", 3: "block", 4: "allow"}
