@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from registrylake.llm.shingles import byte_texts, small_batches
+from registrylake.llm.naming import set_aside
 from registrylake.tables.work import staged
 
 WINDOW_WORDS = 10
@@ -164,7 +165,9 @@ def mark_contaminated(
     commas. A document with a word hit is contaminated.
     """
     context = docs.sparkSession.sparkContext
-    columns = [name for name in docs.columns if name not in _ADDED_NAMES]
+    docs = docs.select([name for name in docs.columns if name not in _ADDED_NAMES])
+    docs, own = set_aside(docs, [field.name for field in _CARRIED])
+    columns = docs.columns
     marked = docs.select(
         *columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in _CARRIED]
     )
@@ -183,7 +186,7 @@ def mark_contaminated(
         marked = marked.mapInArrow(_scanning(shared, size, columns, last), schema)
         if not last:
             marked = staged(marked)
-    return marked
+    return marked.withColumnsRenamed(own)
 
 
 def list_ahead(items: Iterator) -> Iterator[tuple]:

@@ -171,8 +171,26 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]
         yield part, rows
 
 
+def id_hashes(ids: np.ndarray) -> np.ndarray:
+    """The hash that ``xxhash64`` gives of longs, as unsigned numbers."""
+    # The published primes of the hash; 42 is the seed.
+    p1, p2, p3, p4, p5 = (
+        np.uint64(p) for p in (
+            0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
+            0x27D4EB2F165667C5,
+        )
+    )
+    turned = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+    with np.errstate(over="ignore"):
+        h = np.uint64(42) + p5 + np.uint64(8)
+        h = turned(h ^ (turned(ids.view(np.uint64) * p2, 31) * p1), 27) * p1 + p4
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        return h ^ (h >> np.uint64(32))
+
+
 def _doc_parts(places: Places, parts: int) -> np.ndarray:
-    return (places.doc % parts).astype(np.int32)
+    return (id_hashes(places.doc).view(np.int64) % parts).astype(np.int32)
 
 
 def _combine(parts: int):
@@ -391,7 +409,10 @@ def remove_passages(
 
     lone = F.pmod(F.xxhash64("text"), F.lit(parts))
     texts = docs.select(
-        F.coalesce(F.pmod("doc_id", F.lit(parts)), lone).cast("int").alias("part"),
+        F.when(F.col("doc_id").isNull(), lone)
+        .otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
+        .cast("int")
+        .alias("part"),
         "doc_id",
         F.col("text").cast("binary").alias("text"),
     )

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from registrylake.llm.naming import set_aside
 from registrylake.tables.work import staged
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -36,6 +37,10 @@ BASE_MAX_REPEAT_PERCENT = 50
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+#: Columns that the counts are made of.
+_WORKING = ("__text", "__words", "__lines", "__hashes", "__packed", "__exact", "__starts")
+
+
 def _neighbours(array: Column, n: Column, function) -> Column:
     """``function`` of each element and the next one; ``n`` is the size of the array."""
     inner = F.greatest(n - 1, F.lit(0))
@@ -57,6 +62,7 @@ def with_text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     Each step is a projection of its own that later ones refer to more than once, so that
     Catalyst keeps it apart and evaluates it once per row.
     """
+    docs, own = set_aside(docs, _WORKING)
     whole = F.coalesce(F.col(text), F.lit(""))
     words, n = F.col("__words"), F.size("__words")
     df = docs.withColumn("__text", whole).withColumn(
@@ -112,7 +118,7 @@ def with_text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_capitals": F.octet_length(F.regexp_replace("__text", _NOT_CAPITAL, "")).cast("long"),
         }
     )
-    return df.drop(*(name for name in df.columns if name.startswith("__")))
+    return df.drop(*_WORKING).withColumnsRenamed(own)
 
 
 def _vote(bad: str, good: str) -> Column:

@@ -29,7 +29,6 @@ Defined results
 from __future__ import annotations
 
 import hashlib
-import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,7 +41,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tokenizers import Tokenizer
 
 from registrylake.llm.shingles import small_batches
-from registrylake.llm.token_counts import read_tokenizer
+from registrylake.llm.token_counts import divides, read_tokenizer
 from registrylake.tables.work import staged
 
 #: Steps of the merge in a piece, links listed at a time, pairs whose counts are broadcast.
@@ -89,21 +88,6 @@ def bytes_of_b(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
     ]
 
 
-def a_divides(tokenizer: Tokenizer) -> bool:
-    """Whether A encodes the parts of a text as it encodes the whole."""
-    spec = json.loads(tokenizer.to_str())
-    before = spec["pre_tokenizer"] or {}
-    return (
-        spec["normalizer"] is None
-        and before.get("type") == "ByteLevel"
-        and before.get("use_regex", True)
-        and not before.get("add_prefix_space", True)
-        and spec["model"].get("type") == "BPE"
-        and not spec["model"].get("dropout")
-        and all(token["special"] for token in spec["added_tokens"])
-    )
-
-
 def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
     """Numbers and values of the fields of a serialised message."""
     at = 0
@@ -168,7 +152,7 @@ class Encoder:
         self.bytes_a, self.bytes_b = bytes_of_a(self._a), bytes_of_b(self._b)
         tables = self.bytes_a, self.bytes_b
         self.lengths = tuple(np.array([*map(len, t)], np.int64) for t in tables)
-        self.divides = a_divides(self._a) and b_divides(self._b)
+        self.divides = divides(self._a) and b_divides(self._b)
         self._new: dict[str, tuple[bytes, bytes, bool]] = {}
         self._old: dict[str, tuple[bytes, bytes, bool]] = {}
 

@@ -8,7 +8,8 @@ and remembered in a second tier that is emptied when full. Nothing is shuffled.
 
 The library that the vocabulary file is made for does all encoding. Splitting is left to it
 as well for texts with a character that Unicode 3.2 does not know, because later versions
-are not the same everywhere, and for texts that hold a special string.
+are not the same everywhere, for texts that hold a special string, and for all texts if the
+vocabulary file splits or changes texts in another way.
 
 Defined results
 - A NULL text counts as empty: no bytes, no tokens.
@@ -19,6 +20,7 @@ Defined results
 
 from __future__ import annotations
 
+import json
 import pickle
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -46,6 +48,21 @@ _ADDED = [
 ]
 
 
+def divides(tokenizer: Tokenizer) -> bool:
+    """Whether pre-tokens split by ``PIECES`` are encoded as in the whole text."""
+    spec = json.loads(tokenizer.to_str())
+    before = spec["pre_tokenizer"] or {}
+    return (
+        spec["normalizer"] is None
+        and before.get("type") == "ByteLevel"
+        and before.get("use_regex", True)
+        and not before.get("add_prefix_space", True)
+        and spec["model"].get("type") == "BPE"
+        and not spec["model"].get("dropout")
+        and all(token["special"] for token in spec["added_tokens"])
+    )
+
+
 class PieceLengths(dict):
     """Tokens per pre-token: the broadcast table, and what this worker met besides."""
 
@@ -67,8 +84,8 @@ class PieceLengths(dict):
 class TokenCounter:
     """Counts tokens as the library gives them, without added special tokens."""
 
-    def __init__(self, tokenizer: Tokenizer, frequent: dict[str, int]):
-        self._tokenizer = tokenizer
+    def __init__(self, tokenizer: Tokenizer, frequent: dict[str, int], apart: bool = True):
+        self._tokenizer, self._apart = tokenizer, apart
         self._lengths = PieceLengths(tokenizer, frequent)
         self._special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         self._pieces = regex.compile(PIECES)
@@ -84,7 +101,8 @@ class TokenCounter:
         return True
 
     def count(self, text: str) -> int:
-        if not (text.isascii() or self._old(text)) or any(s in text for s in self._special):
+        old = self._apart and (text.isascii() or self._old(text))
+        if not old or any(s in text for s in self._special):
             return len(self._tokenizer.encode(text, add_special_tokens=False).ids)
         pieces: Iterable[str]
         if len(text) > _LONG:
@@ -120,14 +138,14 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     """
     tokenizer = read_tokenizer(path)
     shared = docs.sparkSession.sparkContext.broadcast(
-        pickle.dumps((tokenizer.to_str(), frequent_lengths(tokenizer)))
+        pickle.dumps((tokenizer.to_str(), frequent_lengths(tokenizer), divides(tokenizer)))
     )
     added = [field.name for field in _ADDED]
     columns = [name for name in docs.columns if name not in added]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, frequent = pickle.loads(shared.value)
-        counter = TokenCounter(Tokenizer.from_str(vocabulary), frequent)
+        vocabulary, frequent, apart = pickle.loads(shared.value)
+        counter = TokenCounter(Tokenizer.from_str(vocabulary), frequent, apart)
         for batch in small_batches(batches, "text"):
             texts = [text or "" for text in batch.column("text").to_pylist()]
             tokens = [counter.count(text) for text in texts]

@@ -67,3 +67,16 @@ def test_prefix_is_the_rarest_word():
     index = D.build_index([("1", b"a b c")], {b"a": 9, b"b": 1, b"c": 5}, 10)
     assert list(index) == [b"b"]
     assert list(D.occurrences([b"b", b"a", b"b", b"c", b"b"], index)) == [(1, 4, {"1"})]
+
+
+def test_working_names_pass_through(documents, spark):
+    from pyspark.sql import functions as F
+
+    from registrylake.llm.decontamination import mark_contaminated
+
+    passage = " ".join(f"word{i}" for i in range(12))
+    docs = documents([(1, passage), (2, "x y")]).withColumns({n: F.lit("own") for n in ("__spans", "__names", "__spans_")})
+    items = spark.createDataFrame([(7, passage)], "item_id long, text string")
+    marked = mark_contaminated(docs, items)
+    rows = {r["doc_id"]: (r["contaminated"], r["__spans"], r["__names"], r["__spans_"]) for r in marked.collect()}
+    assert rows == {1: (True, "own", "own", "own"), 2: (False, "own", "own", "own")}

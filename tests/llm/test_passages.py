@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from brute import cut_passages
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from registrylake.llm import passages
 from registrylake.llm.phrases import WINDOW, Places, phrases
@@ -86,3 +87,17 @@ def test_merged_ranges():
     assert passages.merged_ranges(ranges) == [(0, 140), (200, 250)]
     assert passages.merged_ranges(ranges) == [(0, 140), (200, 250)]
     assert passages.merged_ranges(np.array([[0, 50], [10, 60], [61, 111]])) == [(0, 60), (61, 111)]
+
+
+def test_ids_with_a_common_factor_spread(spark):
+    ids = np.array([64 * i for i in range(400)] + [-1, 0, 1, 2**62, -(2**63)], np.int64)
+    ours = passages.id_hashes(ids).view(np.int64).tolist()
+    df = spark.createDataFrame([(int(i),) for i in ids], "i long").select("i", F.xxhash64("i").alias("h"))
+    assert dict(zip(ids.tolist(), ours)) == {r.i: r.h for r in df.collect()}
+    assert len({h % 20 for h in ours}) == 20
+
+
+def test_parts_by_hash_give_the_same_result(documents):
+    docs = [(64 * i, f"{i} " + "the same long passage in every document of this small table, again " * 2) for i in range(60)]
+    got = passages.remove_passages(documents(docs), part_bytes=500)
+    assert sorted(map(tuple, got.drop("removed").collect()), key=repr) == cut_passages(docs)

@@ -90,3 +90,11 @@ def test_faulty_half_of_a_table_does_not_take_the_rest(documents):
     bad += [(200 + i, text(i).upper()) for i in range(30)]
     kept = {r["doc_id"] for r in Q.keep_good(documents(good + bad)).collect()}
     assert kept == {i for i, _ in good}
+
+
+def test_columns_with_working_names_stay(documents):
+    from pyspark.sql import functions as F
+
+    docs = documents([(1, text(1))]).withColumns({n: F.lit("own") for n in ("__text", "__words", "__mine")})
+    row = Q.with_text_stats(docs).first()
+    assert (row["__text"], row["__words"], row["__mine"], row["n_words"]) == ("own", "own", "own", 90)

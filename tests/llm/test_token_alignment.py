@@ -174,10 +174,10 @@ def test_division_and_long_texts(models, monkeypatch):
 
 def test_other_vocabularies_are_not_divided(models):
     spec = json.loads(models[0].to_str())
-    assert ta.a_divides(models[0]) and ta.b_divides(models[1])
+    assert ta.divides(models[0]) and ta.b_divides(models[1])
     spec["normalizer"] = {"type": "Lowercase"}
-    assert not ta.a_divides(Tokenizer.from_str(json.dumps(spec)))
-    assert not ta.a_divides(Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")))
+    assert not ta.divides(Tokenizer.from_str(json.dumps(spec)))
+    assert not ta.divides(Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")))
 
 
 def test_links_of_large_groups():

@@ -52,3 +52,12 @@ def test_first_tier_holds_true_lengths(tokenizer):
     frequent = K.frequent_lengths(tokenizer)
     assert 30_000 < len(frequent) <= tokenizer.get_vocab_size()
     assert frequent[" the"] == 1 and "<|endoftext|>" not in frequent
+
+
+def test_a_vocabulary_that_splits_otherwise_is_left_to_the_library(documents):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = K.read_tokenizer(path)
+    assert not K.divides(tokenizer)
+    texts = ["Hello  World, it's 12,500 ÉTÉ!", "", "naïve\n\nlines"]
+    got = {r["doc_id"]: r["n_tokens"] for r in K.count_tokens(documents(list(enumerate(texts))), path).collect()}
+    assert got == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
