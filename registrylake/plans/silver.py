@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import logging
 from collections.abc import Callable
 from functools import partial
@@ -10,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from registrylake.operators.joins import keep_known_keys
 from registrylake.operators.keys import distinct_keys
-from registrylake.operators.rows import exclude_codes
 from registrylake.plans.parallel import run_all
 from registrylake.schemas import (
     DATASETS,
@@ -29,7 +29,7 @@ from registrylake.sources.delimited import (
     strict,
 )
 from registrylake.sources.files import Files
-from registrylake.sources.routing import excluded_legal_forms
+from registrylake.sources.routing import archives_of, excluded_legal_forms, kept_rows
 from registrylake.tables.layer import Layer
 from registrylake.tables.ledger import Ledger, digest, source_name
 from registrylake.tables.work import staged, work_folder
@@ -95,10 +95,12 @@ def _ingest(
 ) -> None:
     files = new.files
 
-    def scan(table: str, pattern: str) -> tuple[DataFrame, str | None] | None:
+    names = files.names(source, "*.zip")
+
+    def scan(table: str) -> tuple[DataFrame, str | None] | None:
         """Rows of the archives, and what they come from if a ledger knows."""
-        dataset = DATASETS[table]
-        if not files.names(source, pattern):
+        dataset, pattern = DATASETS[table], archives_of(table, names)
+        if not fnmatch.filter(names, pattern):
             if table in _FACTS and not allow_missing:
                 raise FileNotFoundError(f"{source}/{pattern}")
             if new.exists(table):
@@ -152,30 +154,20 @@ def _ingest(
             log.warning("%s: malformed records are in %s_rejected", table, table)
             new.replace(f"{table}_rejected", bad)
 
-    def write_single(name: str) -> None:
-        # One archive without a number; numbered parts count only when it is missing.
-        single, parts = f"{name}.zip", f"{name}[0-9]*.zip"
-        pattern = single if files.names(source, single) else parts
-        if pattern == single and files.names(source, parts):
-            log.warning("%s is read, its numbered parts are not", single)
-        write(name.lower(), scan(name.lower(), pattern))
-
     def write_companies() -> None:
         codes = None
         if ledger:
             hashes = F.sum(F.xxhash64("natureza_code").cast("decimal(38,0)"))
             codes = str(tuple(excluded.agg(hashes, F.count("natureza_code")).first()))
-        write(
-            "empresas",
-            scan("empresas", "Empresas*.zip"),
-            lambda rows: exclude_codes(rows, excluded, "natureza_code"),
-            codes,
-        )
+        write("empresas", scan("empresas"), lambda rows: kept_rows("empresas", rows, excluded), codes)
+
+    def write_single(name: str) -> None:
+        write(name.lower(), scan(name.lower()))
 
     # Independent of each other; the longest first.
     run_all(
         [
-            lambda: write("estabelecimentos", scan("estabelecimentos", "Estabelecimentos*.zip")),
+            lambda: write("estabelecimentos", scan("estabelecimentos")),
             write_companies,
             *[partial(write_single, name) for name in SINGLE_FILE_DATASETS],
             lambda: write("cnae_alimenticio", (_food_activities(spark, source), None)),
@@ -185,7 +177,7 @@ def _ingest(
     known = distinct_keys([new.read("estabelecimentos"), new.read("empresas")], _KEY)
     write(
         "socios",
-        scan("socios", "Socios*.zip"),
+        scan("socios"),
         lambda rows: keep_known_keys(rows, known, _KEY),
         new.origin("estabelecimentos"),
         new.origin("empresas"),
