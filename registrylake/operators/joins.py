@@ -7,17 +7,22 @@ from pyspark.sql import DataFrame, functions as F
 _SHUFFLE_KEY = "__shuffle_key"
 
 
-def join_on_key(df: DataFrame, unique: DataFrame, key: str, how: str) -> DataFrame:
+def join_on_key(df: DataFrame, unique: DataFrame, key: str, how: str, grows: bool = False) -> DataFrame:
     """Join ``df``, which may hold a hot key, to a side with at most one row per key.
 
     Adaptive execution splits a hot partition only when both inputs of the join are
     shuffled for that join. A side that was just deduplicated by the key is not: the
     planner reuses the shuffle of the deduplication. Adding a hash of the key to the
     join columns makes it shuffle both sides, so the hot key of ``df`` can be split.
+
+    A ``unique`` side that ``grows`` with the data is never broadcast. The planner goes by the
+    size of its files or its shuffle, and the hash table that the driver makes of the rows can
+    be twenty times that.
     """
     hashed = F.xxhash64(key)
+    other = unique.withColumn(_SHUFFLE_KEY, hashed)
     joined = df.withColumn(_SHUFFLE_KEY, hashed).join(
-        unique.withColumn(_SHUFFLE_KEY, hashed), [key, _SHUFFLE_KEY], how
+        other.hint("merge") if grows else other, [key, _SHUFFLE_KEY], how
     )
     added = [] if how in ("left_semi", "left_anti") else unique.columns
     return joined.select(*df.columns, *[name for name in added if name != key])
@@ -38,12 +43,11 @@ def full_outer_using(unique: DataFrame, facts: DataFrame, key: str) -> DataFrame
     keyed = unique.where(F.col(key).isNotNull())
     # Facts without a key match nothing, so they stay out of the shuffle.
     no_match = [F.lit(None).cast(unique.schema[name].dataType).alias(name) for name in left_only]
-    joined = join_on_key(facts.where(F.col(key).isNotNull()), keyed, key, "left")
+    joined = join_on_key(facts.where(F.col(key).isNotNull()), keyed, key, "left", grows=True)
     alone = facts.where(F.col(key).isNull()).select(key, *no_match, *right_only)
     matched = joined.select(key, *left_only, *right_only).union(alone)
-    unmatched = keyed.join(facts.select(key).distinct(), key, "left_anti").select(
-        key, *left_only
-    )
+    referred = facts.select(key).distinct().hint("merge")
+    unmatched = keyed.join(referred, key, "left_anti").select(key, *left_only)
     without_key = unique.where(F.col(key).isNull()).select(key, *left_only)
     no_fact = [F.lit(None).cast(facts.schema[name].dataType).alias(name) for name in right_only]
     return matched.union(unmatched.union(without_key).select("*", *no_fact))
@@ -51,7 +55,7 @@ def full_outer_using(unique: DataFrame, facts: DataFrame, key: str) -> DataFrame
 
 def keep_known_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Semi join: rows whose key is among ``keys`` (distinct, non-NULL keys)."""
-    return join_on_key(df, keys.select(key), key, "left_semi")
+    return join_on_key(df, keys.select(key), key, "left_semi", grows=True)
 
 
 def enrich_with_max(dim: DataFrame, facts: DataFrame, key: str, value: str) -> DataFrame:

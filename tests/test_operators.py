@@ -143,6 +143,15 @@ def test_enrich_with_max_hashes_before_it_sorts(spark):
     assert "partial_max" in above  # each task sends one row per key
 
 
+def test_companies_and_key_lists_are_not_broadcast(spark):
+    companies = first_per_key(spark.range(30).selectExpr("id AS k", "id AS name"), "k")
+    facts = spark.range(20, 60).selectExpr("id AS k", "id AS number")
+    known = distinct_values(spark.range(25).toDF("k"), "k")
+    for df, count in ((full_outer_using(companies, facts, "k"), 60), (keep_known_keys(facts, known, "k"), 5)):
+        assert len(df.collect()) == count
+        assert "Broadcast" not in plan_of(df) and "SortMergeJoin" in plan_of(df)
+
+
 @pytest.fixture
 def small_partitions(spark):
     """Settings under which a few thousand rows already count as a skewed partition."""
