@@ -35,7 +35,8 @@ MANIFEST_SCHEMA = (
 )
 RECORD_SCHEMA = "archive string, member string, record_offset bigint, value string"
 _BLOCK_SCHEMA = "archive string, member string, start bigint, ends binary, block binary"
-_CHUNK = 4 << 20
+#: Bytes inflated at a time: what a worker holds besides is several arrays of such a size.
+_CHUNK = 1 << 20
 _MAX_RECORD = 64 << 20
 #: Inflated bytes a task should read; larger members are spooled. Blocks in a spool file.
 TASK_BYTES = 64 << 20
@@ -109,7 +110,8 @@ def record_blocks(
     """
     base, pending = 0, b""  # pending starts at byte ``base``, with a record
     while True:
-        data = stream.read(chunk)
+        # A long wait reads as much again as it holds, so that it is not scanned over and over.
+        data = stream.read(max(chunk, min(len(pending), max_record - len(pending))))
         pending += data
         ends = _record_ends(pending, sep, not data, len(pending) > max_record)
         if len(ends):

@@ -147,6 +147,25 @@ def test_where_a_quoted_field_ends(record, whole):
     assert texts.to_pylist()[0] == first and texts.to_pylist()[-1] == "last"
 
 
+def test_a_worker_holds_about_a_megabyte_of_a_member_at_a_time():
+    text = b'"abc";"def"\n' * (1 << 19)
+    sizes = [len(raw) for _, raw, _ in record_blocks(io.BytesIO(text))]
+    assert sum(sizes) == len(text) and max(sizes) < (1 << 20) + 100
+
+
+def test_a_field_that_is_never_closed_is_scanned_a_few_times():
+    class Stream(io.BytesIO):
+        reads = 0
+
+        def read(self, *size):
+            self.reads += 1
+            return super().read(*size)
+
+    stream = Stream(b'"open;1\n' + b"line;2\n" * 10_000)
+    lines = sum(len(texts) for _, texts in record_batches(record_blocks(stream, 100, 64_000)))
+    assert lines == 10_001 and stream.reads < 100
+
+
 def test_manifest_is_read_by_tasks(spark, pack, monkeypatch):
     pack("T0", b"x;y;z\nk;5;1\n")
     folder = pack("T1", members={"dir/": b"", "dir/a.csv": b"abc" * 100, "b.csv": b""})
